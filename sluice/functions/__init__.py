@@ -6,6 +6,7 @@ from .expressions import (
     item_count,
     items_total,
     location_text,
+    moment,
     seconds_between,
     topic_matches,
 )
@@ -16,6 +17,7 @@ __all__ = [
     "item_count",
     "items_total",
     "location_text",
+    "moment",
     "seconds_between",
     "topic_matches",
 ]

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import re
+from datetime import datetime
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -56,3 +57,10 @@ def topic_matches(topic: Column, topic_filter: str) -> Column:
         return topic == F.lit(topic_filter)
     pattern = "/".join("[^/]+" if level == "+" else re.escape(level) for level in levels)
     return topic.rlike(f"^{pattern}$")
+
+
+def moment(value: datetime | Column) -> Column:
+    """A point in time without a zone (UTC), whatever zone the driver runs in."""
+    if isinstance(value, datetime):
+        value = F.lit(value.isoformat(sep=" "))
+    return value.cast("timestamp_ntz")

@@ -48,3 +48,9 @@ def update_latest(
 ) -> DataFrame:
     """One row per key of both inputs, the latest; an older row never replaces a newer one."""
     return latest_per_key(target.unionByName(batch), key, order)
+
+
+def require_key(rows: DataFrame, key: str) -> DataFrame:
+    """Make the job fail on a row without a key, rather than lose or merge such rows."""
+    missing = F.raise_error(F.lit(f"row without {key}")).cast(rows.schema[key].dataType)
+    return rows.withColumn(key, F.coalesce(F.col(key), missing))

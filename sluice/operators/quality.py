@@ -8,13 +8,14 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Sequence
+from datetime import datetime
 from functools import reduce
 from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import is_uuid
+from ..functions import is_uuid, moment
 from ..specs import DatasetSpec
 from .transform import CORRUPT, RAW
 
@@ -71,7 +72,7 @@ def validate_non_null_count(df: DataFrame, column: str, min_ratio: float = MIN_R
 
 
 def rule_violations(
-    spec: DatasetSpec, as_of: Column | None = None, max_age_ms: int | None = MAX_AGE_MS
+    spec: DatasetSpec, as_of: datetime | Column | None = None, max_age_ms: int | None = MAX_AGE_MS
 ) -> list[tuple[str, Column]]:
     """All rules of ``spec`` as (label, condition that is true on a violation).
 
@@ -112,16 +113,16 @@ def domain_rules(spec: DatasetSpec) -> list[tuple[str, Column]]:
     ]
 
 
-def stale(as_of: Column | None = None, max_age_ms: int = MAX_AGE_MS) -> Column:
+def stale(as_of: datetime | Column | None = None, max_age_ms: int = MAX_AGE_MS) -> Column:
     """Whether the message's time is further than ``max_age_ms`` from ``as_of``."""
-    now = F.unix_millis(F.current_timestamp() if as_of is None else as_of.cast("timestamp"))
+    now = F.unix_millis(F.current_timestamp() if as_of is None else moment(as_of).cast("timestamp"))
     return ~F.col("timestamp").between(now - max_age_ms, now + max_age_ms)
 
 
 def flag(
     parsed: DataFrame,
     spec: DatasetSpec,
-    as_of: Column | None = None,
+    as_of: datetime | Column | None = None,
     max_age_ms: int | None = MAX_AGE_MS,
 ) -> DataFrame:
     """Add ``errors``, the labels of all broken rules, to messages parsed with ``diagnose``.

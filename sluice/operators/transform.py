@@ -33,15 +33,14 @@ def parse(
     """
     text = F.col("value").cast("string")
     kept = [F.col(name).alias(source_name(name)) for name in keep]
-    names = [source_name(name) for name in keep]
+    # The fields come out of a generator, because later filters on plain projected
+    # fields would be pushed below the projection and parse the message once per use.
     if not diagnose:
         data = F.from_json(text, spec.wire_schema)
-        return messages.select(data.alias("data"), *kept).select("data.*", *names)
+        return messages.select(F.inline(F.array(data)), *kept)
     schema = StructType(spec.wire_schema.fields + [StructField(CORRUPT, StringType())])
     data = F.from_json(text, schema, {"columnNameOfCorruptRecord": CORRUPT})
-    return messages.select(data.alias("data"), text.alias(RAW), *kept).select(
-        "data.*", RAW, *names
-    )
+    return messages.select(F.inline(F.array(data)), text.alias(RAW), *kept)
 
 
 def source_name(name: str) -> str:

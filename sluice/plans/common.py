@@ -5,12 +5,14 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import moment
+
 
 def now_of(df: DataFrame, time: str, as_of: datetime | Column | None) -> Column:
     """``as_of``, or the newest ``time`` in ``df`` as a scalar subquery (no join)."""
     if as_of is None:
         return df.agg(F.max(time)).scalar()
-    return as_of if isinstance(as_of, Column) else F.lit(as_of).cast("timestamp_ntz")
+    return moment(as_of)
 
 
 def recent(df: DataFrame, time: str, interval: str, as_of: datetime | Column | None) -> DataFrame:

@@ -6,11 +6,12 @@ from collections.abc import Mapping, Sequence
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from ..functions import seconds_between
-from .common import now_of, recent
+from ..functions import moment, seconds_between
+from .common import recent
 
 
 def _union(frames: Sequence[DataFrame]) -> DataFrame:
@@ -55,7 +56,8 @@ def data_freshness(tables: Mapping[str, DataFrame], as_of: datetime | None = Non
             for name, df in tables.items()
         ]
     ).where(F.col("latest_data").isNotNull())
-    now: Column = now_of(newest, "latest_data", as_of)
+    # One row per table is left, so the newest of all needs no second look at the tables.
+    now = F.max("latest_data").over(Window.partitionBy()) if as_of is None else moment(as_of)
     return newest.withColumn("lag_seconds", seconds_between(now, F.col("latest_data")))
 
 

@@ -112,8 +112,8 @@ def events_tumbling(events: DataFrame, width: str = "1 hour") -> DataFrame:
         F.count(F.lit(1)).alias("event_count")
     )
     return counted.select(
-        F.col("window.start").alias("window_start"),
-        F.col("window.end").alias("window_end"),
+        F.col("window.start").cast("timestamp_ntz").alias("window_start"),
+        F.col("window.end").cast("timestamp_ntz").alias("window_end"),
         "event_type",
         "event_count",
     )

@@ -203,6 +203,14 @@ LATEST_SHIPMENT = """SELECT * EXCLUDE (place) FROM (
         destination_location DESC, ingested_at DESC) AS place
     FROM logistics_shipments) WHERE place = 1"""
 
+# On a stream, equal times are decided by the position of the message.
+LATEST_ARRIVED = """SELECT * EXCLUDE (place, pos_offset, n) FROM (
+    SELECT *, row_number() OVER (PARTITION BY shipment_id ORDER BY last_update DESC,
+        pos_offset DESC, n % 2 DESC, order_id DESC, shipment_status DESC, current_location DESC,
+        origin_location DESC, destination_location DESC) AS place
+    FROM (SELECT {columns}, arrival AS ingested_at, pos_offset, n FROM wire_logistics))
+    WHERE place = 1""".format(columns=INGEST["logistics"])
+
 RUNNING_STOCK = """SELECT * EXCLUDE (current_stock), CAST(sum(quantity_delta) OVER (
         PARTITION BY item_sku, warehouse_id ORDER BY changed_at, message_id
         ROWS UNBOUNDED PRECEDING) AS BIGINT) AS current_stock
@@ -296,7 +304,7 @@ def oracle_sql() -> dict[str, str]:
         SELECT {UUID.format("o_orderkey")} AS order_id, CAST(pos AS INTEGER) AS pos, product,
                quantity, cents / 100.0::DOUBLE AS price
         FROM items"""
-    sql["location_as_text"] = _with("wire_logistics") + """
+    sql["location_text"] = _with("wire_logistics") + """
         SELECT shipment_id, CAST(latitude AS VARCHAR) || ',' || CAST(longitude AS VARCHAR) AS location
         FROM wire_logistics"""
     sql["filter_startswith"] = _with("weather_data") + """
@@ -428,4 +436,21 @@ def oracle_sql() -> dict[str, str]:
     sql["latest_per_shipment"] = _with("logistics_shipments") + LATEST_SHIPMENT
     sql["update_latest"] = _with("logistics_shipments") + LATEST_SHIPMENT
     sql["user_events_dedup"] = _with("user_events") + "SELECT * FROM user_events"
+
+    valid_weather = f"""SELECT {NARROW["weather"]} FROM (SELECT {INGEST["weather"]}
+        FROM wire_weather WHERE {_errors("weather")} = '')"""
+    sql["stream_insert_if_absent"] = _with("wire_weather") + valid_weather
+    sql["stream_update_latest"] = _with("logistics_shipments") + (
+        f"SELECT * EXCLUDE (ingested_at) FROM ({LATEST_ARRIVED})"
+    )
+    sql["stream_quarantine"] = sql["quarantine_weather"]
+    sql["stream_stats"] = _with("wire_weather") + f"""
+        SELECT 'weather.' || name AS metric_name, CAST(n AS BIGINT) AS metric_value FROM (
+            SELECT 'read' AS name, count(*) AS n FROM wire_weather UNION ALL
+            SELECT 'valid', count(*) FROM wire_weather WHERE {_errors("weather")} = '' UNION ALL
+            SELECT 'rejected', count(*) FROM wire_weather WHERE {_errors("weather")} <> '')"""
+    sql["stream_events_tumbling"] = f"""SELECT * FROM ({sql["events_tumbling"]})
+        WHERE window_end <= (SELECT date_trunc('millisecond', max(ts)) FROM events)
+            - INTERVAL 24 HOUR"""
+    sql["stream_dedup"] = sql["user_events_dedup"]
     return sql

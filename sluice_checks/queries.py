@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.functions import epoch_ms_to_timestamp, item_count, location_text
+from sluice import functions
 from sluice.operators import keyed, quality, routing, transform
 from sluice.plans import monitoring, reports
+from sluice.session import shared_dir
+from sluice.sinks import AppendTable, Quarantine, StateTable, StatsLog
 from sluice.sources import take_messages
 from sluice.specs import LOGISTICS, ORDERS, USER_EVENTS, WEATHER, all_specs, get_spec
+from sluice.streaming import IngestJob, dedup_stream, start_ingest, windowed_counts
 
 from . import testdata
 
@@ -40,8 +45,8 @@ def _parsed(spark, sf_dir, kind):
     return transform.parse(testdata.messages(spark, sf_dir, kind), get_spec(kind))
 
 
-def _landed(spark, sf_dir, kind):
-    return testdata.landed(spark, sf_dir, kind)
+def _landed(spark, sf_dir, kind, evenly=False):
+    return testdata.landed(spark, sf_dir, kind, evenly)
 
 
 def _tables(spark, sf_dir):
@@ -54,7 +59,7 @@ def _flagged(spark, sf_dir, kind):
         testdata.messages(spark, sf_dir, kind, damaged=True), spec, POSITION, diagnose=True
     )
     if kind == "user_events":
-        return quality.flag(parsed, spec, as_of=F.lit(ARRIVED))
+        return quality.flag(parsed, spec, as_of=ARRIVED)
     return quality.flag(parsed, spec, max_age_ms=None)
 
 
@@ -175,14 +180,14 @@ def epoch_ms_to_ts(spark, sf_dir):
     return _parsed(spark, sf_dir, "weather").select(
         "message_id",
         "timestamp",
-        epoch_ms_to_timestamp(F.col("timestamp")).cast("timestamp_ntz").alias("recorded_at"),
+        functions.epoch_ms_to_timestamp(F.col("timestamp")).cast("timestamp_ntz").alias("recorded_at"),
     )
 
 
 @query
 def order_item_count(spark, sf_dir):
     return _parsed(spark, sf_dir, "orders").select(
-        "order_id", item_count(F.col("items")).alias("item_count")
+        "order_id", functions.item_count(F.col("items")).alias("item_count")
     )
 
 
@@ -197,8 +202,10 @@ def order_items_exploded(spark, sf_dir):
 
 
 @query
-def location_as_text(spark, sf_dir):
-    location = location_text(F.col("current_location.latitude"), F.col("current_location.longitude"))
+def location_text(spark, sf_dir):
+    location = functions.location_text(
+        F.col("current_location.latitude"), F.col("current_location.longitude")
+    )
     return _parsed(spark, sf_dir, "logistics").select("shipment_id", location.alias("location"))
 
 
@@ -237,7 +244,7 @@ def shipments_in_transit(spark, sf_dir):
 
 @query
 def running_stock(spark, sf_dir):
-    return reports.running_stock(_landed(spark, sf_dir, "inventory"))
+    return reports.running_stock(_landed(spark, sf_dir, "inventory", evenly=True))
 
 
 @query
@@ -366,7 +373,7 @@ def domain_violations(spark, sf_dir):
 def stale_messages(spark, sf_dir):
     return (
         _parsed(spark, sf_dir, "user_events")
-        .where(quality.stale(F.lit(ARRIVED)))
+        .where(quality.stale(ARRIVED))
         .select("message_id", "timestamp")
     )
 
@@ -380,14 +387,14 @@ def _later(df, interval):
 
 @query
 def orders_dedup(spark, sf_dir):
-    orders = _landed(spark, sf_dir, "orders")
+    orders = _landed(spark, sf_dir, "orders", evenly=True)
     return reports.orders_dedup(orders.unionByName(_later(orders, "1 hour")))
 
 
 @query
 def insert_if_absent(spark, sf_dir):
     """Delivered orders are in the table; then every order comes in twice."""
-    orders = _landed(spark, sf_dir, "orders")
+    orders = _landed(spark, sf_dir, "orders", evenly=True)
     target = orders.where(F.col("order_status") == "delivered")
     batch = _later(orders, "1 day").unionByName(_later(orders, "2 days"))
     return keyed.insert_if_absent(target, batch, ORDERS.key, [ORDERS.event_time])
@@ -396,14 +403,14 @@ def insert_if_absent(spark, sf_dir):
 @query
 def latest_per_shipment(spark, sf_dir):
     return keyed.latest_per_key(
-        _landed(spark, sf_dir, "logistics"), LOGISTICS.key, [LOGISTICS.event_time]
+        _landed(spark, sf_dir, "logistics", evenly=True), LOGISTICS.key, [LOGISTICS.event_time]
     )
 
 
 @query
 def update_latest(spark, sf_dir):
     """Delivered shipments are in the table; then the updates of those in transit come in."""
-    rows = _landed(spark, sf_dir, "logistics")
+    rows = _landed(spark, sf_dir, "logistics", evenly=True)
     order = [LOGISTICS.event_time]
     in_transit = F.col("shipment_status") == "in_transit"
     target = keyed.latest_per_key(rows.where(~in_transit), LOGISTICS.key, order)
@@ -412,6 +419,104 @@ def update_latest(spark, sf_dir):
 
 @query
 def user_events_dedup(spark, sf_dir):
-    events = _landed(spark, sf_dir, "user_events")
+    events = _landed(spark, sf_dir, "user_events", evenly=True)
     again = events.unionByName(_later(events, "1 minute"))
     return keyed.first_per_key(again, USER_EVENTS.key, [USER_EVENTS.event_time, "ingested_at"])
+
+
+# --- streams ---------------------------------------------------------------------
+# Each takes the whole table as a stream until all of it is processed, and gives what
+# the sink then holds. Tables and checkpoints go to a new part of the shared folder.
+
+
+def _new_folder(spark) -> str:
+    return f"{shared_dir(spark)}/sluice-{uuid.uuid4().hex}"
+
+
+def _stream_job(spark, sf_dir, kind, folder, damaged=False):
+    spec = get_spec(kind)
+    sink = StateTable if spec.policy == "update" else AppendTable
+    return IngestJob(
+        spec,
+        testdata.stream_messages(spark, sf_dir, kind, damaged),
+        sink(spark, f"{folder}/table", spec),
+        f"{folder}/checkpoint",
+        Quarantine(f"{folder}/quarantine"),
+        StatsLog(f"{folder}/stats"),
+        max_age_ms=None,
+    )
+
+
+def _run(job):
+    start_ingest(job, {"availableNow": True}).awaitTermination()
+
+
+def _append_stream(df, folder):
+    """What an append-mode stream of ``df`` writes until its input is used up."""
+    query = (
+        df.writeStream.format("parquet")
+        .option("checkpointLocation", f"{folder}/checkpoint")
+        .trigger(availableNow=True)
+        .start(f"{folder}/out")
+    )
+    query.awaitTermination()
+    return df.sparkSession.read.schema(df.schema).parquet(f"{folder}/out")
+
+
+@query
+def stream_insert_if_absent(spark, sf_dir):
+    """Weather messages, some damaged, into their table; then all of them once more."""
+    folder = _new_folder(spark)
+    job = _stream_job(spark, sf_dir, "weather", folder, damaged=True)
+    _run(job)
+    _run(replace(job, checkpoint=f"{folder}/checkpoint-lost"))
+    return job.table.read().drop("event_date", "ingested_at")
+
+
+@query
+def stream_update_latest(spark, sf_dir):
+    job = _stream_job(spark, sf_dir, "logistics", _new_folder(spark))
+    _run(job)
+    return job.table.read().drop("ingested_at")
+
+
+@query
+def stream_quarantine(spark, sf_dir):
+    job = _stream_job(spark, sf_dir, "weather", _new_folder(spark), damaged=True)
+    _run(job)
+    return job.quarantine.read(spark).select(
+        "source_partition", "source_offset", F.concat_ws(",", "errors").alias("errors")
+    )
+
+
+@query
+def stream_stats(spark, sf_dir):
+    job = _stream_job(spark, sf_dir, "weather", _new_folder(spark), damaged=True)
+    _run(job)
+    return job.stats.read(spark).groupBy("metric_name").agg(
+        F.sum("metric_value").alias("metric_value")
+    )
+
+
+def _event_stream(spark, sf_dir):
+    messages = testdata.stream_messages(spark, sf_dir, "user_events")
+    return transform.conform(
+        transform.ingest(messages, USER_EVENTS, F.col("source_timestamp"), ["timestamp"]),
+        USER_EVENTS,
+    ).drop("source_timestamp")
+
+
+@query
+def stream_events_tumbling(spark, sf_dir):
+    """Windows that are closed once all events are in: they end a day before the last one."""
+    counts = windowed_counts(_event_stream(spark, sf_dir))
+    return _append_stream(counts, _new_folder(spark))
+
+
+@query
+def stream_dedup(spark, sf_dir):
+    events = _event_stream(spark, sf_dir)
+    twice = events.unionByName(events)
+    return _append_stream(
+        dedup_stream(twice, USER_EVENTS.key, USER_EVENTS.event_time), _new_folder(spark)
+    )

@@ -37,9 +37,9 @@ def _epoch_ms(ts: Column) -> Column:
     return F.unix_millis(ts.cast("timestamp"))
 
 
-def _weather(spark, sf_dir):
+def _weather(rows: DataFrame) -> DataFrame:
     n = F.col("event_id")
-    return table(spark, sf_dir, "events").select(
+    return rows.select(
         _uuid(n).alias("message_id"),
         F.format_string("weather-sensor-%02d", F.col("user_id") % 10 + 1).alias("device_id"),
         F.col("value").alias("temperature"),
@@ -51,10 +51,10 @@ def _weather(spark, sf_dir):
     )
 
 
-def _user_events(spark, sf_dir):
+def _user_events(rows: DataFrame) -> DataFrame:
     n = F.col("event_id")
     user = F.col("user_id").cast("string")
-    return table(spark, sf_dir, "events").select(
+    return rows.select(
         _uuid(n).alias("message_id"),
         F.col("user_id").cast("int").alias("user_id"),
         "event_type",
@@ -67,7 +67,7 @@ def _user_events(spark, sf_dir):
     )
 
 
-def _orders(spark, sf_dir):
+def _orders(rows: DataFrame) -> DataFrame:
     key = F.col("o_orderkey")
 
     def quantity(i: Column) -> Column:
@@ -91,7 +91,7 @@ def _orders(spark, sf_dir):
     total = F.aggregate(
         numbers, F.lit(0).cast("long"), lambda acc, i: acc + quantity(i) * cents(i)
     )
-    return table(spark, sf_dir, "orders").select(
+    return rows.select(
         _uuid(key).alias("order_id"),
         F.col("o_custkey").cast("int").alias("customer_id"),
         F.when(F.col("o_orderstatus") == "F", "delivered")
@@ -108,9 +108,9 @@ def _orders(spark, sf_dir):
     )
 
 
-def _logistics(spark, sf_dir):
+def _logistics(rows: DataFrame) -> DataFrame:
     key = F.col("l_orderkey")
-    return table(spark, sf_dir, "lineitem").select(
+    return rows.select(
         _uuid(key).alias("shipment_id"),
         _uuid(key).alias("order_id"),
         F.when(F.col("l_linestatus") == "O", "in_transit").otherwise("delivered").alias("status"),
@@ -126,7 +126,7 @@ def _logistics(spark, sf_dir):
     )
 
 
-def _inventory(spark, sf_dir):
+def _inventory(rows: DataFrame) -> DataFrame:
     line = F.concat_ws(
         "|",
         *[F.col(c).cast("string") for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")],
@@ -138,7 +138,7 @@ def _inventory(spark, sf_dir):
     )
     returned = F.col("l_returnflag") == "R"
     quantity = F.col("l_quantity").cast("int")
-    return table(spark, sf_dir, "lineitem").select(
+    return rows.select(
         _hash_uuid(line).alias("message_id"),
         F.concat(F.lit("SKU-"), F.col("l_partkey").cast("string")).alias("item_sku"),
         F.concat(F.lit("WH"), (F.col("l_suppkey") % 4 + 1).cast("string")).alias("warehouse_id"),
@@ -151,24 +151,57 @@ def _inventory(spark, sf_dir):
 
 
 _KINDS = {
-    "weather": _weather,
-    "orders": _orders,
-    "logistics": _logistics,
-    "inventory": _inventory,
-    "user_events": _user_events,
+    "weather": ("events", _weather),
+    "orders": ("orders", _orders),
+    "logistics": ("lineitem", _logistics),
+    "inventory": ("lineitem", _inventory),
+    "user_events": ("events", _user_events),
 }
 
 # The broker stamps a message 0.25 s to 29.25 s after the event.
 _ARRIVAL = "timestamp_millis(timestamp + _n % 30 * 1000 + 250)"
 
 
-def wire_rows(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
-    """The wire fields of every message of ``kind``, one row each, before encoding."""
-    return _KINDS[kind](spark, sf_dir)
+def spread(df: DataFrame) -> DataFrame:
+    """Scanned rows over all cores, where the files have fewer splits than that.
+
+    The given tables are single row groups, which one task would encode and parse
+    alone. A scan with at least one split per core is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
+def wire_rows(rows: DataFrame, kind: str) -> DataFrame:
+    """The wire fields of every message of ``kind``, one per table row, before encoding."""
+    return _KINDS[kind][1](rows)
+
+
+def source_rows(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    return table(spark, sf_dir, _KINDS[kind][0])
 
 
 def messages(spark: SparkSession, sf_dir: str, kind: str, damaged: bool = False) -> DataFrame:
-    """All messages of ``kind`` as Kafka records.
+    """All messages of ``kind`` as Kafka records."""
+    return encoded(spread(source_rows(spark, sf_dir, kind)), kind, damaged)
+
+
+def stream_messages(
+    spark: SparkSession, sf_dir: str, kind: str, damaged: bool = False
+) -> DataFrame:
+    """The same messages as a stream that starts with the table's file."""
+    name = _KINDS[kind][0]
+    rows = (
+        configure(spark)
+        .readStream.schema(table(spark, sf_dir, name).schema)
+        .option("pathGlobFilter", f"{name}.parquet")
+        .parquet(sf_dir)
+    )
+    return encoded(rows, kind, damaged)
+
+
+def encoded(rows: DataFrame, kind: str, damaged: bool = False) -> DataFrame:
+    """Table rows as the messages they stand for.
 
     With ``damaged``, some are spoilt in the ways brokers and devices spoil them: not
     JSON, cut short, empty, time in quotes, key missing, or an unknown field added.
@@ -186,7 +219,7 @@ def messages(spark: SparkSession, sf_dir: str, kind: str, damaged: bool = False)
             .when(defect == 5, F.regexp_replace(body, "^\\{", '{"extra":1,'))
             .otherwise(body)
         )
-    return wire_rows(spark, sf_dir, kind).select(
+    return wire_rows(rows, kind).select(
         F.format_string("device-%d", F.col("_n") % 10).cast("binary").alias("key"),
         body.cast("binary").alias("value"),
         F.lit(spec.topic).alias("topic"),
@@ -196,11 +229,15 @@ def messages(spark: SparkSession, sf_dir: str, kind: str, damaged: bool = False)
     )
 
 
-def landed(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
-    """The table a finished ingest of ``messages`` holds (before de-duplication)."""
+def landed(spark: SparkSession, sf_dir: str, kind: str, evenly: bool = False) -> DataFrame:
+    """The table a finished ingest of ``messages`` holds (before de-duplication).
+
+    ``evenly`` spreads it for reports that do much work per row.
+    """
     spec = get_spec(kind)
-    rows = project(wire_rows(spark, sf_dir, kind), spec, F.expr(_ARRIVAL))
-    return conform(rows, spec)
+    rows = source_rows(spark, sf_dir, kind)
+    wire = wire_rows(spread(rows) if evenly else rows, kind)
+    return conform(project(wire, spec, F.expr(_ARRIVAL)), spec)
 
 
 def device_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
