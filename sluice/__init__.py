@@ -1,6 +1,6 @@
 """Land JSON event streams as clean, keyed tables on Spark and report on them."""
 
-from .session import configure
+from .session import configure, create_session
 from .specs import DatasetSpec, TableColumn, all_specs, get_spec, register, wire
 
 __all__ = [
@@ -8,6 +8,7 @@ __all__ = [
     "TableColumn",
     "all_specs",
     "configure",
+    "create_session",
     "get_spec",
     "register",
     "wire",

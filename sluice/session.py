@@ -30,6 +30,24 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def create_session(app_name: str, master: str | None = None) -> SparkSession:
+    """A configured session for one application of long-running streams.
+
+    ``master`` is only needed outside ``spark-submit``.
+    """
+    builder = (
+        SparkSession.builder.appName(app_name)
+        # Streams of one application take turns instead of queueing behind each other.
+        .config("spark.scheduler.mode", "FAIR")
+        # How long a silent executor is waited for.
+        .config("spark.network.timeout", "600s")
+        .config("spark.executor.heartbeatInterval", "60s")
+    )
+    if master is not None:
+        builder = builder.master(master)
+    return configure(builder.getOrCreate())
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 

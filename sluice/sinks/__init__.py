@@ -1,6 +1,6 @@
 """Where landed rows are written. Every sink may be given the same batch twice."""
 
-from .database import DatabaseTable, upsert_statement
+from .database import DatabaseTable, postgres_settings, upsert_statement
 from .jdbc import append_jdbc
 from .parquet import AppendTable, Quarantine, StateTable, export_tables, restore_tables
 from .stats import StatsLog
@@ -13,6 +13,7 @@ __all__ = [
     "StatsLog",
     "append_jdbc",
     "export_tables",
+    "postgres_settings",
     "restore_tables",
     "upsert_statement",
 ]

@@ -50,11 +50,13 @@ class AppendTable:
     """Insert-if-absent: the first row of a key stays, later ones are ignored.
 
     The folder is partitioned by event date, cut to its ``grain`` (``"day"``, ``"month"``
-    or ``"year"``; coarser for little data over a long time). ``probe`` says where keys are looked up
-    before an insert: ``"all"`` dates, which finds every earlier copy, or only the
-    ``"dates"`` that occur in the batch. The latter is all that redelivered messages
-    need, as a copy carries the same event time, and its cost does not grow with the
-    table; it would miss a key that comes back with another date.
+    or ``"year"``; coarser for little data over a long time).
+
+    Before an insert, the batch's keys are looked up in the table. By default the key
+    column of all dates is read, which finds every earlier copy but grows with the
+    table. ``probe_days=n`` reads only the dates of the batch and ``n`` days around
+    them: 0 finds all redelivered messages, since a copy carries the same event time,
+    and more days also find keys that come back with another time not too far off.
 
     ``null_key`` says what to do with rows without a key: ``"reject"`` fails the
     write, ``"append"`` adds them each time, as a nullable unique column would.
@@ -65,19 +67,20 @@ class AppendTable:
         spark: SparkSession,
         path: str,
         spec: DatasetSpec,
-        probe: str = "all",
+        probe_days: int | None = None,
         null_key: str = "reject",
         grain: str = "day",
         broadcast_keys: int = BROADCAST_KEYS,
     ) -> None:
-        if probe not in ("all", "dates"):
-            raise ValueError(f"unknown probe {probe!r}")
+        if probe_days is not None and probe_days < 0:
+            raise ValueError("probe_days must not be negative")
         if null_key not in ("reject", "append"):
             raise ValueError(f"unknown null_key {null_key!r}")
         if grain not in ("day", "month", "year"):
             raise ValueError(f"unknown grain {grain!r}")
         self.spark, self.path, self.spec = spark, path, spec
-        self.probe, self.null_key, self.broadcast_keys = probe, null_key, broadcast_keys
+        self.probe_days, self.null_key = probe_days, null_key
+        self.grain, self.broadcast_keys = grain, broadcast_keys
         self._date = F.date_trunc(grain, spec.event_time).cast("date")
 
     def read(self) -> DataFrame | None:
@@ -110,15 +113,27 @@ class AppendTable:
         if present is None:
             return rows
         key = self.spec.key
-        if self.probe == "dates":
-            dates = [r[0] for r in rows.select(DATE).distinct().collect()]
-            present = present.where(F.col(DATE).isin(dates))
+        if self.probe_days is not None:
+            present = present.where(F.col(DATE).isin(self._probed_dates(rows)))
         present = present.select(key)
         if rows.count() <= self.broadcast_keys:
             # Few keys: send them to the table's scan instead of shuffling the table.
             present = present.join(F.broadcast(rows.select(key)), key, "left_semi")
         return rows.join(present, key, "left_anti")
 
+    def _probed_dates(self, rows: DataFrame) -> list:
+        """The partitions to look up: at most one per calendar day the batch covers."""
+        day = F.col("_day")
+        nearby = F.sequence(F.date_sub(day, self.probe_days), F.date_add(day, self.probe_days))
+        dates = (
+            rows.select(F.to_date(self.spec.event_time).alias("_day"))
+            .distinct()
+            .select(F.explode(nearby).alias("_day"))
+            .select(F.date_trunc(self.grain, day).cast("date"))
+            .distinct()
+        )
+        return [row[0] for row in dates.collect()]
+
 
 class StateTable:
     """Update-latest: one row per key, the one with the latest event time.

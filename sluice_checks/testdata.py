@@ -168,8 +168,15 @@ def spread(df: DataFrame) -> DataFrame:
     The given tables are single row groups, which one task would encode and parse
     alone. A scan with at least one split per core is left as it is.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    return df.repartition(_cores(df)) if _few_splits(df) else df
+
+
+def _cores(df: DataFrame) -> int:
+    return df.sparkSession.sparkContext.defaultParallelism
+
+
+def _few_splits(scan: DataFrame) -> bool:
+    return scan.rdd.getNumPartitions() < _cores(scan)
 
 
 def wire_rows(rows: DataFrame, kind: str) -> DataFrame:
@@ -191,13 +198,13 @@ def stream_messages(
 ) -> DataFrame:
     """The same messages as a stream that starts with the table's file."""
     name = _KINDS[kind][0]
+    scan = table(spark, sf_dir, name)
     rows = (
-        configure(spark)
-        .readStream.schema(table(spark, sf_dir, name).schema)
+        spark.readStream.schema(scan.schema)
         .option("pathGlobFilter", f"{name}.parquet")
         .parquet(sf_dir)
     )
-    return encoded(rows, kind, damaged)
+    return encoded(rows.repartition(_cores(scan)) if _few_splits(scan) else rows, kind, damaged)
 
 
 def encoded(rows: DataFrame, kind: str, damaged: bool = False) -> DataFrame:

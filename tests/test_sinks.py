@@ -49,10 +49,13 @@ def parts(df, key, n, seed):
     return [mixed.where(F.col("_batch") == i).drop("_batch") for i in range(n)]
 
 
-@pytest.mark.parametrize("probe", ["all", "dates"])
+@pytest.mark.parametrize("probe_days, grain", [(None, "day"), (0, "day"), (1, "month")])
 @pytest.mark.parametrize("broadcast_keys", [0, 500_000])
-def test_insert_if_absent(spark, events, tmp_path, probe, broadcast_keys):
-    table = AppendTable(spark, str(tmp_path / "t"), USER_EVENTS, probe, broadcast_keys=broadcast_keys)
+def test_insert_if_absent(spark, events, tmp_path, probe_days, grain, broadcast_keys):
+    table = AppendTable(
+        spark, str(tmp_path / "t"), USER_EVENTS, probe_days, grain=grain,
+        broadcast_keys=broadcast_keys,
+    )
     assert table.read() is None
     for batch in parts(events, "message_id", 3, 1):
         table.write(batch.unionByName(batch))
@@ -66,8 +69,8 @@ def test_insert_if_absent(spark, events, tmp_path, probe, broadcast_keys):
 def test_probe_scope(spark, events, tmp_path):
     moved = events.withColumn("event_timestamp", F.col("event_timestamp") + F.expr("INTERVAL 40 DAYS"))
     n = events.count()
-    for probe, expected in (("all", n), ("dates", 2 * n)):
-        table = AppendTable(spark, str(tmp_path / probe), USER_EVENTS, probe)
+    for probe_days, expected in ((None, n), (40, n), (0, 2 * n)):
+        table = AppendTable(spark, str(tmp_path / str(probe_days)), USER_EVENTS, probe_days)
         table.write(events)
         table.write(moved)
         assert table.read().count() == expected
