@@ -133,14 +133,14 @@ def flag(
     malformed = F.col(RAW).isNull() | (F.trim(RAW) == "") | (
         F.col(CORRUPT).isNotNull() & nothing_parsed
     )
-    broken = F.array_compact(
-        F.array(
-            *[F.when(bad, F.lit(label)) for label, bad in rule_violations(spec, as_of, max_age_ms)]
-        )
-    )
-    return parsed.withColumn(
-        "errors", F.when(malformed, F.array(F.lit("malformed"))).otherwise(broken)
+    # Joined text, then split: unlike array functions with a lambda this is compiled.
+    broken = F.concat_ws(
+        ",",
+        *[F.when(bad, F.lit(label)) for label, bad in rule_violations(spec, as_of, max_age_ms)],
     )
+    labels = F.when(malformed, F.lit("malformed")).otherwise(broken)
+    none = F.array().cast("array<string>")
+    return parsed.withColumn("errors", F.when(labels == "", none).otherwise(F.split(labels, ",")))
 
 
 def valid(flagged: DataFrame) -> DataFrame:
