@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -12,20 +13,27 @@ from ..session import cut_lineage
 
 # A key with more rows than this is spread over several tasks.
 HOT_ROWS = 5_000_000
+# Pieces are about as large as that, but no more than this many tasks are made.
+MAX_PIECES = 100_000
 # At most this many keys are treated as hot. The largest come first, so any key left
 # out holds less than 1/HOT_KEYS of the rows and is cheap to sort in one task.
 HOT_KEYS = 1_000
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
-    """The keys with more than ``hot_rows`` rows (never more than ``HOT_KEYS``), or None.
+def hot_keys(
+    df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS
+) -> tuple[DataFrame, int] | None:
+    """The keys with more than ``hot_rows`` rows (never more than ``HOT_KEYS``) and how many
+    rows they have together; None if there are no such keys.
 
     Counting reads only the key columns and is combined before the shuffle.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
-    found = counts.orderBy(F.desc("_n"), *keys).limit(HOT_KEYS).select(*keys)
-    rows = found.collect()
-    return df.sparkSession.createDataFrame(rows, found.schema) if rows else None
+    rows = counts.orderBy(F.desc("_n"), *keys).limit(HOT_KEYS).collect()
+    if not rows:
+        return None
+    found = df.sparkSession.createDataFrame(rows, counts.schema).drop("_n")
+    return found, sum(row["_n"] for row in rows)
 
 
 def running_total(
@@ -42,13 +50,15 @@ def running_total(
     The rows of hot keys are spread by range of key and order instead, summed within
     each piece, and lifted by the total of the pieces before it.
     """
-    hot = hot_keys(df, keys, hot_rows)
-    if hot is None:
+    found = hot_keys(df, keys, hot_rows)
+    if found is None:
         return _windowed(df, keys, order, value, name)
+    hot, rows = found
+    pieces = max(2, math.ceil(rows / max(hot_rows, 1)))
     cold_part = df.join(F.broadcast(hot), list(keys), "left_anti")
     hot_part = df.join(F.broadcast(hot), list(keys), "left_semi")
     return _windowed(cold_part, keys, order, value, name).unionByName(
-        _pieced(hot_part, keys, order, value, name)
+        _pieced(hot_part, keys, order, value, name, min(pieces, MAX_PIECES))
     )
 
 
@@ -61,11 +71,11 @@ def _windowed(df, keys, order, value, name):
     return df.withColumn(name, F.sum(value).over(up_to_here))
 
 
-def _pieced(df, keys, order, value, name):
+def _pieced(df, keys, order, value, name, n):
     # The pieces are written down, since they are read twice below and range
     # boundaries come from a sample that need not repeat.
     pieces = cut_lineage(
-        df.repartitionByRange(*keys, *order).withColumn("_piece", F.spark_partition_id())
+        df.repartitionByRange(n, *keys, *order).withColumn("_piece", F.spark_partition_id())
     )
     earlier_pieces = (
         Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)

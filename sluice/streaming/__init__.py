@@ -1,6 +1,6 @@
 """Streaming ingest of the datasets, watermarked reports, and progress of running queries."""
 
-from .ingest import IngestJob, run_all, start_ingest
+from .ingest import IngestJob, ingest_batch, run_all, start_ingest
 from .progress import checkpointed_batches, progress, source_lag
 from .windows import dedup_stream, windowed_counts
 
@@ -8,6 +8,7 @@ __all__ = [
     "IngestJob",
     "checkpointed_batches",
     "dedup_stream",
+    "ingest_batch",
     "progress",
     "run_all",
     "source_lag",

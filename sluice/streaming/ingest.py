@@ -41,9 +41,11 @@ class IngestJob:
     max_age_ms: int | None = quality.MAX_AGE_MS
 
 
-def batch_writer(job: IngestJob) -> Callable[[DataFrame, int], None]:
+def batch_writer(job: IngestJob, load: str | None = None) -> Callable[[DataFrame, int], None]:
     """The function that writes one micro-batch of flagged messages.
 
+    ``load`` names what is written outside a stream, which has an id of its own.
+
     The batch is evaluated once and feeds the counts, the table and the quarantine.
     An error is raised on, so the query stops and the batch is repeated on restart.
     """
@@ -51,7 +53,7 @@ def batch_writer(job: IngestJob) -> Callable[[DataFrame, int], None]:
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        query_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
+        query_id = load or spark.sparkContext.getLocalProperty("sql.streaming.queryId")
         with kept(batch) as rows:
             total, good = rows.agg(
                 F.count(F.lit(1)), F.count_if(F.size("errors") == 0)
@@ -85,6 +87,16 @@ def flagged_messages(job: IngestJob) -> DataFrame:
     return quality.flag(parsed, job.spec, job.as_of, job.max_age_ms)
 
 
+def ingest_batch(job: IngestJob, load: str) -> None:
+    """Land a bounded set of messages in one go, for example a backlog.
+
+    ``load`` names this set: repeating a load replaces its quarantined messages and
+    counts, and the table ignores rows it has.
+    """
+    configure(job.messages.sparkSession)
+    batch_writer(job, load)(flagged_messages(job), 0)
+
+
 def start_ingest(job: IngestJob, trigger: dict[str, Any] | None = None) -> StreamingQuery:
     """Start the stream; it resumes from its checkpoint.
 

@@ -68,7 +68,8 @@ def _flagged(spark, sf_dir, kind):
 
 @query
 def read_messages_limit(spark, sf_dir):
-    return take_messages(testdata.messages(spark, sf_dir, "weather"), 20, ("offset", "partition"))
+    messages = testdata.messages(spark, sf_dir, "weather", evenly=False)
+    return take_messages(messages, 20, ("offset", "partition"))
 
 
 @query
@@ -335,7 +336,9 @@ def table_sizes(spark, sf_dir):
 
 @query
 def offsets_by_partition(spark, sf_dir):
-    return monitoring.offsets_by_partition(testdata.messages(spark, sf_dir, "weather"))
+    return monitoring.offsets_by_partition(
+        testdata.messages(spark, sf_dir, "weather", evenly=False)
+    )
 
 
 # --- validation ------------------------------------------------------------------

@@ -188,9 +188,12 @@ def source_rows(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     return table(spark, sf_dir, _KINDS[kind][0])
 
 
-def messages(spark: SparkSession, sf_dir: str, kind: str, damaged: bool = False) -> DataFrame:
-    """All messages of ``kind`` as Kafka records."""
-    return encoded(spread(source_rows(spark, sf_dir, kind)), kind, damaged)
+def messages(
+    spark: SparkSession, sf_dir: str, kind: str, damaged: bool = False, evenly: bool = True
+) -> DataFrame:
+    """All messages of ``kind`` as Kafka records, spread for parsing if ``evenly``."""
+    rows = source_rows(spark, sf_dir, kind)
+    return encoded(spread(rows) if evenly else rows, kind, damaged)
 
 
 def stream_messages(

@@ -1,4 +1,5 @@
 import os
+from dataclasses import replace
 from datetime import datetime
 
 import pytest
@@ -15,6 +16,7 @@ from sluice.streaming import (
     IngestJob,
     checkpointed_batches,
     dedup_stream,
+    ingest_batch,
     progress,
     run_all,
     source_lag,
@@ -125,6 +127,19 @@ def test_resume_and_redelivery(spark, tmp_path):
     assert contents(job.table.read(), ORDERS) == before
 
 
+def test_bounded_load_can_be_repeated(spark, tmp_path):
+    messages = write_files(spark, "orders", str(tmp_path / "orders-in"))
+    job = replace(make_job(spark, tmp_path, "orders"), messages=messages)
+    for _ in range(2):
+        ingest_batch(job, "2024-backlog")
+        assert contents(job.table.read(), ORDERS) == contents(expected_table(messages, ORDERS), ORDERS)
+        rejected = job.quarantine.read(spark)
+        assert {r["query_id"] for r in rejected.select("query_id").distinct().collect()} == {
+            "2024-backlog"
+        }
+        assert rejected.count() + job.table.read().count() == messages.count()
+
+
 class Flaky:
     """A table whose write succeeds and is then reported as failed, once."""
 
