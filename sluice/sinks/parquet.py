@@ -24,6 +24,8 @@ POSITION = ("source_offset", "source_partition")
 # Keys of one batch are broadcast to the scan of the table up to this many rows; with
 # identifiers of some 40 bytes that is about 20 MB.
 BROADCAST_KEYS = 500_000
+# Up to this many date folders are opened one by one; for more the table is listed.
+LISTED_DATES = 366
 
 
 @contextmanager
@@ -46,6 +48,13 @@ def _read(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
+def _files(spark: SparkSession, path: str):
+    """Hadoop's file classes and the file system ``path`` is on."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    configuration = spark.sparkContext._jsc.hadoopConfiguration()
+    return hadoop, hadoop.Path(path).getFileSystem(configuration)
+
+
 class AppendTable:
     """Insert-if-absent: the first row of a key stays, later ones are ignored.
 
@@ -109,18 +118,34 @@ class AppendTable:
             ).parquet(self.path)
 
     def _absent(self, rows: DataFrame) -> DataFrame:
-        present = self.read()
+        """The rows whose key the table does not hold."""
+        present = self._keys_near(rows)
         if present is None:
             return rows
         key = self.spec.key
-        if self.probe_days is not None:
-            present = present.where(F.col(DATE).isin(self._probed_dates(rows)))
-        present = present.select(key)
         if rows.count() <= self.broadcast_keys:
             # Few keys: send them to the table's scan instead of shuffling the table.
             present = present.join(F.broadcast(rows.select(key)), key, "left_semi")
         return rows.join(present, key, "left_anti")
 
+    def _keys_near(self, rows: DataFrame) -> DataFrame | None:
+        """The table's keys, as far as they are looked up, or None if there are none."""
+        key = self.spec.key
+        dates = None if self.probe_days is None else self._probed_dates(rows)
+        if dates is None or len(dates) > LISTED_DATES:
+            table = self.read()
+            if table is None:
+                return None
+            return (table if dates is None else table.where(F.col(DATE).isin(dates))).select(key)
+        # Going to the folders themselves saves listing all others.
+        folders = [f"{self.path}/{DATE}={date}" for date in dates]
+        hadoop, files = _files(self.spark, self.path)
+        folders = [folder for folder in folders if files.exists(hadoop.Path(folder))]
+        if not folders:
+            return None
+        schema = rows.select(key).schema
+        return self.spark.read.schema(schema).parquet(*folders).select(key)
+
     def _probed_dates(self, rows: DataFrame) -> list:
         """The partitions to look up: at most one per calendar day the batch covers."""
         day = F.col("_day")
@@ -203,10 +228,8 @@ class StateTable:
 
     def _current(self) -> int:
         """The newest generation whose write was completed; 0 before the first."""
-        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs
-        root = hadoop.Path(self.path)
-        files = root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        done = files.globStatus(hadoop.Path(root, "gen=*/_SUCCESS")) or []
+        hadoop, files = _files(self.spark, self.path)
+        done = files.globStatus(hadoop.Path(f"{self.path}/gen=*/_SUCCESS")) or []
         return max((int(f.getPath().getParent().getName()[4:]) for f in done), default=0)
 
 

@@ -76,6 +76,14 @@ def test_probe_scope(spark, events, tmp_path):
         assert table.read().count() == expected
 
 
+def test_many_dates_are_looked_up_by_listing(spark, events, tmp_path, monkeypatch):
+    monkeypatch.setattr("sluice.sinks.parquet.LISTED_DATES", 0)
+    table = AppendTable(spark, str(tmp_path / "t"), USER_EVENTS, probe_days=0)
+    for _ in range(2):
+        table.write(events)
+    assert table.read().count() == events.count()
+
+
 def test_append_table_reads_only_needed_dates_and_columns(spark, events, tmp_path):
     table = AppendTable(spark, str(tmp_path / "t"), USER_EVENTS)
     table.write(events)
