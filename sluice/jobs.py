@@ -52,4 +52,4 @@ def main(argv: Sequence[str] | None = None) -> None:
         )
 
     jobs = [warehouse.job(spec, messages(spec), **settings) for spec in specs]
-    run_all(spark, jobs, {"availableNow": True} if options.once else None)
+    run_all(jobs, {"availableNow": True} if options.once else None)

@@ -6,7 +6,7 @@ from dataclasses import dataclass
 from datetime import datetime, timezone
 from typing import Any, Protocol
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -21,6 +21,8 @@ logger = logging.getLogger(__name__)
 
 # Where a message came from, kept to break ties and to find rejected messages again.
 POSITION = ("partition", "offset")
+# How long to wait for one stream before looking after the others.
+CHECK_SECONDS = 5
 
 
 class TableSink(Protocol):
@@ -121,16 +123,18 @@ def start_ingest(job: IngestJob, trigger: dict[str, Any] | None = None) -> Strea
 
 
 def run_all(
-    spark: SparkSession, jobs: Iterable[IngestJob], trigger: dict[str, Any] | None = None
+    jobs: Iterable[IngestJob], trigger: dict[str, Any] | None = None
 ) -> list[StreamingQuery]:
-    """Run several streams until all end, or one fails; then stop the rest and raise."""
+    """Run several streams until all end, or one fails; then stop the rest and raise.
+
+    Only these streams are watched, not others of the session.
+    """
     queries: list[StreamingQuery] = []
     try:
         queries.extend(start_ingest(job, trigger) for job in jobs)
-        while any(query.isActive for query in queries):
-            spark.streams.awaitAnyTermination()
+        while active := [query for query in queries if query.isActive]:
+            active[0].awaitTermination(CHECK_SECONDS)
             _raise_failure(queries)
-            spark.streams.resetTerminated()
         _raise_failure(queries)
     finally:
         for query in queries:

@@ -437,6 +437,18 @@ def oracle_sql() -> dict[str, str]:
     sql["update_latest"] = _with("logistics_shipments") + LATEST_SHIPMENT
     sql["user_events_dedup"] = _with("user_events") + "SELECT * FROM user_events"
 
+    sql["export_restore"] = sql["conform_orders"]
+    sql["ingest_new_kind"] = f"""
+        SELECT {UUID.format("event_id")} AS message_id,
+               'machine-0' || CAST(user_id % 5 + 1 AS VARCHAR) AS machine_id,
+               CAST(value AS DECIMAL(5,2)) AS cpu_usage,
+               CAST(event_id % 103 AS DECIMAL(5,2)) AS memory_usage,
+               CAST(event_id % 1001 AS INTEGER) AS disk_io,
+               date_trunc('millisecond', ts) AS recorded_at
+        FROM events WHERE value BETWEEN 0 AND 100 AND event_id % 103 <= 100"""
+    sql["stream_progress"] = """
+        SELECT 'weather' AS query, count(*) AS input_rows, CAST(0 AS BIGINT) AS latest_batch
+        FROM events"""
     valid_weather = f"""SELECT {NARROW["weather"]} FROM (SELECT {INGEST["weather"]}
         FROM wire_weather WHERE {_errors("weather")} = '')"""
     sql["stream_insert_if_absent"] = _with("wire_weather") + valid_weather

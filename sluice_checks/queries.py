@@ -9,15 +9,41 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType
 
 from sluice import functions
 from sluice.operators import keyed, quality, routing, transform
 from sluice.plans import monitoring, reports
 from sluice.session import shared_dir
-from sluice.sinks import AppendTable, Quarantine, StateTable, StatsLog
+from sluice.sinks import (
+    AppendTable,
+    Quarantine,
+    StateTable,
+    StatsLog,
+    export_tables,
+    restore_tables,
+)
 from sluice.sources import take_messages
-from sluice.specs import LOGISTICS, ORDERS, USER_EVENTS, WEATHER, all_specs, get_spec
-from sluice.streaming import IngestJob, dedup_stream, start_ingest, windowed_counts
+from sluice.specs import (
+    EVENT_TIME,
+    LOGISTICS,
+    ORDERS,
+    USER_EVENTS,
+    WEATHER,
+    DatasetSpec,
+    TableColumn,
+    all_specs,
+    get_spec,
+    wire,
+)
+from sluice.streaming import (
+    IngestJob,
+    checkpointed_batches,
+    dedup_stream,
+    progress,
+    start_ingest,
+    windowed_counts,
+)
 
 from . import testdata
 
@@ -427,6 +453,50 @@ def user_events_dedup(spark, sf_dir):
     return keyed.first_per_key(again, USER_EVENTS.key, [USER_EVENTS.event_time, "ingested_at"])
 
 
+@query
+def export_restore(spark, sf_dir):
+    folder = _new_folder(spark)
+    export_tables({"sales_orders": _landed(spark, sf_dir, "orders")}, folder)
+    return restore_tables(spark, folder, ["sales_orders"])["sales_orders"]
+
+
+# A kind the library does not know, to show that its record is all it takes.
+MACHINE_METRICS = DatasetSpec(
+    name="machine_metrics",
+    topic="iot.machine.metrics",
+    table="machine_metrics",
+    wire_schema=wire(
+        message_id=StringType(),
+        machine_id=StringType(),
+        cpu_usage=DoubleType(),
+        memory_usage=DoubleType(),
+        disk_io=IntegerType(),
+        timestamp=LongType(),
+    ),
+    columns=(
+        TableColumn("message_id", "message_id", "string", uuid=True),
+        TableColumn("machine_id", "machine_id", "string", max_length=50),
+        TableColumn("cpu_usage", "cpu_usage", "decimal(5,2)"),
+        TableColumn("memory_usage", "memory_usage", "decimal(5,2)"),
+        TableColumn("disk_io", "disk_io", "int"),
+        TableColumn("recorded_at", EVENT_TIME, "timestamp_ntz"),
+    ),
+    key="message_id",
+    event_time="recorded_at",
+    required=("message_id", "machine_id", "timestamp"),
+    ranges={"cpu_usage": (0, 100), "memory_usage": (0, 100)},
+)
+
+
+@query
+def ingest_new_kind(spark, sf_dir):
+    spec = MACHINE_METRICS
+    messages = testdata.machine_messages(spark, sf_dir, spec)
+    flagged = quality.flag(transform.parse(messages, spec, diagnose=True), spec, max_age_ms=None)
+    landed = transform.conform(transform.project(quality.valid(flagged), spec), spec)
+    return landed.drop("ingested_at")
+
+
 # --- streams ---------------------------------------------------------------------
 # Each takes the whole table as a stream until all of it is processed, and gives what
 # the sink then holds. Tables and checkpoints go to a new part of the shared folder.
@@ -451,7 +521,9 @@ def _stream_job(spark, sf_dir, kind, folder, damaged=False):
 
 
 def _run(job):
-    start_ingest(job, {"availableNow": True}).awaitTermination()
+    running = start_ingest(job, {"availableNow": True})
+    running.awaitTermination()
+    return running
 
 
 def _append_stream(df, folder):
@@ -501,6 +573,15 @@ def stream_stats(spark, sf_dir):
     )
 
 
+@query
+def stream_progress(spark, sf_dir):
+    """Rows read and the last batch of a stream that has caught up, each message read once."""
+    job = _stream_job(spark, sf_dir, "weather", _new_folder(spark))
+    reported = progress(spark, [_run(job)]).select("query", "input_rows")
+    recorded = checkpointed_batches(spark, {job.spec.name: job.checkpoint})
+    return reported.join(recorded.withColumnRenamed("job", "query"), "query")
+
+
 def _event_stream(spark, sf_dir):
     messages = testdata.stream_messages(spark, sf_dir, "user_events")
     return transform.conform(

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from sluice.operators.transform import conform, project
 from sluice.session import configure
-from sluice.specs import get_spec
+from sluice.specs import DatasetSpec, get_spec
 
 PAGES = ("home", "products", "checkout", "profile", "search", "wishlist")
 PRODUCTS = ("Widget-A", "Widget-B", "Gadget-X", "Tool-Y", "Accessory-Z")
@@ -275,3 +275,17 @@ def device_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.format_string("device-%d", F.col("user_id") % 10).alias("clientid"),
         F.col("ts").cast("timestamp").alias("timestamp"),
     )
+
+
+def machine_messages(spark: SparkSession, sf_dir: str, spec: DatasetSpec) -> DataFrame:
+    """Messages of a sixth kind: the load of five machines."""
+    n = F.col("event_id")
+    rows = spread(table(spark, sf_dir, "events")).select(
+        _uuid(n).alias("message_id"),
+        F.concat(F.lit("machine-0"), (F.col("user_id") % 5 + 1).cast("string")).alias("machine_id"),
+        F.col("value").alias("cpu_usage"),
+        (n % 103).cast("double").alias("memory_usage"),
+        (n % 1001).cast("int").alias("disk_io"),
+        _epoch_ms(F.col("ts")).alias("timestamp"),
+    )
+    return rows.select(F.to_json(F.struct(*spec.wire_schema.names)).cast("binary").alias("value"))

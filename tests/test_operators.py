@@ -2,20 +2,22 @@ from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-from sluice import DatasetSpec, TableColumn, get_spec, register, wire
+from sluice import DatasetSpec, TableColumn, get_spec, register, specs, wire
 from sluice.functions import seconds_between, topic_matches
 from sluice.operators import keyed, quality, routing
 from sluice.operators.running import hot_keys, running_total
 from sluice.operators.transform import conform, ingest, parse
 from sluice.plans import monitoring, reports
 from sluice.session import configure, shared_dir
-from sluice.sinks import AppendTable, append_jdbc
+from sluice.sinks import append_jdbc
 from sluice.sources import kafka_options, read_jdbc, stream_text, strings, take_messages
-from sluice.specs import EVENT_TIME, all_specs
-from sluice.streaming import IngestJob, start_ingest
+from sluice.specs import all_specs
+from sluice.streaming import start_ingest
+from sluice.warehouse import Warehouse
 from sluice_checks import testdata
-from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType
+from sluice_checks.queries import MACHINE_METRICS
 
 SMALL = "/root/testdata/sf0.001"
 KINDS = ("weather", "orders", "logistics", "inventory", "user_events")
@@ -259,56 +261,27 @@ def test_session_settings(spark):
 
 
 def test_a_new_kind_needs_only_a_spec(spark, tmp_path):
-    spec = register(
-        DatasetSpec(
-            name="machine_metrics",
-            topic="iot.machine.metrics",
-            table="machine_metrics",
-            wire_schema=wire(
-                message_id=StringType(), machine_id=StringType(), cpu_usage=DoubleType(),
-                memory_usage=DoubleType(), disk_io=IntegerType(), timestamp=LongType(),
-            ),
-            columns=(
-                TableColumn("message_id", "message_id", "string", uuid=True),
-                TableColumn("machine_id", "machine_id", "string", max_length=50),
-                TableColumn("cpu_usage", "cpu_usage", "decimal(5,2)"),
-                TableColumn("memory_usage", "memory_usage", "decimal(5,2)"),
-                TableColumn("disk_io", "disk_io", "int"),
-                TableColumn("recorded_at", EVENT_TIME, "timestamp_ntz"),
-            ),
-            key="message_id",
-            event_time="recorded_at",
-            required=("message_id", "machine_id", "timestamp"),
-            ranges={"cpu_usage": (0, 100), "memory_usage": (0, 100)},
-        )
+    spec = MACHINE_METRICS
+    lines = testdata.machine_messages(spark, SMALL, spec).selectExpr("CAST(value AS STRING) AS value")
+    lines.write.text(str(tmp_path / "in"))
+    job = Warehouse(spark, str(tmp_path)).job(
+        spec, stream_text(spark, str(tmp_path / "in")), max_age_ms=None
     )
+    start_ingest(job, {"availableNow": True}).awaitTermination()
+    tables = Warehouse(spark, str(tmp_path)).tables([spec])
+    expected = (
+        testdata.table(spark, SMALL, "events").where("value <= 100 AND event_id % 103 <= 100").count()
+    )
+    assert tables["machine_metrics"].count() == expected > 0
+
+
+def test_registry():
     try:
-        lines = testdata.table(spark, SMALL, "events").select(
-            F.to_json(
-                F.struct(
-                    F.concat(
-                        F.lit("00000000-0000-4000-8000-"), F.lpad(F.col("event_id").cast("string"), 12, "0")
-                    ).alias("message_id"),
-                    F.lit("machine-01").alias("machine_id"),
-                    F.col("value").alias("cpu_usage"),
-                    F.lit(50.0).alias("memory_usage"),
-                    F.col("user_id").cast("int").alias("disk_io"),
-                    F.unix_millis(F.col("ts").cast("timestamp")).alias("timestamp"),
-                )
-            ).alias("value")
-        )
-        lines.write.text(str(tmp_path / "in"))
-        table = AppendTable(spark, str(tmp_path / "t"), spec)
-        job = IngestJob(
-            spec, stream_text(spark, str(tmp_path / "in")), table, str(tmp_path / "c"), max_age_ms=None
-        )
-        start_ingest(job, {"availableNow": True}).awaitTermination()
-        expected = testdata.table(spark, SMALL, "events").where("value <= 100").count()
-        assert table.read().count() == expected > 0
+        assert get_spec(register(MACHINE_METRICS).name) is MACHINE_METRICS
+        assert MACHINE_METRICS in all_specs()
     finally:
-        from sluice import specs
-
         specs._SPECS.pop("machine_metrics")
+    assert len(all_specs()) == 5
 
 
 def test_a_spec_must_be_consistent():

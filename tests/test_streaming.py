@@ -77,7 +77,7 @@ def test_five_streams_equal_batch(spark, tmp_path):
     kinds = [spec.name for spec in all_specs() if spec.device_topic]
     inputs = {kind: write_files(spark, kind, str(tmp_path / f"{kind}-in")) for kind in kinds}
     jobs = [make_job(spark, tmp_path, kind) for kind in kinds]
-    queries = run_all(spark, jobs, ONCE)
+    queries = run_all(jobs, ONCE)
 
     for job in jobs:
         spec, messages = job.spec, inputs[job.spec.name]
@@ -174,7 +174,7 @@ def test_one_failure_stops_the_others(spark, tmp_path):
     bad = make_job(spark, tmp_path, "orders", table=Flaky(make_table(spark, str(tmp_path / "t"), ORDERS)))
     good = make_job(spark, tmp_path, "weather")
     with pytest.raises(StreamingQueryException, match="lost contact"):
-        run_all(spark, [good, bad])  # no trigger: the good one would run forever
+        run_all([good, bad])  # no trigger: the good one would run forever
     assert not [q for q in spark.streams.active if q.name in ("orders", "weather")]
 
 
