@@ -24,19 +24,22 @@ def parse(
     spec: DatasetSpec,
     keep: Sequence[str] = (),
     diagnose: bool = False,
+    fields: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Decode the JSON in ``value`` into the wire fields of ``spec``.
+    """Decode the JSON in ``value`` into the wire fields of ``spec``, or only ``fields``.
 
     Unknown fields are dropped, missing or wrongly typed ones become NULL. The
     envelope columns named in ``keep`` stay as ``source_<name>``. With ``diagnose``
-    the raw text and the parser's verdict on it are kept for validation.
+    the raw text and the parser's verdict on it are kept for validation (and all
+    fields are decoded).
     """
     text = F.col("value").cast("string")
     kept = [F.col(name).alias(source_name(name)) for name in keep]
     # The fields come out of a generator, because later filters on plain projected
     # fields would be pushed below the projection and parse the message once per use.
     if not diagnose:
-        data = F.from_json(text, spec.wire_schema)
+        wanted = [f for f in spec.wire_schema.fields if fields is None or f.name in fields]
+        data = F.from_json(text, StructType(wanted))
         return messages.select(F.inline(F.array(data)), *kept)
     schema = StructType(spec.wire_schema.fields + [StructField(CORRUPT, StringType())])
     data = F.from_json(text, schema, {"columnNameOfCorruptRecord": CORRUPT})

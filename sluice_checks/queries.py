@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,8 +68,9 @@ def registered() -> dict[str, Query]:
     return dict(_QUERIES)
 
 
-def _parsed(spark, sf_dir, kind):
-    return transform.parse(testdata.messages(spark, sf_dir, kind), get_spec(kind))
+def _parsed(spark, sf_dir, kind, *fields):
+    messages = testdata.messages(spark, sf_dir, kind)
+    return transform.parse(messages, get_spec(kind), fields=fields or None)
 
 
 def _landed(spark, sf_dir, kind, evenly=False):
@@ -204,7 +206,7 @@ for _kind in KINDS:
 
 @query
 def epoch_ms_to_ts(spark, sf_dir):
-    return _parsed(spark, sf_dir, "weather").select(
+    return _parsed(spark, sf_dir, "weather", "message_id", "timestamp").select(
         "message_id",
         "timestamp",
         functions.epoch_ms_to_timestamp(F.col("timestamp")).cast("timestamp_ntz").alias("recorded_at"),
@@ -213,19 +215,21 @@ def epoch_ms_to_ts(spark, sf_dir):
 
 @query
 def order_item_count(spark, sf_dir):
-    return _parsed(spark, sf_dir, "orders").select(
+    return _parsed(spark, sf_dir, "orders", "order_id", "items").select(
         "order_id", functions.item_count(F.col("items")).alias("item_count")
     )
 
 
 @query
 def order_total_check(spark, sf_dir):
-    return reports.order_total_check(_parsed(spark, sf_dir, "orders"))
+    return reports.order_total_check(
+        _parsed(spark, sf_dir, "orders", "order_id", "items", "total_amount")
+    )
 
 
 @query
 def order_items_exploded(spark, sf_dir):
-    return reports.order_items(_parsed(spark, sf_dir, "orders"))
+    return reports.order_items(_parsed(spark, sf_dir, "orders", "order_id", "items"))
 
 
 @query
@@ -233,7 +237,8 @@ def location_text(spark, sf_dir):
     location = functions.location_text(
         F.col("current_location.latitude"), F.col("current_location.longitude")
     )
-    return _parsed(spark, sf_dir, "logistics").select("shipment_id", location.alias("location"))
+    parsed = _parsed(spark, sf_dir, "logistics", "shipment_id", "current_location")
+    return parsed.select("shipment_id", location.alias("location"))
 
 
 @query
@@ -377,15 +382,16 @@ def non_null_ratio(spark, sf_dir):
 
 
 def _violations(spark, sf_dir, rules_of):
-    frames = [
-        quality.count_violations(_parsed(spark, sf_dir, kind), kind, rules_of(get_spec(kind)))
-        for kind in KINDS
-        if rules_of(get_spec(kind))
-    ]
-    result = frames[0]
-    for frame in frames[1:]:
-        result = result.unionByName(frame)
-    return result
+    """Violations per rule over all kinds, decoding only the fields the rules look at."""
+    frames = []
+    for kind in KINDS:
+        rules = rules_of(get_spec(kind))
+        if rules:
+            fields = {label.split(":")[1].split(".")[0] for label, _ in rules}
+            frames.append(
+                quality.count_violations(_parsed(spark, sf_dir, kind, *fields), kind, rules)
+            )
+    return reduce(DataFrame.unionByName, frames)
 
 
 @query
@@ -401,7 +407,7 @@ def domain_violations(spark, sf_dir):
 @query
 def stale_messages(spark, sf_dir):
     return (
-        _parsed(spark, sf_dir, "user_events")
+        _parsed(spark, sf_dir, "user_events", "message_id", "timestamp")
         .where(quality.stale(ARRIVED))
         .select("message_id", "timestamp")
     )

@@ -47,6 +47,14 @@ def test_ingest_only_selects(spark, kind):
     assert "Exchange" not in plan and plan.count("from_json") == 1
 
 
+def test_only_the_wanted_fields_are_decoded(spark):
+    spec = get_spec("orders")
+    rows = parse(testdata.messages(spark, SMALL, "orders"), spec, fields=["items", "order_id"])
+    assert rows.columns == ["order_id", "items"]
+    everything = parse(testdata.messages(spark, SMALL, "orders"), spec)
+    assert rows_of(rows) == rows_of(everything.select("order_id", "items"))
+
+
 def test_validation_parses_once_and_does_not_shuffle(spark):
     text = spark.read.text(f"{SMALL}/events.parquet").select("value")
     spec = get_spec("orders")
