@@ -3,11 +3,13 @@
 import pytest
 
 import __spark_entry__ as entry_module
+from sluice_checks import oracles
+from sluice_checks import queries as library
 
 from .compare import database, oracle_rows, spark_rows
 
-QUERIES = entry_module.queries()
-ORACLES = entry_module.oracle_sql()
+QUERIES = library.registered()
+ORACLES = oracles.oracle_sql()
 
 
 @pytest.fixture(scope="module")
