@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from . import (
     chat_format,
+    decontaminate,
     language_id,
     lm_scoring,
     mixing,
@@ -16,6 +17,7 @@ from . import (
     simhash,
     token_counts,
     toxicity,
+    url_filter,
 )
 from .common import table
 
@@ -47,10 +49,30 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_items(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
 
+# The rules of the contract, as host, path and verdict.
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+
+
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.classify(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mixing.mix(docs).select(
@@ -74,7 +96,9 @@ def queries() -> dict[str, Query]:
         "op2_token_counts": op2_token_counts,
         "op3_chat_format": op3_chat_format,
         "op4_language_id": op4_language_id,
+        "op5_decontamination": op5_decontamination,
         "op6_quality_rules": op6_quality_rules,
+        "op7_url_filter": op7_url_filter,
         "op8_mix_sources": op8_mix_sources,
         "op9_simhash_dedup": op9_simhash_dedup,
         "op10_toxicity": op10_toxicity,
