@@ -1,6 +1,6 @@
 """Benchmark decontamination by edit distance over windows as long as the items.
 
-Texts become words: A-Z lowered, ASCII punctuation removed. An item is found in a text if
+Texts become words: letters lowered, ASCII punctuation removed. An item is found in a text if
 some passage of the text is within ``max_edits`` word edits of it, a fifth of its words.
 For each item length, windows of that length at every word of a text are looked at:
 
@@ -46,16 +46,14 @@ STRETCH = 3  # steps of a walk for each word
 COMMON_SHARE = 0.02  # a word of more items than this, and of more than two, is not rare
 BLOCK_BYTES = 8 << 20
 
-_LOWER = bytes.maketrans(string.ascii_uppercase.encode(), string.ascii_lowercase.encode())
 _PUNCTUATION = string.punctuation.encode()
 _MIX = np.uint64(0x9E3779B97F4A7C15)  # fixed value: an odd multiplier that mixes bits
 
 MATCH = StructType([StructField(n, LongType()) for n in ("item_id", "start", "edits")])
 
 
-def words_of(text: str | bytes | None) -> list[bytes]:
-    raw = text.encode("utf-8", "replace") if isinstance(text, str) else text or b""
-    return raw.translate(_LOWER, _PUNCTUATION).split()
+def words_of(text: str | None) -> list[bytes]:
+    return (text or "").lower().encode("utf-8", "replace").translate(None, _PUNCTUATION).split()
 
 
 def max_edits(length: int) -> int:
@@ -210,8 +208,7 @@ def matches(text: Column, index) -> Column:
     kind = pa.list_(pa.struct([(n, pa.int64()) for n in ("item_id", "start", "edits")]))
 
     def find(texts: pa.Array) -> pa.Array:
-        raw = texts.cast(pa.binary())
-        return pa.array([index.value.matches(t.as_py()) for t in raw], kind)
+        return pa.array([index.value.matches(t.as_py()) for t in texts], kind)
 
     return F.arrow_udf(find, ArrayType(MATCH))(text.cast("string"))
 
