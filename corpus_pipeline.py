@@ -38,9 +38,13 @@ def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document with the copies the mix takes of it, none for those it leaves out."""
-    mixed = mixing.mix(docs)
-    return mixed.select("doc.*", "size", "source_size", "target", "copies", "taken")
+    """Every document with the copies the mix takes of it, none for those it leaves out.
+
+    An input column of the same name as one of the mix gives way to it.
+    """
+    added = ["size", "source_size", "target", "copies", "taken"]
+    own = [f"doc.`{name}`" for name in docs.columns if name not in added]
+    return mixing.mix(docs).select(*own, *added)
 
 
 STAGES = [
