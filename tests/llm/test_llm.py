@@ -104,7 +104,7 @@ def test_stages_take_hard_rows(spark, tmp_path):
         result = corpus_pipeline.run(spark, folder)
         assert set(result.columns) >= {"doc_id", "copies", "taken"}
         ids = [r.doc_id for r in result.collect()]
-        assert sorted(i for i in ids if i) == ([1, 5] if rows else [])
+        assert ids == ([1] if rows else [])  # the long text repeats itself
     for _, stage in corpus_pipeline.STAGES[:-1]:
         docs = frame(spark)
         assert stage(spark, docs, folder).columns == docs.columns
