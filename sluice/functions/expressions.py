@@ -7,7 +7,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed value: the textual form of an identifier.
-UUID_PATTERN = "^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$"
+UUID_PATTERN = r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}\z"
 
 
 def epoch_ms_to_timestamp(ms: Column) -> Column:
@@ -47,7 +47,7 @@ def _micros(ts: Column) -> Column:
 
 
 def topic_matches(topic: Column, topic_filter: str) -> Column:
-    """Whether ``topic`` matches a filter in which ``+`` stands for exactly one level."""
+    """Whether ``topic`` matches a filter in which ``+`` stands for exactly one level, empty or not."""
     if "#" in topic_filter:
         raise ValueError(f"only the one-level wildcard + is supported: {topic_filter!r}")
     levels = topic_filter.split("/")
@@ -55,8 +55,8 @@ def topic_matches(topic: Column, topic_filter: str) -> Column:
         raise ValueError(f"+ must fill a whole level: {topic_filter!r}")
     if "+" not in levels:
         return topic == F.lit(topic_filter)
-    pattern = "/".join("[^/]+" if level == "+" else re.escape(level) for level in levels)
-    return topic.rlike(f"^{pattern}$")
+    pattern = "/".join("[^/]*" if level == "+" else re.escape(level) for level in levels)
+    return topic.rlike(rf"^{pattern}\z")
 
 
 def moment(value: datetime | Column) -> Column:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -11,81 +10,38 @@ from pyspark.sql.window import Window
 
 from ..session import cut_lineage
 
-# A key with more rows than this is spread over several tasks.
-HOT_ROWS = 5_000_000
-# Pieces are about as large as that, but no more than this many tasks are made.
-MAX_PIECES = 100_000
-# At most this many keys are treated as hot. The largest come first, so any key left
-# out holds less than 1/HOT_KEYS of the rows and is cheap to sort in one task.
-HOT_KEYS = 1_000
-
-
-def hot_keys(
-    df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS
-) -> tuple[DataFrame, int] | None:
-    """The keys with more than ``hot_rows`` rows (never more than ``HOT_KEYS``) and how many
-    rows they have together; None if there are no such keys.
-
-    Counting reads only the key columns and is combined before the shuffle.
-    """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
-    rows = counts.orderBy(F.desc("_n"), *keys).limit(HOT_KEYS).collect()
-    if not rows:
-        return None
-    found = df.sparkSession.createDataFrame(rows, counts.schema).drop("_n")
-    return found, sum(row["_n"] for row in rows)
-
 
 def running_total(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    value: str,
-    name: str,
-    hot_rows: int = HOT_ROWS,
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, name: str
 ) -> DataFrame:
     """Add ``name``, the sum of ``value`` over the key's rows up to and including this one.
 
-    ``order`` must order the rows of a key totally. Ordinary keys take one window.
-    The rows of hot keys are spread by range of key and order instead, summed within
-    each piece, and lifted by the total of the pieces before it.
-    """
-    found = hot_keys(df, keys, hot_rows)
-    if found is None:
-        return _windowed(df, keys, order, value, name)
-    hot, rows = found
-    pieces = max(2, math.ceil(rows / max(hot_rows, 1)))
-    cold_part = df.join(F.broadcast(hot), list(keys), "left_anti")
-    hot_part = df.join(F.broadcast(hot), list(keys), "left_semi")
-    return _windowed(cold_part, keys, order, value, name).unionByName(
-        _pieced(hot_part, keys, order, value, name, min(pieces, MAX_PIECES))
-    )
-
-
-def _windowed(df, keys, order, value, name):
-    up_to_here = (
-        Window.partitionBy(*keys)
-        .orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    return df.withColumn(name, F.sum(value).over(up_to_here))
-
+    ``order`` must order the rows of a key totally. As with a window, a NULL value repeats
+    the total so far, a key without any value yet has NULL, and NULL keys are one key.
 
-def _pieced(df, keys, order, value, name, n):
-    # The pieces are written down, since they are read twice below and range
-    # boundaries come from a sample that need not repeat.
+    All rows take one way: they are range-partitioned by key and order, so that a key
+    spans as many pieces as its share of the rows asks for, summed within each piece, and
+    lifted by the totals of the key's earlier pieces. The pieces are written to the
+    checkpoint folder while this plan is built, since they are read twice and range
+    boundaries come from a sample that need not repeat.
+    """
+    key = F.struct(*keys)  # equal to itself whether or not parts of it are NULL
     pieces = cut_lineage(
-        df.repartitionByRange(n, *keys, *order).withColumn("_piece", F.spark_partition_id())
-    )
-    earlier_pieces = (
-        Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+        df.withColumn("_key", key)
+        .repartitionByRange(*keys, *order)
+        .withColumn("_piece", F.spark_partition_id())
     )
+    earlier = Window.partitionBy("_key").orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
     before = (
-        pieces.groupBy(*keys, "_piece")
+        pieces.groupBy("_key", "_piece")
         .agg(F.sum(value).alias("_total"))
-        .withColumn("_before", F.coalesce(F.sum("_total").over(earlier_pieces), F.lit(0)))
-        .drop("_total")
+        .select("_key", "_piece", F.sum("_total").over(earlier).alias("_before"))
+    )
+    up_to_here = (
+        Window.partitionBy("_key", "_piece")
+        .orderBy(*order)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    within = _windowed(pieces, [*keys, "_piece"], order, value, name)
-    lifted = within.join(before, [*keys, "_piece"])
-    return lifted.withColumn(name, F.col(name) + F.col("_before")).select(*df.columns, name)
+    within = pieces.withColumn("_within", F.sum(value).over(up_to_here))
+    total = F.coalesce(F.col("_within") + F.col("_before"), "_within", "_before")
+    return within.join(before, ["_key", "_piece"]).select(*df.columns, total.alias(name))

@@ -16,6 +16,15 @@ def now_of(df: DataFrame, time: str, as_of: datetime | Column | None) -> Column:
 
 
 def recent(df: DataFrame, time: str, interval: str, as_of: datetime | Column | None) -> DataFrame:
-    """Rows whose ``time`` is later than ``as_of`` minus ``interval``."""
+    """Rows whose ``time`` is later than ``as_of`` minus ``interval``.
+
+    A table that is partitioned by ``event_date`` is only read from the start on: the
+    partition is the day of ``time``, or the first day of its month or year.
+    """
     start = now_of(df, time, as_of) - F.expr(f"INTERVAL {interval}")
+    if "event_date" in df.columns:
+        date, first = F.col("event_date"), start.cast("date")
+        df = df.where(
+            (date >= first) | (date == F.trunc(first, "month")) | (date == F.trunc(first, "year"))
+        )
     return df.where(F.col(time) > start)

@@ -8,7 +8,6 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..functions import moment, seconds_between
 from .common import recent
@@ -47,7 +46,8 @@ def processing_lag(df: DataFrame, time: str = "recorded_at") -> DataFrame:
 
 
 def data_freshness(tables: Mapping[str, DataFrame], as_of: datetime | None = None) -> DataFrame:
-    """Newest row of each table and how long ago that was; empty tables have no row."""
+    """Newest row of each table and how long before ``as_of``, by default the current time,
+    that was; empty tables have no row."""
     newest = _union(
         [
             df.agg(F.max("ingested_at").alias("latest_data")).select(
@@ -56,8 +56,7 @@ def data_freshness(tables: Mapping[str, DataFrame], as_of: datetime | None = Non
             for name, df in tables.items()
         ]
     ).where(F.col("latest_data").isNotNull())
-    # One row per table is left, so the newest of all needs no second look at the tables.
-    now = F.max("latest_data").over(Window.partitionBy()) if as_of is None else moment(as_of)
+    now = moment(F.current_timestamp() if as_of is None else as_of)
     return newest.withColumn("lag_seconds", seconds_between(now, F.col("latest_data")))
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import items_total
 from ..operators.keyed import first_per_key
-from ..operators.running import HOT_ROWS, running_total
+from ..operators.running import running_total
 from ..specs import INVENTORY, ORDERS
 from .common import recent
 
@@ -51,7 +51,7 @@ def shipments_in_transit(shipments: DataFrame) -> DataFrame:
     )
 
 
-def running_stock(inventory: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def running_stock(inventory: DataFrame) -> DataFrame:
     """Stock of each SKU in its warehouse after every change (the sum of all changes so far)."""
     return running_total(
         inventory.drop("current_stock"),
@@ -59,7 +59,6 @@ def running_stock(inventory: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
         order=[INVENTORY.event_time, INVENTORY.key],
         value="quantity_delta",
         name="current_stock",
-        hot_rows=hot_rows,
     )
 
 

@@ -8,6 +8,7 @@ sent in chunks.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator, Sequence
+from functools import partial
 from itertools import islice
 from typing import Any
 
@@ -20,25 +21,6 @@ from .parquet import POSITION
 CHUNK = 1000
 
 
-def postgres_settings(
-    host: str,
-    user: str,
-    password: str,
-    database: str,
-    port: int = 5432,
-    schema: str = "iot",
-) -> dict[str, Any]:
-    """Keyword arguments for a PostgreSQL driver's ``connect``."""
-    return {
-        "host": host,
-        "port": port,
-        "dbname": database,
-        "user": user,
-        "password": password,
-        "options": f"-c search_path={schema}",
-    }
-
-
 def upsert_statement(
     table: str,
     columns: Sequence[str],
@@ -46,13 +28,14 @@ def upsert_statement(
     policy: str,
     placeholder: str = "%s",
     event_time: str | None = None,
+    rows: int = 1,
 ) -> str:
-    """The insert for one row: ignoring a key that exists, or updating it.
+    """The insert for ``rows`` rows: ignoring a key that exists, or updating it.
 
     With ``event_time``, an update only happens if the row is not older than the stored one.
     """
-    values = ", ".join([placeholder] * len(columns))
-    insert = f"INSERT INTO {table} ({', '.join(columns)}) VALUES ({values}) ON CONFLICT ({key}) "
+    values = ", ".join([f"({', '.join([placeholder] * len(columns))})"] * rows)
+    insert = f"INSERT INTO {table} ({', '.join(columns)}) VALUES {values} ON CONFLICT ({key}) "
     if policy == "ignore":
         return insert + "DO NOTHING"
     updates = ", ".join(f"{c} = excluded.{c}" for c in columns if c != key)
@@ -88,7 +71,8 @@ class DatabaseTable:
         pick = first_per_key if spec.policy == "ignore" else latest_per_key
         rows = pick(require_key(batch, spec.key), spec.key, order)
         rows = rows.drop(*POSITION)
-        statement = upsert_statement(
+        statement = partial(
+            upsert_statement,
             self.table,
             rows.columns,
             spec.key,
@@ -96,10 +80,14 @@ class DatabaseTable:
             self.placeholder,
             spec.event_time if self.guard else None,
         )
-        rows.coalesce(self.connections).foreachPartition(_writer(self.connect, statement))
+        # Dealt out anew, so that only the writes pass through so few tasks.
+        dealt = rows.repartition(self.connections)
+        dealt.foreachPartition(_writer(self.connect, statement))
 
 
-def _writer(connect: Callable[[], Any], statement: str) -> Callable[[Iterator[Row]], None]:
+def _writer(
+    connect: Callable[[], Any], statement: Callable[..., str]
+) -> Callable[[Iterator[Row]], None]:
     def write(rows: Iterator[Row]) -> None:
         first = next(rows, None)
         if first is None:
@@ -108,7 +96,7 @@ def _writer(connect: Callable[[], Any], statement: str) -> Callable[[Iterator[Ro
         try:
             cursor = connection.cursor()
             for chunk in _chunks(first, rows):
-                cursor.executemany(statement, chunk)
+                cursor.execute(statement(rows=len(chunk)), [v for row in chunk for v in row])
             connection.commit()
         except BaseException:
             connection.rollback()

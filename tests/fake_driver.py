@@ -12,10 +12,11 @@ class Connection:
     def cursor(self):
         return self
 
-    def executemany(self, statement, rows):
+    def execute(self, statement, values):
         if self.fail:
             raise RuntimeError("connection lost")
-        self.pending.append({"statement": statement, "keys": [row[0] for row in rows]})
+        width = statement[: statement.index(")")].count(",") + 1
+        self.pending.append({"statement": statement, "keys": list(values[::width])})
 
     def commit(self):
         with open(os.path.join(self.folder, f"{uuid.uuid4()}.json"), "w") as file:

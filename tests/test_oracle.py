@@ -19,8 +19,7 @@ def db(sf_dir):
 
 def test_every_oracle_has_a_query():
     assert set(ORACLES) <= set(QUERIES)
-    # File sizes are not in the tables; everything else is compared.
-    assert set(QUERIES) - set(ORACLES) == {"table_sizes"}
+    assert set(QUERIES) == set(ORACLES)
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
@@ -36,8 +35,3 @@ def test_query_equals_oracle(spark, db, sf_dir, name):
 def test_entry(spark):
     assert entry_module.entry(spark).count() > 0
 
-
-def test_table_sizes(spark, sf_dir):
-    rows = QUERIES["table_sizes"](spark, sf_dir).collect()
-    assert [r["table_name"] for r in rows][0] == "lineitem"
-    assert all(r["total_bytes"] > 0 and r["files"] == 1 for r in rows)

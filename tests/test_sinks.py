@@ -17,7 +17,6 @@ from sluice.sinks import (
     restore_tables,
     upsert_statement,
 )
-from sluice.sinks.database import postgres_settings
 from sluice.specs import LOGISTICS, ORDERS, USER_EVENTS
 from sluice_checks import testdata
 
@@ -232,12 +231,8 @@ def test_upsert_statements():
         "INSERT INTO t (k, a, ts) VALUES (?, ?, ?) ON CONFLICT (k) DO UPDATE SET "
         "a = excluded.a, ts = excluded.ts WHERE t.ts <= excluded.ts"
     )
-
-
-def test_postgres_settings():
-    settings = postgres_settings("db", "me", "secret", "iot_database")
-    assert settings["dbname"] == "iot_database"
-    assert settings["options"] == "-c search_path=iot"
+    several = upsert_statement("t", ["k", "a"], "k", "ignore", rows=3)
+    assert several.count("(%s, %s)") == 3
 
 
 def test_database_table_sends_one_row_per_key(spark, small, shipments, tmp_path):
