@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checkpointed, fold
+from .common import broadcast_if_small, checkpointed, fold
 
 SAMPLE = 1000
 CENTROIDS = 4
@@ -104,6 +104,8 @@ def _sample(docs: DataFrame, sample: int) -> DataFrame:
     totals = docs.groupBy("lang").agg(F.count("lang").alias("total"))
     mixed = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     place = F.pmod(mixed, F.lit(1 << 30)) / float(1 << 30)
+    # One row per language, counted first: the texts are not shuffled for the shares.
+    totals = broadcast_if_small(checkpointed(totals))
     near = docs.join(totals, "lang").withColumn("place", place)
     # Twice as many as needed on average; the window then only ranks these.
     near = near.filter(F.col("place") * F.col("total") <= 2 * sample + 20)
