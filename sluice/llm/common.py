@@ -62,6 +62,23 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame
     return F.broadcast(df) if total <= limit else df
 
 
+def most_frequent(counts: DataFrame, n: str, limit: int) -> DataFrame:
+    """The rows of ``counts`` with the largest ``n``, at most ``limit`` of them.
+
+    Whole classes of like frequency (within a sixteenth of a power of two) are taken or
+    left, so nothing is sorted and only the sizes of the classes reach the driver.
+    """
+    frequency = F.floor(F.log2(F.col(n)) * 16)
+    classes = counts.groupBy(frequency.alias("class")).agg(F.count(n).alias("rows")).collect()
+    total, least = 0, float("inf")
+    for row in sorted(classes, key=lambda r: -r["class"]):
+        total += row["rows"]
+        if total > limit:
+            break
+        least = row["class"]
+    return counts.filter(frequency >= F.lit(least))
+
+
 def written(df: DataFrame) -> DataFrame:
     """``df`` written once as a table in the shared folder and read from there."""
     spark = df.sparkSession

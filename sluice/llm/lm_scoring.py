@@ -15,7 +15,7 @@ documents in each of the rounds. As two units before are the whole context, batc
 products give the normalised probabilities of all contexts once per worker, and scoring
 looks them up.
 
-Counts of the ``FREQUENT`` most frequent words, a bounded table, are sent to all tasks;
+Counts of the most frequent words, at most ``FREQUENT``, are sent to all tasks;
 the rest of the tokens are joined with the counts by shuffling, so no hot word is ever
 shuffled, whatever its share.
 
@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold, lower_ascii, words, written
+from .common import fold, lower_ascii, most_frequent, words, written
 
 FOLDS, HELD_OUT = 5, 1
 END = ""  # the end's place among the words, none of which is empty
@@ -94,7 +94,7 @@ def gather_counts(counts: DataFrame) -> Counts:
     total = counts.agg(F.sum("c").alias("n"), F.count("c").alias("v")).first()
     n, v = int(total.n or 0), int(total.v)
     real = counts.filter(F.col("word") != END)
-    first = real.orderBy(F.col("c").desc(), "word").limit(FREQUENT).toArrow()
+    first = most_frequent(real, "c", FREQUENT).toArrow().sort_by([("c", "descending"), ("word", "ascending")])
     names = [w.encode() for w in first["word"].to_pylist()]
     c = np.concatenate([first["c"].to_numpy(), [0.0]]).astype(np.float64)
     ends = counts.filter(F.col("word") == END).first()

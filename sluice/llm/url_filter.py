@@ -10,7 +10,7 @@ costs more with each letter.
 Equal feature lists are one row: features are counted and scored once per distinct list
 (hosts and path patterns), summed before shuffling, and only verdicts are joined back to
 the pages, so a host with a third of all pages is one entry. Names are split once each.
-The word list is a bounded model, the ``LEXICON`` most frequent words.
+The word list is a bounded model, the most frequent words, at most ``LEXICON``.
 
 Defined results: a null url and one without ``://`` have an empty host and path and no
 features, and the priors decide; a url may be anything after that. Equal evidence, and no
@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, checkpointed, lower_ascii
+from .common import broadcast_if_small, checkpointed, lower_ascii, most_frequent
 
 LEXICON = 50_000
 LONGEST = 24  # letters of a word
@@ -66,7 +66,8 @@ def lexicon(texts: DataFrame, html: str = "html") -> DataFrame:
     visible = F.lower(F.regexp_replace(F.coalesce(F.col(html), F.lit("")), _TAGS, " "))
     found = texts.select(F.explode(F.regexp_extract_all(visible, F.lit(r"\p{L}+"), F.lit(0))).alias("word"))
     counts = found.groupBy("word").agg(F.count("word").alias("n"))
-    return counts.filter(F.length("word") <= LONGEST).orderBy(F.desc("n"), "word").limit(LEXICON)
+    counts = checkpointed(counts.filter(F.length("word") <= LONGEST))
+    return most_frequent(counts, "n", LEXICON)
 
 
 def segment(name: str, costs: dict[str, float], unknown: tuple[float, float]) -> list[str]:
