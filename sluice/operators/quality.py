@@ -14,6 +14,7 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from ..functions import is_uuid, moment
 from ..specs import DatasetSpec
@@ -108,9 +109,14 @@ def range_rules(spec: DatasetSpec) -> list[tuple[str, Column]]:
 
 
 def domain_rules(spec: DatasetSpec) -> list[tuple[str, Column]]:
-    return [
-        (f"domain:{name}", ~F.col(name).isin(*values)) for name, values in spec.domains.items()
-    ]
+    """Values outside their lists; of a list of items, each item needs a listed value."""
+
+    def outside(name: str, values: Sequence[str]) -> Column:
+        if isinstance(spec.wire_schema[name.split(".")[0]].dataType, ArrayType):
+            return F.exists(F.col(name), lambda v: ~F.coalesce(v.isin(*values), F.lit(False)))
+        return ~F.col(name).isin(*values)
+
+    return [(f"domain:{name}", outside(name, values)) for name, values in spec.domains.items()]
 
 
 def stale(as_of: datetime | Column | None = None, max_age_ms: int = MAX_AGE_MS) -> Column:

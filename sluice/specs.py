@@ -94,6 +94,9 @@ _STRING, _INT, _LONG, _DOUBLE = StringType(), IntegerType(), LongType(), DoubleT
 # Topics, field names, table columns, ranges and value lists below are
 # part of the data contract and must be exactly these.
 
+PRODUCTS = ("Widget-A", "Widget-B", "Gadget-X", "Tool-Y", "Accessory-Z")
+PAGES = ("home", "products", "checkout", "profile", "search", "wishlist")
+
 WEATHER = DatasetSpec(
     name="weather",
     topic="iot-weather-data",
@@ -142,12 +145,20 @@ ORDERS = DatasetSpec(
     event_time="created_at",
     must_have=("order_id", "customer_id", "order_status", "total_amount"),
     required=("order_id", "customer_id", "status", "items", "total_amount", "timestamp"),
-    ranges={"customer_id": (1, 1000)},
-    domains={"status": ("pending", "confirmed", "shipped", "delivered", "cancelled")},
+    ranges={"customer_id": (1, 1000), "total_amount": (10, 500)},
+    domains={
+        "status": ("pending", "confirmed", "shipped", "delivered", "cancelled"),
+        "items.product": PRODUCTS,
+    },
     checks={
         "item_count": "items IS NULL OR size(items) BETWEEN 1 AND 10",
         "item_quantity": "items IS NULL OR forall(items, i -> i.quantity BETWEEN 1 AND 5)",
         "item_price": "items IS NULL OR forall(items, i -> i.price BETWEEN 10.0D AND 100.0D)",
+        # A total that cannot be computed breaks the rule of what it lacks instead.
+        "items_total": (
+            "coalesce(round(total_amount, 2) = "
+            "round(aggregate(items, 0.0D, (sum, i) -> sum + i.quantity * i.price), 2), true)"
+        ),
     },
 )
 
@@ -244,7 +255,7 @@ USER_EVENTS = DatasetSpec(
     ranges={"user_id": (1, 10000)},
     domains={
         "event_type": ("click", "view", "add_to_cart", "purchase", "login", "logout"),
-        "page": ("home", "products", "checkout", "profile", "search", "wishlist"),
+        "page": PAGES,
     },
     checks={"event_value": "event_value IS NULL OR try_cast(event_value AS INT) BETWEEN 1 AND 100"},
 )

@@ -44,11 +44,13 @@ WIRE = {
                CASE WHEN o_orderstatus = 'O' THEN coalesce(item_cents, 0) / 100.0::DOUBLE
                    ELSE o_totalprice END AS total_amount,
                coalesce(item_cents, 0) / 100.0::DOUBLE AS items_total,
+               coalesce(unlisted, false) AS unlisted,
                epoch_us(o_orderdate) // 1000 AS "timestamp",
                o_orderkey AS n, o_orderkey // 2 AS pos_offset,
                {ARRIVAL.format(ts="o_orderdate", n="o_orderkey")} AS arrival
         FROM orders LEFT JOIN (
-            SELECT o_orderkey AS k, CAST(sum(quantity * cents) AS BIGINT) AS item_cents
+            SELECT o_orderkey AS k, CAST(sum(quantity * cents) AS BIGINT) AS item_cents,
+                   bool_or(NOT list_contains({PRODUCTS}, product)) AS unlisted
             FROM items GROUP BY o_orderkey) ON o_orderkey = k""",
     "logistics": f"""
         SELECT {UUID.format("l_orderkey")} AS shipment_id,
@@ -80,7 +82,9 @@ WIRE = {
 }
 
 ITEMS = f"""
-    SELECT o_orderkey, pos, ({PRODUCTS})[(o_orderkey + pos + 1) % 5 + 1] AS product,
+    SELECT o_orderkey, pos,
+           CASE WHEN o_orderkey % 89 = 5 AND pos = 0 THEN 'Lever-Q'
+                ELSE ({PRODUCTS})[(o_orderkey + pos + 1) % 5 + 1] END AS product,
            CAST((o_orderkey + pos + 1) % 5 + 1 AS INTEGER) AS quantity,
            1000 + (o_custkey * 37 + o_orderkey + (pos + 1) * 1009) % 9001 AS cents
     FROM (SELECT o_orderkey, o_custkey, unnest(range(o_orderkey % 11)) AS pos FROM orders)"""
@@ -135,7 +139,11 @@ BROKEN = {
     "weather": ["CASE WHEN temperature NOT BETWEEN -50 AND 60 THEN 'range:temperature' END"],
     "orders": [
         "CASE WHEN customer_id NOT BETWEEN 1 AND 1000 THEN 'range:customer_id' END",
+        "CASE WHEN total_amount NOT BETWEEN 10 AND 500 THEN 'range:total_amount' END",
+        "CASE WHEN unlisted THEN 'domain:items.product' END",
         "CASE WHEN item_count NOT BETWEEN 1 AND 10 THEN 'check:item_count' END",
+        """CASE WHEN CAST(total_amount AS DECIMAL(18,2)) <> CAST(items_total AS DECIMAL(18,2))
+            THEN 'check:items_total' END""",
     ],
     "logistics": [],
     "inventory": ["CASE WHEN quantity_delta NOT BETWEEN -50 AND 50 THEN 'range:quantity_delta' END"],
@@ -403,6 +411,7 @@ def oracle_sql() -> dict[str, str]:
         _violation("weather", "range:humidity", "humidity NOT BETWEEN 0 AND 100"),
         _violation("weather", "range:pressure", "pressure NOT BETWEEN 950 AND 1050"),
         _violation("orders", "range:customer_id", "customer_id NOT BETWEEN 1 AND 1000"),
+        _violation("orders", "range:total_amount", "total_amount NOT BETWEEN 10 AND 500"),
         _violation("logistics", "range:current_location.latitude", "latitude NOT BETWEEN 40 AND 41"),
         _violation(
             "logistics", "range:current_location.longitude", "longitude NOT BETWEEN -74 AND -73"
@@ -413,6 +422,7 @@ def oracle_sql() -> dict[str, str]:
     sql["domain_violations"] = _with(*[f"wire_{kind}" for kind in TABLES]) + " UNION ALL ".join([
         _violation("orders", "domain:status",
                    "status NOT IN ('pending', 'confirmed', 'shipped', 'delivered', 'cancelled')"),
+        _violation("orders", "domain:items.product", "unlisted"),
         _violation("logistics", "domain:status",
                    "status NOT IN ('pending', 'in_transit', 'delivered')"),
         _violation("inventory", "domain:warehouse_id",

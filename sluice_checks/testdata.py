@@ -13,10 +13,10 @@ from pyspark.sql import functions as F
 
 from sluice.operators.transform import conform, project
 from sluice.session import configure
-from sluice.specs import DatasetSpec, get_spec
+from sluice.specs import PAGES, PRODUCTS, DatasetSpec, get_spec
 
-PAGES = ("home", "products", "checkout", "profile", "search", "wishlist")
-PRODUCTS = ("Widget-A", "Widget-B", "Gadget-X", "Tool-Y", "Accessory-Z")
+# A product that is not listed; some orders start with it.
+UNLISTED = "Lever-Q"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -77,8 +77,10 @@ def _orders(rows: DataFrame) -> DataFrame:
         return 1000 + (F.col("o_custkey") * 37 + key + i * 1009) % 9001
 
     def item(i: Column) -> Column:
+        listed = F.element_at(F.array(*map(F.lit, PRODUCTS)), quantity(i))
+        unlisted = (key % 89 == 5) & (i == 1)
         return F.struct(
-            F.element_at(F.array(*map(F.lit, PRODUCTS)), quantity(i)).alias("product"),
+            F.when(unlisted, UNLISTED).otherwise(listed).alias("product"),
             quantity(i).alias("quantity"),
             (cents(i) / 100.0).alias("price"),
         )

@@ -56,14 +56,21 @@ EDGE_CASES = [
     ("orders", text(ORDER, items=item(quantity="q")), ["type", "check:item_quantity"]),
     ("orders", text(ORDER, items=None), ["required:items"]),
     ("orders", text(ORDER, drop=["items"]), ["required:items"]),
-    ("orders", text(ORDER, items=[]), ["check:item_count"]),
-    ("orders", text(ORDER, items=item(quantity=6)), ["check:item_quantity"]),
-    ("orders", text(ORDER, items=item(price=9.5)), ["check:item_price"]),
+    ("orders", text(ORDER, items=[]), ["check:item_count", "check:items_total"]),
+    ("orders", text(ORDER, items=item(quantity=6), total_amount=73.5), ["check:item_quantity"]),
+    ("orders", text(ORDER, items=item(price=9.5), total_amount=38.0), ["check:item_price"]),
+    ("orders", text(ORDER, items=item(product="Lever-Q")), ["domain:items.product"]),
+    ("orders", text(ORDER, items=item(product=None)), ["domain:items.product"]),
+    ("orders", text(ORDER, items=item() + item(product="Tool-Y"), total_amount=98.0), []),
+    ("orders", text(ORDER, total_amount=49.01), ["check:items_total"]),
+    ("orders", text(ORDER, items=item(price=99.99, quantity=5) + item(), total_amount=548.95),
+     ["range:total_amount"]),
     ("orders", text(ORDER, items=[{"product": PRODUCT, "price": 12.25}]), ["check:item_quantity"]),
     ("orders", text(ORDER, extra="ignored"), []),
     ("orders", text(ORDER, status="lost"), ["domain:status"]),
     ("orders", text(ORDER, customer_id=1001), ["range:customer_id"]),
-    ("orders", text(ORDER, total_amount=123456789.0), ["fit:total_amount"]),
+    ("orders", text(ORDER, total_amount=123456789.0),
+     ["range:total_amount", "check:items_total", "fit:total_amount"]),
     ("weather", text(WEATHER), []),
     ("weather", text(WEATHER, humidity=65.0), ["type", "required:humidity"]),
     ("weather", text(WEATHER, drop=["message_id"]), ["required:message_id"]),
