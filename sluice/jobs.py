@@ -23,6 +23,9 @@ def _arguments() -> argparse.ArgumentParser:
     parser.add_argument("datasets", nargs="*", help="datasets to ingest (default: all)")
     parser.add_argument("--root", required=True, help="folder of tables and checkpoints")
     parser.add_argument("--bootstrap-servers", default=BOOTSTRAP_SERVERS)
+    parser.add_argument(
+        "--starting-offsets", default="latest", help="where a stream without checkpoint starts"
+    )
     parser.add_argument("--max-offsets", type=int, default=OFFSETS_PER_BATCH)
     parser.add_argument("--min-partitions", type=int, help="read a topic with at least so many tasks")
     parser.add_argument("--text", help="read <folder>/<dataset>/*.txt instead of Kafka")
@@ -47,6 +50,7 @@ def main(argv: Sequence[str] | None = None) -> None:
             spark,
             spec.topic,
             bootstrap_servers=options.bootstrap_servers,
+            starting_offsets=options.starting_offsets,
             max_offsets=options.max_offsets,
             min_partitions=options.min_partitions,
         )

@@ -4,6 +4,9 @@ Winners are picked by aggregating a struct that starts with the ordering columns
 goes on with all others. That is a total order, so the result does not depend on how
 rows are spread, and each task reduces its rows before the shuffle, so a key holding
 a large part of the data costs one row per task.
+
+A row without a key is like no other row: all of them stay. Callers that have seen to
+such rows say ``nullable=False``, which leaves the result spread by the key alone.
 """
 
 from __future__ import annotations
@@ -14,24 +17,34 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def first_per_key(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
+def first_per_key(
+    df: DataFrame, key: str, order: Sequence[str], nullable: bool = True
+) -> DataFrame:
     """The smallest row per key by ``order``, then by all remaining columns."""
-    return _pick(df, key, order, F.min)
+    return _pick(df, key, order, F.min, nullable)
 
 
-def latest_per_key(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
+def latest_per_key(
+    df: DataFrame, key: str, order: Sequence[str], nullable: bool = True
+) -> DataFrame:
     """The largest row per key by ``order``, then by all remaining columns."""
-    return _pick(df, key, order, F.max)
+    return _pick(df, key, order, F.max, nullable)
 
 
-def _pick(df: DataFrame, key: str, order: Sequence[str], choose) -> DataFrame:
+def _pick(df: DataFrame, key: str, order: Sequence[str], choose, nullable: bool) -> DataFrame:
     rest = [name for name in df.columns if name != key and name not in order]
     row: Column = F.struct(*order, *rest)
+    groups = [key]
+    if nullable:
+        # A number of its own for each row without a key, which also spreads such rows.
+        own = F.when(F.col(key).isNull(), F.monotonically_increasing_id())
+        df, groups = df.withColumn("_own", own), [key, "_own"]
+    columns = [name for name in df.columns if name != "_own"]
     return (
-        df.groupBy(key)
+        df.groupBy(*groups)
         .agg(choose(row).alias("_row"))
         .select(key, "_row.*")
-        .select(*df.columns)
+        .select(*columns)
     )
 
 

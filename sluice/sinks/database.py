@@ -69,7 +69,7 @@ class DatabaseTable:
         order = [spec.event_time, *[name for name in POSITION if name in batch.columns]]
         # One row per key also means that no key is in two transactions at once.
         pick = first_per_key if spec.policy == "ignore" else latest_per_key
-        rows = pick(require_key(batch, spec.key), spec.key, order)
+        rows = pick(require_key(batch, spec.key), spec.key, order, nullable=False)
         rows = rows.drop(*POSITION)
         statement = partial(
             upsert_statement,

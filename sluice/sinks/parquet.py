@@ -7,6 +7,7 @@ table when a batch is written again.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Mapping
 from contextlib import contextmanager
 from datetime import datetime, timezone
@@ -21,9 +22,12 @@ from ..specs import DatasetSpec
 
 DATE = "event_date"
 POSITION = ("source_offset", "source_partition")
-# Keys of one batch are broadcast to the scan of the table up to this many rows; with
-# identifiers of some 40 bytes that is about 20 MB.
-BROADCAST_KEYS = 500_000
+# The folder Spark writes rows without a date to.
+NO_DATE = "__HIVE_DEFAULT_PARTITION__"
+# Keys of one batch are broadcast to the scan of the table up to this many bytes, each
+# key counted with this much beside its text.
+BROADCAST_BYTES = 32 << 20
+ROW_BYTES = 40
 # Up to this many date folders are opened one by one; for more the table is listed.
 LISTED_DATES = 366
 
@@ -38,9 +42,9 @@ def kept(df: DataFrame):
         cached.unpersist()
 
 
-def _read(spark: SparkSession, path: str) -> DataFrame | None:
+def _read(spark: SparkSession, path: str, **options) -> DataFrame | None:
     try:
-        return spark.read.parquet(path)
+        return spark.read.options(**options).parquet(path)
     except AnalysisException as error:
         # Nothing written yet, or only batches without rows.
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
@@ -63,9 +67,10 @@ class AppendTable:
 
     Before an insert, the batch's keys are looked up in the table. By default the key
     column of all dates is read, which finds every earlier copy but grows with the
-    table. ``probe_days=n`` reads only the dates of the batch and ``n`` days around
-    them: 0 finds all redelivered messages, since a copy carries the same event time,
-    and more days also find keys that come back with another time not too far off.
+    table. ``probe_days=n`` is inexact: it misses a key that comes back with a time
+    more than ``n`` days off, and stores it twice. It reads only the dates of the batch
+    and ``n`` days around them, and rows without a time if the batch has any: 0 finds
+    all redelivered messages, since a copy carries the same event time.
 
     ``null_key`` says what to do with rows without a key: ``"reject"`` fails the
     write, ``"append"`` adds them each time, as a nullable unique column would.
@@ -79,7 +84,7 @@ class AppendTable:
         probe_days: int | None = None,
         null_key: str = "reject",
         grain: str = "day",
-        broadcast_keys: int = BROADCAST_KEYS,
+        broadcast_bytes: int = BROADCAST_BYTES,
     ) -> None:
         if probe_days is not None and probe_days < 0:
             raise ValueError("probe_days must not be negative")
@@ -89,7 +94,7 @@ class AppendTable:
             raise ValueError(f"unknown grain {grain!r}")
         self.spark, self.path, self.spec = spark, path, spec
         self.probe_days, self.null_key = probe_days, null_key
-        self.grain, self.broadcast_keys = grain, broadcast_keys
+        self.grain, self.broadcast_bytes = grain, broadcast_bytes
         self._date = F.date_trunc(grain, spec.event_time).cast("date")
 
     def read(self) -> DataFrame | None:
@@ -107,7 +112,7 @@ class AppendTable:
             batch = batch.where(F.col(key).isNotNull())
         else:
             batch = require_key(batch, key)
-        rows = first_per_key(batch, key, order).withColumn(DATE, self._date)
+        rows = first_per_key(batch, key, order, nullable=False).withColumn(DATE, self._date)
         with kept(rows) as rows:
             new = self._absent(rows)
             if self.null_key == "append":
@@ -123,7 +128,8 @@ class AppendTable:
         if present is None:
             return rows
         key = self.spec.key
-        if rows.count() <= self.broadcast_keys:
+        length = F.octet_length(F.col(key).cast("string")) + ROW_BYTES
+        if (rows.agg(F.sum(length)).first()[0] or 0) <= self.broadcast_bytes:
             # Few keys: send them to the table's scan instead of shuffling the table.
             present = present.join(F.broadcast(rows.select(key)), key, "left_semi")
         return rows.join(present, key, "left_anti")
@@ -136,9 +142,12 @@ class AppendTable:
             table = self.read()
             if table is None:
                 return None
-            return (table if dates is None else table.where(F.col(DATE).isin(dates))).select(key)
+            if dates is not None:
+                near = F.col(DATE).isin([date for date in dates if date is not None])
+                table = table.where(near | F.col(DATE).isNull() if None in dates else near)
+            return table.select(key)
         # Going to the folders themselves saves listing all others.
-        folders = [f"{self.path}/{DATE}={date}" for date in dates]
+        folders = [f"{self.path}/{DATE}={date or NO_DATE}" for date in dates]
         hadoop, files = _files(self.spark, self.path)
         folders = [folder for folder in folders if files.exists(hadoop.Path(folder))]
         if not folders:
@@ -147,13 +156,14 @@ class AppendTable:
         return self.spark.read.schema(schema).parquet(*folders).select(key)
 
     def _probed_dates(self, rows: DataFrame) -> list:
-        """The partitions to look up: at most one per calendar day the batch covers."""
+        """The partitions to look up: at most one per calendar day the batch covers, and
+        None for rows without a time."""
         day = F.col("_day")
         nearby = F.sequence(F.date_sub(day, self.probe_days), F.date_add(day, self.probe_days))
         dates = (
             rows.select(F.to_date(self.spec.event_time).alias("_day"))
             .distinct()
-            .select(F.explode(nearby).alias("_day"))
+            .select(F.explode_outer(nearby).alias("_day"))
             .select(F.date_trunc(self.grain, day).cast("date"))
             .distinct()
         )
@@ -167,8 +177,10 @@ class StateTable:
     ``read`` picks the winners, and a row written twice changes nothing. An older row
     never replaces a newer one, unless ``guard`` is off: then the row written last wins.
     ``compact`` rewrites the winners into the next generation, a sibling folder that
-    counts once its ``_SUCCESS`` marker is there; ``compact_every`` does so after that
-    many writes, which bounds what readers have to go through.
+    counts once its ``_SUCCESS`` marker is there, and removes those before the one it
+    replaces: what a reader has opened lasts until the compaction after next.
+    ``compact_every`` does so once that many writes are stored beside the last rewrite,
+    by whichever writer, which bounds what readers have to go through.
     """
 
     def __init__(
@@ -180,7 +192,7 @@ class StateTable:
         compact_every: int | None = None,
     ) -> None:
         self.spark, self.path, self.spec, self.guard = spark, path, spec, guard
-        self.compact_every, self._writes = compact_every, 0
+        self.compact_every = compact_every
 
     def read(self) -> DataFrame | None:
         """One row per key, or None before the first write."""
@@ -195,13 +207,16 @@ class StateTable:
         for name, type_ in zip(POSITION, ("long", "int")):
             if name not in rows.columns:
                 rows = rows.withColumn(name, F.lit(None).cast(type_))
-        latest = latest_per_key(rows, key, [self.spec.event_time, *POSITION])
-        latest.withColumn("_written_at", moment(written)).write.mode(
-            "append"
-        ).parquet(self._folder(self._current()))
-        self._writes += 1
-        if self.compact_every and self._writes % self.compact_every == 0:
-            self.compact()
+        latest = latest_per_key(rows, key, [self.spec.event_time, *POSITION], nullable=False)
+        folder = self._folder(self._current())
+        latest.withColumn("_written_at", moment(written)).write.parquet(
+            f"{folder}/write={uuid.uuid4().hex}"
+        )
+        if self.compact_every:
+            hadoop, files = _files(self.spark, self.path)
+            stored = files.globStatus(hadoop.Path(f"{folder}/write=*/_SUCCESS")) or []
+            if len(stored) >= self.compact_every:
+                self.compact()
 
     def compact(self) -> int:
         """Write the winners as a new generation and return its number.
@@ -214,14 +229,20 @@ class StateTable:
         if rows is None:
             return current
         rows.write.mode("overwrite").parquet(self._folder(current + 1))
+        hadoop, files = _files(self.spark, self.path)
+        for found in files.globStatus(hadoop.Path(f"{self.path}/gen=*")) or []:
+            if int(found.getPath().getName()[4:]) < current:
+                files.delete(found.getPath(), True)
         return current + 1
 
     def _winners(self) -> DataFrame | None:
-        rows = _read(self.spark, self._folder(self._current()))
+        # The last rewrite lies in the folder itself, later writes in folders of their own.
+        rows = _read(self.spark, self._folder(self._current()), recursiveFileLookup=True)
         if rows is None:
             return None
         order = [self.spec.event_time, *POSITION]
-        return latest_per_key(rows, self.spec.key, order if self.guard else ["_written_at", *order])
+        order = order if self.guard else ["_written_at", *order]
+        return latest_per_key(rows, self.spec.key, order, nullable=False)
 
     def _folder(self, generation: int) -> str:
         return f"{self.path}/gen={generation:06d}"

@@ -2,6 +2,7 @@
 
 from .jdbc import read_jdbc
 from .messages import (
+    bounded_kafka_options,
     kafka_options,
     read_kafka,
     read_messages,
@@ -12,6 +13,7 @@ from .messages import (
 )
 
 __all__ = [
+    "bounded_kafka_options",
     "kafka_options",
     "read_jdbc",
     "read_kafka",

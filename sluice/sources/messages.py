@@ -1,6 +1,7 @@
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+import json
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,9 +41,34 @@ def stream_kafka(spark: SparkSession, topic: str, **settings) -> DataFrame:
     return spark.readStream.format("kafka").options(**kafka_options(topic, **settings)).load()
 
 
-def read_kafka(spark: SparkSession, topic: str, **settings) -> DataFrame:
-    """All messages ``topic`` holds now, from its start to its end."""
-    options = kafka_options(topic, starting_offsets="earliest", max_offsets=None, **settings)
+def bounded_kafka_options(
+    topic: str, offsets: Mapping[int, tuple[int, int]] | None = None, **settings
+) -> dict[str, str]:
+    """Options of a bounded read of one topic; lost messages fail it.
+
+    ``offsets`` gives for each partition the first offset and the one after the last,
+    so only that part of the topic is fetched; by default it is all the topic holds.
+    """
+    first, last = "earliest", "latest"
+    if offsets is not None:
+        first = json.dumps({topic: {str(p): start for p, (start, _) in offsets.items()}})
+        last = json.dumps({topic: {str(p): end for p, (_, end) in offsets.items()}})
+    options = kafka_options(topic, starting_offsets=first, max_offsets=None, **settings)
+    if offsets is not None:
+        # Both bounds have to name every partition read, so only these are assigned.
+        del options["subscribe"]
+        options["assign"] = json.dumps({topic: sorted(offsets)})
+    return options | {"endingOffsets": last, "failOnDataLoss": "true"}
+
+
+def read_kafka(
+    spark: SparkSession,
+    topic: str,
+    offsets: Mapping[int, tuple[int, int]] | None = None,
+    **settings,
+) -> DataFrame:
+    """The messages ``topic`` holds now, or those between two offsets of each partition."""
+    options = bounded_kafka_options(topic, offsets, **settings)
     return spark.read.format("kafka").options(**options).load()
 
 
@@ -67,7 +93,10 @@ def strings(spark: SparkSession, values: Iterable[str | None]) -> DataFrame:
 def take_messages(
     messages: DataFrame, n: int, order: Sequence[str] = ("partition", "offset")
 ) -> DataFrame:
-    """The first ``n`` messages in log order, as text, with their position."""
+    """The first ``n`` messages in log order, as text, with their position.
+
+    All of ``messages`` is looked through; of a long topic, read only some offsets.
+    """
     return (
         messages.orderBy(*order)
         .limit(n)

@@ -25,7 +25,9 @@ def dedup_stream(rows: DataFrame, key: str, time: str, delay: str = DELAY) -> Da
     """Drop repeated keys that arrive within ``delay`` of the first.
 
     This only saves work: it forgets keys once the watermark has passed them, so the
-    table's own key check stays in charge.
+    table's own key check stays in charge. Rows without a key all stay.
     """
-    kept = _watermarked(rows, time, delay).dropDuplicatesWithinWatermark([key])
+    own = F.when(F.col(key).isNull(), F.expr("uuid()"))
+    marked = _watermarked(rows, time, delay).withColumn("_own", own)
+    kept = marked.dropDuplicatesWithinWatermark([key, "_own"]).drop("_own")
     return kept.withColumn(time, F.col(time).cast("timestamp_ntz"))

@@ -1,3 +1,4 @@
+import json
 from datetime import datetime
 
 import pytest
@@ -13,7 +14,14 @@ from sluice.operators.transform import conform, ingest, parse
 from sluice.plans import monitoring, reports
 from sluice.session import configure, shared_dir
 from sluice.sinks import append_jdbc
-from sluice.sources import kafka_options, read_jdbc, stream_text, strings, take_messages
+from sluice.sources import (
+    bounded_kafka_options,
+    kafka_options,
+    read_jdbc,
+    stream_text,
+    strings,
+    take_messages,
+)
 from sluice.specs import all_specs
 from sluice.streaming import start_ingest
 from sluice.warehouse import Warehouse
@@ -221,6 +229,25 @@ def test_kafka_options():
         "maxOffsetsPerTrigger": "50000",
     }
     assert kafka_options("t", "b:1", min_partitions=64)["minPartitions"] == "64"
+    assert kafka_options("t", starting_offsets="earliest")["startingOffsets"] == "earliest"
+
+
+def test_bounded_kafka_options():
+    whole = bounded_kafka_options("t")
+    assert (whole["startingOffsets"], whole["endingOffsets"]) == ("earliest", "latest")
+    assert whole["failOnDataLoss"] == "true" and "maxOffsetsPerTrigger" not in whole
+    part = bounded_kafka_options("t", {1: (5, 9), 0: (0, 3)})
+    assert json.loads(part["assign"]) == {"t": [0, 1]} and "subscribe" not in part
+    assert json.loads(part["startingOffsets"]) == {"t": {"0": 0, "1": 5}}
+    assert json.loads(part["endingOffsets"]) == {"t": {"0": 3, "1": 9}}
+
+
+@pytest.mark.parametrize("pick", [keyed.first_per_key, keyed.latest_per_key])
+def test_rows_without_a_key_all_stay(spark, pick):
+    rows = spark.createDataFrame([("a", 1), ("a", 2), (None, 1), (None, 1), (None, 2)], "k string, t int")
+    found = sorted((r["k"] or "", r["t"]) for r in pick(rows, "k", ["t"]).collect())
+    kept = 1 if pick is keyed.first_per_key else 2
+    assert found == [("", 1), ("", 1), ("", 2), ("a", kept)]
 
 
 class Recorder:

@@ -49,11 +49,11 @@ def parts(df, key, n, seed):
 
 
 @pytest.mark.parametrize("probe_days, grain", [(None, "day"), (0, "day"), (1, "month")])
-@pytest.mark.parametrize("broadcast_keys", [0, 500_000])
-def test_insert_if_absent(spark, events, tmp_path, probe_days, grain, broadcast_keys):
+@pytest.mark.parametrize("broadcast_bytes", [0, 1 << 25])
+def test_insert_if_absent(spark, events, tmp_path, probe_days, grain, broadcast_bytes):
     table = AppendTable(
         spark, str(tmp_path / "t"), USER_EVENTS, probe_days, grain=grain,
-        broadcast_keys=broadcast_keys,
+        broadcast_bytes=broadcast_bytes,
     )
     assert table.read() is None
     for batch in parts(events, "message_id", 3, 1):
@@ -104,6 +104,14 @@ def test_null_keys(spark, events, tmp_path):
     assert loose.read().count() == events.count() + 10
 
 
+def test_rows_without_a_time_are_looked_up(spark, events, tmp_path):
+    timeless = events.limit(5).withColumn("event_timestamp", F.lit(None).cast("timestamp_ntz"))
+    table = AppendTable(spark, str(tmp_path / "t"), USER_EVENTS, probe_days=0)
+    for _ in range(2):
+        table.write(timeless)
+    assert table.read().count() == 5
+
+
 def test_failed_write_leaves_the_table_and_can_be_repeated(spark, events, tmp_path):
     table = AppendTable(spark, str(tmp_path / "t"), USER_EVENTS)
     half, rest = parts(events, "message_id", 2, 7)
@@ -141,14 +149,17 @@ def test_latest_state_does_not_depend_on_order_of_batches(spark, shipments, tmp_
 
 
 def test_regular_compaction(spark, shipments, tmp_path):
-    table = StateTable(spark, str(tmp_path / "s"), LOGISTICS, compact_every=2)
     for batch in parts(shipments, "shipment_id", 4, 9):
+        # A new writer each time, as after a restart.
+        table = StateTable(spark, str(tmp_path / "s"), LOGISTICS, compact_every=2)
         table.write(batch)
     assert table._current() == 2
     expected = keyed.latest_per_key(shipments, "shipment_id", ["last_update"])
     assert rows_of(table.read()) == rows_of(expected)
     stored = spark.read.parquet(str(tmp_path / "s" / "gen=000002"))
     assert stored.count() == expected.count()
+    # The generation before the current one is left for readers, older ones are gone.
+    assert sorted(f.name for f in (tmp_path / "s").iterdir()) == ["gen=000001", "gen=000002"]
 
 
 def test_unfinished_compaction_is_ignored(spark, shipments, tmp_path):
