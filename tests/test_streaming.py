@@ -237,6 +237,21 @@ def test_dedup_stream(spark, tmp_path):
     assert kept.count() == testdata.landed(spark, SMALL, "user_events").count()
 
 
+def test_dedup_stream_keeps_rows_without_a_key(spark, tmp_path):
+    path = str(tmp_path / "in")
+    for _ in range(2):
+        write_files(spark, "user_events", path, files=1, damaged=False)
+    nameless = F.col("user_id") % 7 == 0
+    events = _events_stream(spark, path).withColumn(
+        "message_id", F.when(~nameless, F.col("message_id"))
+    )
+    rows = dedup_stream(events, "message_id", "event_timestamp", "60 days")
+    kept = _collect_stream(rows, "nameless", str(tmp_path / "c"))
+    landed = testdata.landed(spark, SMALL, "user_events")
+    assert kept.where(F.col("message_id").isNull()).count() == 2 * landed.where(nameless).count()
+    assert kept.where(~nameless).count() == landed.where(~nameless).count()
+
+
 def test_partition_lags():
     source = {
         "endOffset": {"t": {"0": 5, "1": 7}},
