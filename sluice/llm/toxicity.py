@@ -15,9 +15,10 @@ by a hash of the id; all of a chosen text is used. Models are fitted in one task
 bounded sample, and scoring reads each whole text once, without a shuffle.
 
 Defined results: a null or empty text is a text without words, scored as such; a missing
-or null label is no label; repeated labels of an id count as toxic if one is; without
-examples of both classes every score is 0; repeated rows are scored alike; an empty table
-gives no rows; other columns of the inputs are ignored.
+or null label is no label; repeated labels of an id count as toxic if one is; of rows that
+share an id, the least text is the one learnt from; without examples of both classes every
+score is 0; repeated rows are scored alike; an empty table gives no rows; other columns of
+the inputs are ignored.
 """
 
 from __future__ import annotations
@@ -172,6 +173,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | Non
     # Ids are chosen first, so that only chosen texts are moved.
     chosen = _sample(marked, sample).select("doc_id", "toxic", "n")
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    # An id that many rows share is one example; reduced in each task before it is moved.
+    rows = rows.groupBy("doc_id", "toxic", "n").agg(F.min("text").alias("text"))
 
     def train(batches):
         group = pd.concat(list(batches) or [pd.DataFrame(columns=["doc_id", "toxic", "n", "text"])])

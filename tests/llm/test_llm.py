@@ -246,6 +246,14 @@ def test_held_out_toxicity(spark, sf_dir):
     assert clean < 0.05 < found.filter("toxic = 1").agg(F.avg("predicted")).first()[0]
 
 
+def test_rows_that_share_an_id_are_one_toxic_example(spark):
+    rows = [(i, f"{'vile words' if i % 2 else 'kind words'} number{i} and more", "en", "a") for i in range(60)]
+    marked = labels(spark, [(i, 1, i % 2) for i in range(60)])
+    once = toxicity.fit(frame(spark, rows), marked)
+    often = toxicity.fit(frame(spark, rows + rows[:1] * 200), marked)
+    assert once.weights == often.weights and once.vocabulary == often.vocabulary
+
+
 def test_names_are_split_into_words():
     costs = {"data": 3.0, "base": 3.5, "database": 8.0, "a": 4.0}
     assert url_filter.segment("database", costs, (10.0, 3.0)) == ["data", "base"]
