@@ -30,6 +30,7 @@ def _arguments() -> argparse.ArgumentParser:
     parser.add_argument("--min-partitions", type=int, help="read a topic with at least so many tasks")
     parser.add_argument("--text", help="read <folder>/<dataset>/*.txt instead of Kafka")
     parser.add_argument("--probe-days", type=int, help="look up keys only around a batch's dates")
+    parser.add_argument("--buckets", type=int, help="bucket tables by key, instead of dates")
     parser.add_argument("--any-age", action="store_true", help="accept messages of any age")
     parser.add_argument("--once", action="store_true", help="take what is there, then stop")
     return parser
@@ -40,7 +41,8 @@ def main(argv: Sequence[str] | None = None) -> None:
     logging.basicConfig(level=logging.INFO)
     specs = [get_spec(name) for name in options.datasets] or all_specs()
     spark = create_session("ingest-" + "-".join(spec.name for spec in specs))
-    warehouse = Warehouse(spark, options.root, probe_days=options.probe_days)
+    layout = {} if options.probe_days is None else {"probe_days": options.probe_days}
+    warehouse = Warehouse(spark, options.root, options.buckets, **layout)
     settings = {"max_age_ms": None} if options.any_age else {}
 
     def messages(spec):

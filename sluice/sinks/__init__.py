@@ -1,5 +1,6 @@
 """Where landed rows are written. Every sink may be given the same batch twice."""
 
+from .buckets import BucketTable
 from .database import DatabaseTable, upsert_statement
 from .jdbc import append_jdbc
 from .parquet import AppendTable, Quarantine, StateTable, export_tables, restore_tables
@@ -7,6 +8,7 @@ from .stats import StatsLog
 
 __all__ = [
     "AppendTable",
+    "BucketTable",
     "DatabaseTable",
     "Quarantine",
     "StateTable",

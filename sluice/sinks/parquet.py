@@ -170,7 +170,29 @@ class AppendTable:
         return [row[0] for row in dates.collect()]
 
 
-class StateTable:
+class Generations:
+    """A folder of generations ``gen=n``, each a full table; the newest complete one counts."""
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self.spark, self.path = spark, path
+
+    def _folder(self, generation: int) -> str:
+        return f"{self.path}/gen={generation:06d}"
+
+    def _current(self) -> int:
+        """The newest generation whose write was completed; 0 before the first."""
+        hadoop, files = _files(self.spark, self.path)
+        done = files.globStatus(hadoop.Path(f"{self.path}/gen=*/_SUCCESS")) or []
+        return max((int(f.getPath().getParent().getName()[4:]) for f in done), default=0)
+
+    def _remove_before(self, generation: int) -> None:
+        hadoop, files = _files(self.spark, self.path)
+        for found in files.globStatus(hadoop.Path(f"{self.path}/gen=*")) or []:
+            if int(found.getPath().getName()[4:]) < generation:
+                files.delete(found.getPath(), True)
+
+
+class StateTable(Generations):
     """Update-latest: one row per key, the one with the latest event time.
 
     A write only adds the batch's latest row per key, so its cost is that of the batch;
@@ -191,8 +213,8 @@ class StateTable:
         guard: bool = True,
         compact_every: int | None = None,
     ) -> None:
-        self.spark, self.path, self.spec, self.guard = spark, path, spec, guard
-        self.compact_every = compact_every
+        super().__init__(spark, path)
+        self.spec, self.guard, self.compact_every = spec, guard, compact_every
 
     def read(self) -> DataFrame | None:
         """One row per key, or None before the first write."""
@@ -229,10 +251,7 @@ class StateTable:
         if rows is None:
             return current
         rows.write.mode("overwrite").parquet(self._folder(current + 1))
-        hadoop, files = _files(self.spark, self.path)
-        for found in files.globStatus(hadoop.Path(f"{self.path}/gen=*")) or []:
-            if int(found.getPath().getName()[4:]) < current:
-                files.delete(found.getPath(), True)
+        self._remove_before(current)
         return current + 1
 
     def _winners(self) -> DataFrame | None:
@@ -244,16 +263,6 @@ class StateTable:
         order = order if self.guard else ["_written_at", *order]
         return latest_per_key(rows, self.spec.key, order, nullable=False)
 
-    def _folder(self, generation: int) -> str:
-        return f"{self.path}/gen={generation:06d}"
-
-    def _current(self) -> int:
-        """The newest generation whose write was completed; 0 before the first."""
-        hadoop, files = _files(self.spark, self.path)
-        done = files.globStatus(hadoop.Path(f"{self.path}/gen=*/_SUCCESS")) or []
-        return max((int(f.getPath().getParent().getName()[4:]) for f in done), default=0)
-
-
 class Quarantine:
     """Rejected messages with the rules they break, in one folder per query and batch.
 

@@ -6,6 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .sinks.buckets import BucketTable
 from .sinks.parquet import AppendTable, Quarantine, StateTable
 from .sinks.stats import StatsLog
 from .specs import DatasetSpec, all_specs
@@ -15,16 +16,25 @@ from .streaming.ingest import IngestJob
 class Warehouse:
     """The landed tables under ``root``, a folder all executors can reach.
 
-    ``settings`` go to the append tables (``probe_days``, ``grain``, ``null_key``).
+    With ``buckets``, tables that keep the first row of a key are bucketed by it, which
+    suits keys looked up in very large tables; else they are cut by date, and ``settings``
+    go to them (``probe_days``, ``grain``, ``null_key``).
     """
 
-    def __init__(self, spark: SparkSession, root: str, **settings) -> None:
-        self.spark, self.root, self.settings = spark, root.rstrip("/"), settings
+    def __init__(
+        self, spark: SparkSession, root: str, buckets: int | None = None, **settings
+    ) -> None:
+        if buckets and settings:
+            raise ValueError(f"not for bucketed tables: {sorted(settings)}")
+        self.spark, self.root = spark, root.rstrip("/")
+        self.buckets, self.settings = buckets, settings
 
-    def table(self, spec: DatasetSpec) -> AppendTable | StateTable:
+    def table(self, spec: DatasetSpec) -> AppendTable | BucketTable | StateTable:
         path = f"{self.root}/tables/{spec.table}"
         if spec.policy == "update":
             return StateTable(self.spark, path, spec, compact_every=100)
+        if self.buckets:
+            return BucketTable(self.spark, path, spec, self.buckets, compact_every=100)
         return AppendTable(self.spark, path, spec, **self.settings)
 
     def quarantine(self, spec: DatasetSpec) -> Quarantine:

@@ -18,6 +18,7 @@ from sluice.plans import monitoring, reports
 from sluice.session import shared_dir
 from sluice.sinks import (
     AppendTable,
+    BucketTable,
     Quarantine,
     StateTable,
     StatsLog,
@@ -508,9 +509,9 @@ def _new_folder(spark) -> str:
     return f"{shared_dir(spark)}/sluice-{uuid.uuid4().hex}"
 
 
-def _stream_job(spark, sf_dir, kind, folder, damaged=False):
+def _stream_job(spark, sf_dir, kind, folder, damaged=False, sink=None):
     spec = get_spec(kind)
-    sink = StateTable if spec.policy == "update" else AppendTable
+    sink = sink or (StateTable if spec.policy == "update" else AppendTable)
     return IngestJob(
         spec,
         testdata.stream_messages(spark, sf_dir, kind, damaged),
@@ -550,6 +551,16 @@ def stream_insert_if_absent(spark, sf_dir):
     return job.table.read().drop("event_date", "ingested_at")
 
 
+@query
+def stream_insert_bucketed(spark, sf_dir):
+    """The same into a table in buckets, which looks keys up in all it holds."""
+    folder = _new_folder(spark)
+    job = _stream_job(spark, sf_dir, "weather", folder, damaged=True, sink=BucketTable)
+    _run(job)
+    _run(replace(job, checkpoint=f"{folder}/checkpoint-lost"))
+    return job.table.read().drop("ingested_at")
+
+
 @query
 def stream_update_latest(spark, sf_dir):
     job = _stream_job(spark, sf_dir, "logistics", _new_folder(spark))

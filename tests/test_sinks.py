@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from sluice.operators import keyed
 from sluice.sinks import (
     AppendTable,
+    BucketTable,
     DatabaseTable,
     Quarantine,
     StateTable,
@@ -130,6 +131,54 @@ def test_failed_write_leaves_the_table_and_can_be_repeated(spark, events, tmp_pa
     assert rows_of(table.read().drop("event_date")) == rows_of(events)
 
 
+def test_buckets_keep_the_first_row_of_each_key(spark, events, tmp_path):
+    path = str(tmp_path / "t")
+    assert BucketTable(spark, path, USER_EVENTS, 4).read() is None
+    for batch in parts(events, "message_id", 3, 1):
+        # A new writer each time, as after a restart.
+        BucketTable(spark, path, USER_EVENTS, 4).write(batch.unionByName(batch))
+    table = BucketTable(spark, path, USER_EVENTS, 4)
+    assert rows_of(table.read()) == rows_of(events)
+    table.write(events.withColumn("event_timestamp", F.col("event_timestamp") + F.expr("INTERVAL 900 DAYS")))
+    assert rows_of(table.read()) == rows_of(events)
+    nameless = events.limit(1).withColumn("message_id", F.lit(None).cast("string"))
+    with pytest.raises(PySparkException, match="row without message_id"):
+        table.write(nameless)
+    assert rows_of(table.read()) == rows_of(events)
+
+
+def test_a_batch_is_moved_to_the_buckets_and_the_table_is_not(spark, events, tmp_path):
+    table = BucketTable(spark, str(tmp_path / "t"), USER_EVENTS, 4)
+    half, rest = parts(events, "message_id", 2, 7)
+    table.write(half)
+    assert len(list((tmp_path / "t").glob("gen=*/part-*"))) == 4
+    first = keyed.first_per_key(rest, "message_id", ["event_timestamp"], nullable=False)
+    plan = table.absent(first)._jdf.queryExecution().executedPlan().toString()
+    join, stored = plan[: plan.index("InMemoryRelation")], plan[plan.rindex("Sort [_present") :]
+    # One exchange picks the batch's winners, one takes them to their buckets.
+    assert "SortMergeJoin" in join and join.count("Exchange ") == 2
+    assert "Exchange" not in stored and "Bucketed: true" in stored
+    assert "ReadSchema: struct<message_id:string>" in stored
+    table.write(rest)
+    assert len(list((tmp_path / "t").glob("gen=*/part-*"))) == 8
+
+
+def test_compacted_buckets(spark, events, tmp_path):
+    path = tmp_path / "t"
+    for i, batch in enumerate(parts(events, "message_id", 5, 3)):
+        if i == 1:  # what an interrupted compaction leaves does not count
+            (path / "gen=000001").mkdir()
+            (path / "gen=000001" / "part-0.parquet").write_bytes(b"cut short")
+        BucketTable(spark, str(path), USER_EVENTS, 4, compact_every=2).write(batch)
+    table = BucketTable(spark, str(path), USER_EVENTS, 4)
+    assert rows_of(table.read()) == rows_of(events)
+    current = table._current()
+    assert current >= 2 and {f.name for f in path.iterdir()} == {f"gen={n:06d}" for n in (current - 1, current)}
+    assert table.compact() == current + 1
+    assert len(list((path / f"gen={current + 1:06d}").glob("part-*"))) == 4
+    assert rows_of(table.read()) == rows_of(events)
+
+
 @pytest.mark.parametrize("seed", [1, 2, 3])
 def test_latest_state_does_not_depend_on_order_of_batches(spark, shipments, tmp_path, seed):
     expected = rows_of(keyed.latest_per_key(shipments, "shipment_id", ["last_update"]))

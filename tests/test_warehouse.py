@@ -33,6 +33,19 @@ def test_tables_after_the_command(spark, root):
             assert contents(tables[spec.table], spec) == contents(expected_table(messages, spec), spec)
 
 
+def test_bucketed_tables_after_the_command(spark, root, tmp_path):
+    for _ in range(2):
+        main(["--root", str(tmp_path), "--text", str(root / "in"), "--once", "--any-age",
+              "--buckets", "4", "user_events"])
+    rows = Warehouse(spark, str(tmp_path), buckets=4).tables()["user_events"]
+    dated = Warehouse(spark, str(root / "out")).tables()["user_events"]
+    unlike = {"ingested_at", "event_date"}
+    names = [name for name in dated.columns if name not in unlike]
+    assert sorted(rows.select(names).collect()) == sorted(dated.select(names).collect())
+    with pytest.raises(ValueError, match="probe_days"):
+        Warehouse(spark, str(tmp_path), buckets=4, probe_days=0)
+
+
 def test_reports_run_on_landed_tables(spark, root):
     tables = Warehouse(spark, str(root / "out")).tables()
     weather = tables["weather_data"]
