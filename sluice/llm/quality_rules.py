@@ -40,13 +40,13 @@ MIN_KEPT_PERCENT = 50
 
 def repeat_words(w: Column) -> Column:
     """How many words of ``w`` lie in windows of five words that occur more than once."""
-    windows = F.when(
-        F.size(w) >= WINDOW,
-        F.transform(
+
+    def windows(body) -> Column:
+        """``body`` of the five words of each window."""
+        return F.transform(
             F.sequence(F.lit(0), F.size(w) - WINDOW),
-            lambda i: F.concat_ws(" ", *[F.get(w, i + k) for k in range(WINDOW)]),
-        ),
-    ).otherwise(F.array().cast("array<string>"))
+            lambda i: body(*[F.get(w, i + k) for k in range(WINDOW)]),
+        )
 
     def covered(positions: Column) -> Column:
         """Words under windows that start at these places, in order: each adds what is new."""
@@ -65,13 +65,21 @@ def repeat_words(w: Column) -> Column:
 
         return let(F.sort_array(F.transform(F.filter(s, repeated), lambda x: x["i"])), covered)
 
-    def count(a: Column) -> Column:
-        ordered = F.sort_array(F.transform(a, lambda x, i: F.struct(x.alias("w"), i.alias("i"))))
-        return F.when(F.size(F.array_distinct(a)) == F.size(a), F.lit(0)).otherwise(
-            let(ordered, in_sorted)
-        )
+    def all_differ(hashes: Column) -> Column:
+        return F.size(F.array_distinct(hashes)) == F.size(hashes)
 
-    return let(windows, count).cast("long")
+    # Windows whose hashes all differ are different; only otherwise are they spelt out.
+    ordered = F.sort_array(
+        F.transform(
+            windows(lambda *five: F.concat_ws(" ", *five)),
+            lambda x, i: F.struct(x.alias("w"), i.alias("i")),
+        )
+    )
+    return (
+        F.when((F.size(w) < WINDOW) | let(windows(F.xxhash64), all_differ), F.lit(0))
+        .otherwise(let(ordered, in_sorted))
+        .cast("long")
+    )
 
 
 def _occurrences(text: Column, part: str) -> Column:
