@@ -10,7 +10,10 @@ costs more with each letter.
 Equal feature lists are one row: features are counted and scored once per distinct list
 (hosts and path patterns), summed before shuffling, and only verdicts are joined back to
 the pages, so a host with a third of all pages is one entry. Names are split once each.
-The word list is a bounded model, the most frequent words, at most ``LEXICON``.
+
+All words count, however rare. The pieces that most names have, at most ``SENT`` of them,
+are sent to all tasks with their counts; the other pieces are joined with the counts by
+shuffling, and each name gets the counts of its own. A hot piece is thus never shuffled.
 
 Defined results: a null url and one without ``://`` have an empty host and path and no
 features, and the priors decide; a url may be anything after that. Equal evidence, and no
@@ -30,7 +33,8 @@ from pyspark.sql import functions as F
 
 from .common import broadcast_if_small, checkpointed, lower_ascii, most_frequent
 
-LEXICON = 50_000
+SENT = 50_000  # pieces
+ROWS = 1 << 16  # of a batch of pieces
 LONGEST = 24  # letters of a word
 SMOOTHING = 1.0
 ALLOW, BLOCK = "allow", "block"
@@ -61,13 +65,11 @@ def rule_for(host: Column, path: Column, rules: list[tuple[str, str, str]]) -> C
     return reduce(lambda chosen, f: chosen.when(*f), rest, F.when(*first))
 
 
-def lexicon(texts: DataFrame, html: str = "html") -> DataFrame:
-    """The most frequent words of the visible text of all pages, with their counts."""
+def word_counts(texts: DataFrame, html: str = "html") -> DataFrame:
+    """``word`` and its count ``n`` for every word of the visible text of all pages."""
     visible = F.lower(F.regexp_replace(F.coalesce(F.col(html), F.lit("")), _TAGS, " "))
     found = texts.select(F.explode(F.regexp_extract_all(visible, F.lit(r"\p{L}+"), F.lit(0))).alias("word"))
-    counts = found.groupBy("word").agg(F.count("word").alias("n"))
-    counts = checkpointed(counts.filter(F.length("word") <= LONGEST))
-    return most_frequent(counts, "n", LEXICON)
+    return checkpointed(found.groupBy("word").agg(F.count("word").alias("n")))
 
 
 def segment(name: str, costs: dict[str, float], unknown: tuple[float, float]) -> list[str]:
@@ -93,20 +95,62 @@ def segment(name: str, costs: dict[str, float], unknown: tuple[float, float]) ->
     return words[::-1]
 
 
-def segmenter(counts: DataFrame):
-    """A function from a name column to its words, with the counts as its unigrams."""
-    rows = counts.collect()
-    total = sum(r.n for r in rows) or 1
-    costs = {r.word: -math.log(r.n / total) for r in rows}
+def pieces_of(name: str) -> set[str]:
+    """What a split of the name can consist of, but for pieces too long to be a word."""
+    ends = range(1, len(name) + 1)
+    return {name[start:end] for end in ends for start in range(max(0, end - LONGEST), end)}
+
+
+def _pieces(names: DataFrame) -> DataFrame:
+    """``id`` and ``word`` for every piece of the names, which have ``id`` and ``name``."""
+
+    def rows(ids: list[int], found: list[str]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(found, pa.string())], ["id", "word"])
+
+    def cut(batches):
+        for batch in batches:
+            ids, found = [], []
+            for own, name in zip(batch["id"].to_pylist(), batch["name"].to_pylist()):
+                pieces = pieces_of(name)
+                ids += [own] * len(pieces)
+                found += pieces
+                if len(ids) >= ROWS:
+                    yield rows(ids, found)
+                    ids, found = [], []
+            yield rows(ids, found)
+
+    return names.select("id", "name").mapInArrow(cut, "id long, word string")
+
+
+def split_names(names: DataFrame, counts: DataFrame) -> DataFrame:
+    """``name`` and its ``words`` for each of the distinct names, with the counts as unigrams."""
+    total = counts.agg(F.sum("n")).first()[0] or 1
+    names = checkpointed(names.select("name", F.monotonically_increasing_id().alias("id")))
+    pieces = _pieces(names)
+    uses = checkpointed(
+        pieces.groupBy("word").agg(F.count("word").alias("uses")).join(counts, "word", "left")
+    )
+    sent = most_frequent(uses, "uses", SENT)
+    costs = {r.word: r.n and -math.log(r.n / total) for r in sent.collect()}
+    shared = names.sparkSession.sparkContext.broadcast(costs)
     unknown = (math.log(total), math.log(26))
-    shared = counts.sparkSession.sparkContext.broadcast(costs)
+    least = sent.agg(F.min("uses")).first()[0]
+    # Only words are left here: a piece that is none needs no count.
+    words = uses.filter("n IS NOT NULL").select("word", "n", "uses")
+    words = checkpointed(words if least is None else words.filter(F.col("uses") < least)).drop("uses")
+    others = pieces.join(broadcast_if_small(words), "word")
+    own = others.groupBy("id").agg(F.collect_list(F.struct("word", "n")).alias("own"))
 
-    def split(names: pa.Array) -> pa.Array:
-        return pa.array(
-            [segment(n.as_py() or "", shared.value, unknown) for n in names], pa.list_(pa.string())
-        )
+    def split(names: pa.Array, own: pa.Array) -> pa.Array:
+        sent, found = shared.value, []
+        for name, rows in zip(names.to_pylist(), own.to_pylist()):
+            mine = {r["word"]: -math.log(r["n"] / total) for r in rows or ()}
+            known = {p: c for p in pieces_of(name) if (c := mine.get(p, sent.get(p))) is not None}
+            found.append(segment(name, known, unknown))
+        return pa.array(found, pa.list_(pa.string()))
 
-    return F.arrow_udf(split, "array<string>")
+    udf = F.arrow_udf(split, "array<string>")
+    return names.join(own, "id", "left").select("name", udf("name", "own").alias("words"))
 
 
 def _names(page: DataFrame) -> DataFrame:
@@ -136,11 +180,9 @@ def classify(pages: DataFrame, rules: list[tuple[str, str, str]]) -> DataFrame:
             F.count_if(F.col("r.verdict") == BLOCK).alias(BLOCK),
         )
     )
-    split = segmenter(lexicon(pages))
     entries = lists.select("names", ALLOW, BLOCK, F.explode_outer("names").alias("e"))
-    distinct = checkpointed(
-        entries.filter("e IS NOT NULL").select("e.name").distinct().withColumn("words", split("name"))
-    )
+    names = entries.filter("e IS NOT NULL").select("e.name").distinct()
+    distinct = checkpointed(split_names(names, word_counts(pages)))
     features = checkpointed(
         entries.join(broadcast_if_small(distinct), F.col("e.name") == F.col("name"), "left")
         .select("names", ALLOW, BLOCK, F.col("e.place").alias("place"), F.explode_outer("words").alias("word"))

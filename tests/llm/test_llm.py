@@ -277,6 +277,19 @@ def test_url_rules_and_hard_urls(spark):
     assert url_filter.classify(pages.filter("false"), queries.URL_RULES).count() == 0
 
 
+def test_names_split_into_words_however_rare(spark, monkeypatch):
+    letters = "bcdfghjklm"
+    filler = " ".join("zq" + "".join(letters[i // 10**k % 10] for k in range(5)) for i in range(60_000))
+    rows = [(1, "http://casino.net/es/", filler), (2, "http://kind.com/", "blue casino"), (3, "http://kind.com/", "kind"),
+            (4, "http://bluecasino.org/", None), (5, "http://bluekind.org/", None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r.page_id: r for r in url_filter.classify(pages, queries.URL_RULES).collect()}
+    assert (found[4].verdict, found[5].verdict) == ("block", "allow")
+    # The same if the counts of most pieces are joined instead of sent.
+    monkeypatch.setattr(url_filter, "SENT", 20)
+    assert {r.page_id: r for r in url_filter.classify(pages, queries.URL_RULES).collect()} == found
+
+
 def test_mixed_sources_come_near_their_targets(spark, sf_dir):
     mixed = queries.queries()["op8_mix_sources"](spark, sf_dir)
     assert mixed.filter(F.col("taken") > 3 * F.col("size")).count() == 0
