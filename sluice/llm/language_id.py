@@ -4,8 +4,10 @@ Texts are lowered, all but letters become spaces, and the byte n-grams of one to
 bytes are counted in ``BUCKETS`` hashed buckets. Vectors are sublinear counts times the
 inverse document frequency, of length one. Each language's training vectors are clustered
 by spherical k-means into ``CENTROIDS`` centroids; a text takes the language of the
-centroid with the largest cosine. A text farther from all centroids than ``radius`` is
-rejected: halfway between the farthest training document and no likeness at all.
+centroid with the largest cosine. A text farther from it than its language's radius is
+rejected: ``MARGIN`` of the way from the distance that all but ``WRONG`` of the language's
+training documents keep to, to no likeness at all. So few wrong labels neither widen a radius nor
+become a centroid: groups that hold no more of the documents are set aside first.
 
 The classifier is fitted on at most ``SAMPLE`` documents per language, a documented bound,
 chosen by a hash of the id; each language is fitted in its own task. Prediction reads
@@ -33,6 +35,8 @@ from .common import broadcast_if_small, checkpointed, fold
 SAMPLE = 1000
 CENTROIDS = 4
 ROUNDS = 12
+WRONG = 0.02  # share of a language's labels that may be wrong
+MARGIN = 0.6
 BUCKETS = 4096
 UNKNOWN = "und"
 FOLDS, HELD_OUT = 4, 2
@@ -78,12 +82,28 @@ def cluster(x: np.ndarray, k: int, rounds: int = ROUNDS) -> np.ndarray:
     return centroids
 
 
+def centre(x: np.ndarray, k: int) -> tuple[np.ndarray, float]:
+    """Centroids of one language's vectors and the radius within which a text is kept."""
+    kept = np.arange(len(x))
+    while True:
+        c = cluster(x[kept], k)
+        own = (x[kept] @ c.T).argmax(axis=1)
+        n = np.bincount(own, minlength=len(c))
+        c, filled = c[n > 0], np.flatnonzero(n)
+        least = filled[n[filled].argmin()]
+        if len(kept) - n[least] < (1 - WRONG) * len(x):
+            break
+        kept = kept[own != least]
+    far = float(np.sort(1 - (x @ c.T).max(axis=1))[-1 - int(WRONG * len(x))])
+    return c, far + MARGIN * (1 - far)
+
+
 @dataclass(frozen=True)
 class Model:
     languages: list[str]  # of each centroid, sorted
     centroids: np.ndarray
     idf: np.ndarray
-    radius: float
+    radius: np.ndarray  # of each centroid's language
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float, bool]]:
         """Language, cosine and whether the text is too far off, for each text."""
@@ -95,7 +115,7 @@ class Model:
         best = cosines.argmax(axis=1)
         for (i, _), j, row in zip(known, best, cosines):
             cosine = min(1.0, max(0.0, float(row[j])))
-            found[i] = (self.languages[j], cosine, 1 - cosine > self.radius)
+            found[i] = (self.languages[j], cosine, 1 - cosine > self.radius[j])
         return found
 
 
@@ -140,31 +160,30 @@ def fit(docs: DataFrame, sample: int = SAMPLE, k: int = CENTROIDS) -> Model:
     seen = rows.groupBy("lang").applyInPandas(frequencies, "n long, seen binary").collect()
     if not seen:
         empty = np.zeros((0, BUCKETS), np.float32)
-        return Model([], empty, np.ones(BUCKETS, np.float32), 1.0)
+        return Model([], empty, np.ones(BUCKETS, np.float32), np.ones(0))
     total = sum(r.n for r in seen)
     df = sum(np.frombuffer(r.seen, np.int64) for r in seen)
     idf = (np.log((1 + total) / (1 + df)) + 1).astype(np.float32)
 
     def centroids(group: pd.DataFrame) -> pd.DataFrame:
         x = vectors(list(unpacked(group)), idf)
-        c = cluster(x, k)
-        farthest = 1 - float((x @ c.T).max(axis=1).min())
+        c, radius = centre(x, k)
         return pd.DataFrame(
             {
                 "lang": [group["lang"].iloc[0]],
                 "k": [len(c)],
                 "centroids": [c.astype(np.float32).tobytes()],
-                "farthest": [farthest],
+                "radius": [radius],
             }
         )
 
-    schema = "lang string, k int, centroids binary, farthest double"
+    schema = "lang string, k int, centroids binary, radius double"
     fitted = sorted(rows.groupBy("lang").applyInPandas(centroids, schema).collect())
     return Model(
         [r.lang for r in fitted for _ in range(r.k)],
         np.concatenate([np.frombuffer(r.centroids, np.float32) for r in fitted]).reshape(-1, BUCKETS),
         idf,
-        (1 + max(r.farthest for r in fitted)) / 2,
+        np.array([r.radius for r in fitted for _ in range(r.k)]),
     )
 
 

@@ -239,6 +239,28 @@ def test_held_out_languages(spark, sf_dir):
     assert right > 0.97
 
 
+UNSEEN = [
+    "Tämä on suomenkielinen lause, jossa kerrotaan päivän säästä ja kaupungin elämästä.",
+    "Это предложение на русском языке о погоде и городе.",
+    "这是一个关于天气和城市的中文句子。",
+    "هذه جملة باللغة العربية عن الطقس والمدينة",
+    "".join(np.random.default_rng(1).choice(list("abcdefghijklmnopqrstuvwxyz    "), 200)),
+]
+
+
+@pytest.mark.parametrize("wrong", [0, 100])
+def test_texts_in_unseen_languages_are_rejected(spark, sf_dir, wrong):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
+    # One in so many texts is not in the language of its label.
+    other = F.get(F.array(*map(F.lit, UNSEEN)), (F.col("doc_id") % 5).cast("int"))
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(max(wrong, 1)))
+    mixed = docs.withColumn("text", F.when((place == 0) & F.lit(wrong > 0), other).otherwise(F.col("text")))
+    model = language_id.fit(mixed)
+    assert all(rejected for _, _, rejected in model.predict(UNSEEN))
+    kept = [not r for lang, _, r in model.predict([r.text for r in docs.collect()]) if lang != "und"]
+    assert np.mean(kept) > 0.995
+
+
 def test_held_out_toxicity(spark, sf_dir):
     given = spark.read.parquet(f"{sf_dir}/labels.parquet").filter("toxic IS NOT NULL")
     found = queries.queries()["op10_toxicity"](spark, sf_dir).join(given, "doc_id").filter("held_out")
