@@ -14,13 +14,15 @@ For each item length, windows of that length at every word of a text are looked
    with ``TABLES`` samples each reach the recall asked for; windows shift by single words,
    so a passage is also met in neighbouring windows.
 4. Windows that share a key with an item are verified exactly, by the edit distance
-   between the item and the best passage around the window.
+   between the item and the best passage around the window. Of items under ``SHORT`` words
+   that may have an edit, all windows of step 1 are: a walk over so few words is too short.
 
 The benchmark is gone through in blocks of at most ``BLOCK_BYTES``, measured first; each
 block's index is broadcast and every document is read once per block. Nothing is shuffled.
 
-Defined results: null and empty texts match nothing; items that are null or shorter than
-``MIN_WORDS`` words are not used; equal items match alike; repeated rows are judged alike;
+Defined results: null and empty texts match nothing; items that are null or
+without words are not used, all others are, and those under five words have to be met word
+for word; equal items match alike; repeated rows are judged alike;
 whole texts are searched; with an empty table or benchmark nothing matches. Other columns
 are passed through by ``remove_contaminated`` and otherwise ignored.
 """
@@ -37,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
-MIN_WORDS = 8
+SHORT = 8  # words
 MAX_EDIT_SHARE = 0.2
 WALKS = 6
 TABLES = 5  # for each walk
@@ -78,7 +80,7 @@ class Index:
     """
 
     def __init__(self, items: list[tuple[int, str]]):
-        texts = [(i, w) for i, w in ((i, words_of(t)) for i, t in items) if len(w) >= MIN_WORDS]
+        texts = [(i, w) for i, w in ((i, words_of(t)) for i, t in items) if w]
         among = Counter(w for _, ws in texts for w in set(ws))
         self.vocabulary = {w: k for k, w in enumerate(sorted(among), 1)}
         self.items = [(i, np.array([self.vocabulary[w] for w in ws])) for i, ws in texts]
@@ -125,27 +127,28 @@ class Index:
         n, length = rows.shape
         random = np.random.default_rng(length)
         # Walks mostly end at two thirds of their steps; what follows is padding.
+        sampled = min(SAMPLED, 2 * length)
         steps = [
-            [random.choice(2 * length, SAMPLED, replace=False) for _ in range(TABLES)]
+            [random.choice(2 * length, sampled, replace=False) for _ in range(TABLES)]
             for _ in range(WALKS)
         ]
         read = self.embed(rows)[np.arange(WALKS)[:, None, None], :, np.array(steps)]
-        read = read.transpose(3, 0, 1, 2).reshape(n, WALKS * TABLES, SAMPLED)
+        read = read.transpose(3, 0, 1, 2).reshape(n, WALKS * TABLES, sampled)
         key = np.broadcast_to(np.arange(WALKS * TABLES, dtype=np.uint64), (n, WALKS * TABLES))
-        for k in range(SAMPLED):
+        for k in range(sampled):
             key = (key + read[:, :, k].astype(np.uint64)) * _MIX
             key = key ^ key >> np.uint64(29)
         return key
 
-    def _starts(self, ids: np.ndarray) -> dict[int, list[np.ndarray]]:
-        """By length, the starts of windows that hold enough rare words of an item of that
-        length; windows at the text's end may be cut as far as edits reach."""
+    def _starts(self, ids: np.ndarray) -> list[tuple[int, np.ndarray]]:
+        """Items and the starts of windows of their length that hold enough of their rare
+        words; windows at the text's end may be cut as far as edits reach."""
         n = self.first[ids + 1] - self.first[ids]
         where = np.repeat(np.arange(len(ids)), n)
         within = np.arange(len(where)) - np.repeat(np.cumsum(n) - n, n)
         owner = self.owners[self.first[ids[where]] + within]
         counts = np.bincount(owner, minlength=len(self.items))
-        found = defaultdict(list)
+        found = []
         for place in np.flatnonzero(counts >= self.needed):
             length, cut = len(self.items[place][1]), max_edits(len(self.items[place][1]))
             if len(ids) < length - cut:
@@ -153,7 +156,7 @@ class Index:
             starts = np.arange(max(0, len(ids) - length + cut) + 1)
             at = where[owner == place]
             inside = np.searchsorted(at, starts + length) - np.searchsorted(at, starts)
-            found[length].append(starts[inside >= self.needed[place]])
+            found.append((place, starts[inside >= self.needed[place]]))
         return found
 
     def matches(self, text) -> list[dict]:
@@ -163,7 +166,14 @@ class Index:
             return []
         ids = np.fromiter(map(self.vocabulary.get, words, repeat(0)), np.int64, len(words))
         candidates = defaultdict(list)
-        for length, parts in self._starts(ids).items():
+        by_length = defaultdict(list)
+        for place, starts in self._starts(ids):
+            length = len(self.items[place][1])
+            if length < SHORT and max_edits(length):
+                candidates[place] = starts.tolist()
+            else:
+                by_length[length].append(starts)
+        for length, parts in by_length.items():
             starts = np.unique(np.concatenate(parts))
             padded = np.concatenate([ids, np.full(length, self.end)])
             known, by_key = self.tables[length]
@@ -176,7 +186,7 @@ class Index:
         found = []
         for place, at in candidates.items():
             item_id, item = self.items[place]
-            edits, start = min(self._verified(item, ids, sorted(set(at))))
+            edits, start = min(self._verified(item, ids, sorted(set(at))), default=(len(item), 0))
             if edits <= max_edits(len(item)):
                 found.append({"item_id": item_id, "start": start, "edits": edits})
         return sorted(found, key=lambda m: (m["item_id"] is None, m["item_id"] or 0, m["start"]))

@@ -215,6 +215,19 @@ def test_edited_passages_are_found_and_others_left(spark):
     assert decontaminate.passage_edits(np.array([1, 2, 3, 4]), np.array([9, 1, 2, 7, 4, 9])) == 1
 
 
+def test_short_items_are_found():
+    texts = ["zebra", "blue whale", "name the red planet", "what is the capital of France?", "how many legs has one common house spider"]
+    index = decontaminate.Index([*enumerate(texts), (8, "..."), (9, None)])
+    found = lambda text: [(m["item_id"], m["edits"]) for m in index.matches(text)]
+    for i, text in enumerate(texts):
+        for around in ("{}", "before {}", "{} after", "some words before {} and after"):
+            assert found(around.format(text)) == [(i, 0)]
+    # One edit in five words or more, none in fewer.
+    assert found("so what is the main capital of France then") == [(3, 1)] == found("what is capital of France")
+    assert found("how many legs has one tiny house spider") == [(4, 1)]
+    assert found("what was the main capital of France") == [] == found("name the big red planet") == found("whale blue")
+
+
 def test_language_model_probabilities_add_up(spark):
     docs = frame(spark)
     counts = lm_scoring.gather_counts(lm_scoring.corpus_counts(docs))
