@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from . import chat_format as chat
+from . import hard_negatives as hard
 from . import mixing
 from . import quality_rules as q
+from . import vector_codes as codes
 
 SPACE = r"\x20\x09-\x0D"
 
@@ -165,10 +167,94 @@ FROM (
 )
 """
 
+_USABLE = """embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"""
+
+
+def _whole(scale: int) -> str:
+    return f"list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)::BIGINT)"
+
+
+NEGATIVES = f"""
+WITH rows AS (
+    SELECT vec_id, {_whole(hard.SCALE)} AS v,
+        CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label
+    FROM embeddings WHERE label IS NOT NULL AND {_USABLE}
+),
+scores AS (
+    SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same,
+        list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * r.v[i]))::BIGINT AS score
+    FROM rows a, rows r WHERE a.vec_id % 100 = 0 AND a.vec_id <> r.vec_id
+),
+positives AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= {hard.POSITIVES}
+)
+SELECT anchor_id, positive_id, positive_score, vec_id AS negative_id, score AS negative_score,
+    row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INT AS rank
+FROM positives JOIN scores USING (anchor_id)
+WHERE NOT same AND 100 * score BETWEEN {hard.LOW} * positive_score AND {hard.HIGH} * positive_score
+QUALIFY rank <= {hard.NEGATIVES}
+"""
+
+
+def _rounds() -> str:
+    """Each round's nearest entries and the codebooks after it, as common table expressions."""
+    steps = []
+    for n in range(codes.ROUNDS + 1):
+        steps.append(f"""
+nearest{n} AS MATERIALIZED (
+    SELECT row_id, part, first(entry ORDER BY error, entry) AS entry, min(error) AS error FROM (
+        SELECT c.row_id, c.part, b.entry,
+            list_sum(list_transform(range(1, len(c.v) + 1), lambda i: (c.v[i] - b.v[i]) ** 2))::BIGINT AS error
+        FROM parts c JOIN book{n} b USING (part)
+    ) GROUP BY row_id, part
+)""")
+        if n < codes.ROUNDS:
+            steps.append(f"""
+sums{n} AS MATERIALIZED (
+    SELECT part, entry, i, count(*) AS n, sum(x)::BIGINT AS total FROM (
+        SELECT part, entry, unnest(v) AS x, unnest(range(1, len(v) + 1)) AS i
+        FROM parts JOIN nearest{n} USING (row_id, part)
+    ) GROUP BY part, entry, i
+),
+book{n + 1} AS MATERIALIZED (
+    SELECT part, entry, coalesce(moved, v) AS v FROM book{n} LEFT JOIN (
+        SELECT part, entry, list((total - ((total % n) + n) % n) // n ORDER BY i) AS moved
+        FROM sums{n} GROUP BY part, entry
+    ) USING (part, entry)
+)""")
+    return ",".join(steps)
+
+
+CODES = f"""
+WITH kept AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY vec_id) - 1 AS row_id, vec_id, label, {_whole(codes.SCALE)} AS v
+    FROM embeddings WHERE {_USABLE}
+),
+parts AS MATERIALIZED (
+    SELECT row_id, part, v[part * (len(v) // {codes.PARTS}) + 1:(part + 1) * (len(v) // {codes.PARTS})] AS v
+    FROM kept, range({codes.PARTS}) AS p(part)
+),
+book0 AS MATERIALIZED (SELECT part, row_id AS entry, v FROM parts WHERE row_id < {codes.ENTRIES}),
+{_rounds()},
+coded AS (
+    SELECT vec_id, label, string_agg(printf('%02x', entry), '' ORDER BY part) AS code,
+        sum(error)::BIGINT AS error
+    FROM kept JOIN nearest{codes.ROUNDS} USING (row_id) GROUP BY row_id, vec_id, label
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+    (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY part, entry))
+        FROM book{codes.ROUNDS}) AS codebooks_sha256
+FROM coded
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op3_chat_format": CHAT,
         "op6_quality_rules": QUALITY,
         "op8_mix_sources": MIX,
+        "op11_hard_negatives": NEGATIVES,
+        "op12_vector_codes": CODES,
     }

@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
+    bpe,
     chat_format,
     decontaminate,
+    hard_negatives,
     language_id,
     lm_scoring,
     mixing,
@@ -18,6 +20,7 @@ from . import (
     token_counts,
     toxicity,
     url_filter,
+    vector_codes,
 )
 from .common import table
 
@@ -90,6 +93,21 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some labels are moved by one first; every hundredth id is an anchor."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return hard_negatives.mine(rows, anchors=F.col("vec_id") % 100 == 0)
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(bpe.encode_documents(table(spark, sf_dir, "documents")))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_lm_scoring": op1_lm_scoring,
@@ -102,4 +120,7 @@ def queries() -> dict[str, Query]:
         "op8_mix_sources": op8_mix_sources,
         "op9_simhash_dedup": op9_simhash_dedup,
         "op10_toxicity": op10_toxicity,
+        "op11_hard_negatives": op11_hard_negatives,
+        "op12_vector_codes": op12_vector_codes,
+        "op13_bpe": op13_bpe,
     }
