@@ -19,7 +19,9 @@ not encode to, as no encoding has them.
 
 Normalization and the cut into pieces are those the vocabulary file states, done by the
 tokenizers library (no model of it is used). Both work between any two runs of ASCII white
-space on their own, so results are kept per run for runs that come again.
+space on their own, so results are kept per run for runs that come again. Runs of Latin
+letters, digits and signs take a shorter way with the same result, compared with the
+library's for each of these characters when a vocabulary is read.
 
 Defined results: a null or empty text has no tokens; strings of special tokens become those
 tokens; long texts are encoded whole; repeated rows are encoded alike; an empty table gives no
@@ -36,18 +38,41 @@ from functools import lru_cache
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 VOCABULARY = "word_bpe_49k.json"
 
 # Runs, pieces and pairs of tokens whose results a worker keeps; long ones never are.
-KEPT, KEPT_LENGTH = 1 << 18, 64
+KEPT, KEPT_LENGTH = 1 << 17, 64
 # ASCII white space only: whatever else is white is left to the vocabulary's own rules.
 _RUN = re.compile(r"[^ \t\n\x0b\x0c\r]+")
 # Symbols that end a piece are told from others by this, added to their code point.
 _LAST = 0x1000
 _NEVER = 1 << 62
+# Stands before the first token. Pairs of tokens are kept as one number.
+_START, _SHIFT = 1 << 31, 32
+# Below this code point no character combines with another, so normalization leaves them be.
+_LATIN = re.compile("[\x01-\u024f]*")
+
+
+class Recent(dict):
+    """Results of late, ``KEPT`` at most and as many older ones, of which those asked for stay."""
+
+    def __init__(self, find) -> None:
+        self.find, self.older = find, {}
+
+    def __missing__(self, key: str) -> tuple[int, ...]:
+        found = self.older.get(key)
+        if found is None:
+            found = tuple(self.find(key))
+        if len(key) <= KEPT_LENGTH:
+            if len(self) >= KEPT:
+                self.older = dict(self)
+                self.clear()
+            self[key] = found
+        return found
 
 
 class Vocabulary:
@@ -66,11 +91,10 @@ class Vocabulary:
             raise ValueError(f"{path}: no post-processor or decoder can be used")
         self._read_merges(path, model["merges"])
         self._read_special(path, stated["added_tokens"])
-        self._read_rules(path)
+        self._read_rules(path, stated)
         self.texts = {i: text for text, i in self.ids.items()} | {i: text for text, i in self.special.items()}
-        self._fits: dict[tuple[int, int], bool] = {}
-        self._runs: dict[str, list[int]] = {}
-        self._pieces: dict[str, list[int]] = {}
+        self._fits: dict[int, bool] = {}
+        self._runs, self._pieces = Recent(self._encode_run), Recent(self.encode_piece)
         self._find_tokens()
 
     def _read_merges(self, path: str, merges: list) -> None:
@@ -89,11 +113,31 @@ class Vocabulary:
         longest_first = sorted(self.special, key=len, reverse=True)
         self._special = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if added else None
 
-    def _read_rules(self, path: str) -> None:
+    def _read_rules(self, path: str, stated: dict) -> None:
         from tokenizers import Tokenizer
 
         rules = Tokenizer.from_file(path)
         self._normalizer, self._cutter = rules.normalizer, rules.pre_tokenizer
+        cuts = stated["pre_tokenizer"].get("pretokenizers", [{}])
+        self._latin = regex.compile(cuts[0].get("pattern", {}).get("Regex", ""))
+        # How byte-level vocabularies write bytes: printable Latin ones as they are, the
+        # others by characters from 256 on, in order.
+        printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+        others = (byte for byte in range(256) if byte not in printable)
+        self._bytes = {byte: 256 + n for n, byte in enumerate(others)}
+        tried = (text for c in map(chr, range(1, 0x250)) for text in (c, f"a{c}b", f"1{c}{c}'{c}", f"{c}'s"))
+        if any(self._cut_latin(text) != self._cut(text) for text in tried):
+            self._cut_latin = self._cut
+
+    def _cut(self, run: str) -> list[str]:
+        """The pieces of a run of text, as symbols for their bytes."""
+        return [piece for piece, _ in self._cutter.pre_tokenize_str(self._normalizer.normalize_str(run))]
+
+    def _cut_latin(self, run: str) -> list[str]:
+        pieces = self._latin.findall(run.lower())
+        return pieces if run.isascii() and run.isprintable() else [
+            piece.encode().decode("latin-1").translate(self._bytes) for piece in pieces
+        ]
 
     def _find_tokens(self) -> None:
         """The automaton of all tokens that their own text encodes to."""
@@ -141,68 +185,49 @@ class Vocabulary:
     def encode_piece(self, piece: str) -> list[int]:
         """The tokens of one piece, given as the symbols that stand for its bytes."""
         text = self._ended(piece)
-        last = [-1] * (len(text) + 1)
-        length = [0] * (len(text) + 1)
+        # Per prefix, named by its last position. The empty one is at -1, the end of the list.
+        last = [-1] * len(text) + [_START]
+        length = [0] * len(text)
         fits = self._fits
         if len(fits) >= KEPT:
             fits.clear()
-        for at, (token, size) in self._tokens.iter(text):
-            end = at + 1
-            if last[end] >= 0:
-                continue
-            if size < end:
+        for end, (token, size) in self._tokens.iter(text):
+            if last[end] < 0:
                 before = last[end - size]
-                apart = fits.get((before, token))
+                pair = before << _SHIFT | token
+                apart = fits.get(pair)
                 if apart is None:
-                    apart = fits[before, token] = before >= 0 and self._apart(before, token)
-                if not apart:
-                    continue
-            last[end], length[end] = token, size
-        found, end = [], len(text)
-        while end:
+                    apart = fits[pair] = before == _START or before >= 0 and self._apart(before, token)
+                if apart:
+                    last[end], length[end] = token, size
+        found, end = [], len(text) - 1
+        while end >= 0:
             if last[end] < 0:
-                raise ValueError(f"no token for {piece[:end][-1]!r}")
+                raise ValueError(f"no token for {piece[end]!r}")
             found.append(last[end])
             end -= length[end]
         return found[::-1]
 
     def _encode_run(self, run: str) -> list[int]:
-        known = self._runs.get(run)
-        if known is None:
-            pieces = self._cutter.pre_tokenize_str(self._normalizer.normalize_str(run))
-            known = [token for piece, _ in pieces for token in self._piece(piece)]
-            if len(run) <= KEPT_LENGTH:
-                self._keep(self._runs, run, known)
-        return known
-
-    def _piece(self, piece: str) -> list[int]:
-        known = self._pieces.get(piece)
-        if known is None:
-            known = self.encode_piece(piece)
-            if len(piece) <= KEPT_LENGTH:
-                self._keep(self._pieces, piece, known)
-        return known
-
-    @staticmethod
-    def _keep(results: dict[str, list[int]], key: str, value: list[int]) -> None:
-        if len(results) >= KEPT:
-            results.clear()
-        results[key] = value
+        cut = self._cut_latin if _LATIN.fullmatch(run) else self._cut
+        return [token for piece in cut(run) for token in self._pieces[piece]]
 
     def encode(self, text: str | None) -> list[int]:
         found: list[int] = []
+        runs = self._runs
         parts: Iterable[str] = self._special.split(text or "") if self._special else [text or ""]
         for part in parts:
             if part in self.special:
                 found.append(self.special[part])
             else:
                 for run in _RUN.findall(part):
-                    found += self._encode_run(run)
+                    found += runs[run]
         return found
 
     def decode(self, ids: Iterable[int]) -> str:
         """The tokens as the vocabulary writes them, as it states no way to join them."""
-        return " ".join([self.texts[i] for i in ids])
+        texts = self.texts
+        return " ".join([texts[i] for i in ids])
 
 
 def vocabulary_path() -> str:
@@ -217,19 +242,26 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
-def token_ids(text: Column, path: str | None = None) -> Column:
-    """The ids of a text column's tokens, as an array."""
+_ENCODED = pa.struct([("ids", pa.list_(pa.int32())), ("decoded", pa.string())])
+
+
+def encoded(text: Column, path: str | None = None) -> Column:
+    """A struct of a text's token ids and the text decoded from them."""
     path = path or vocabulary_path()
 
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         voc = vocabulary(path)
         for texts in batches:
-            found = [np.array(voc.encode(t.as_py()), np.int32) for t in texts]
-            ends = np.cumsum([0, *map(len, found)], dtype=np.int32)
-            flat = np.concatenate(found) if found else np.array([], np.int32)
-            yield pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+            ids, back = [], []
+            for text in texts:
+                found = voc.encode(text.as_py())
+                ids.append(np.array(found, np.int32))
+                back.append(voc.decode(found))
+            ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids or [ends[:0]])))
+            yield pa.StructArray.from_arrays([lists, pa.array(back, pa.string())], fields=list(_ENCODED))
 
-    return F.arrow_udf(encode, "array<int>")(text.cast("string"))
+    return F.arrow_udf(encode, "ids array<int>, decoded string")(text.cast("string"))
 
 
 def decoded(ids: Column, path: str | None = None) -> Column:
@@ -239,15 +271,16 @@ def decoded(ids: Column, path: str | None = None) -> Column:
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         voc = vocabulary(path)
         for arrays in batches:
-            yield pa.array([None if x is None else voc.decode(x) for x in arrays.to_pylist()], pa.string())
+            found = (ids.as_py() for ids in arrays)
+            yield pa.array([None if x is None else voc.decode(x) for x in found], pa.string())
 
     return F.arrow_udf(decode, "string")(ids)
 
 
 def encode_documents(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", path: str | None = None) -> DataFrame:
     """One row per document: its id, its token ids, and the text decoded from them."""
-    found = docs.select(F.col(doc_id).alias("doc_id"), token_ids(F.col(text), path).alias("ids"))
-    return found.select("doc_id", "ids", decoded(F.col("ids"), path).alias("decoded"))
+    found = docs.select(F.col(doc_id).alias("doc_id"), encoded(F.col(text), path).alias("e"))
+    return found.select("doc_id", "e.ids", "e.decoded")
 
 
 def digests(encoded: DataFrame) -> DataFrame:

@@ -172,16 +172,14 @@ def test_orchard_search_equals_a_scan_also_for_large_numbers():
 
 
 def test_orchard_search_leaves_entries_out(monkeypatch):
-    # Far groups of entries: a search need not look at groups other than its own and the first.
+    # Far groups of entries: a search in the first one never goes through the lists' far ends.
     draw = np.random.default_rng(6)
     entries = np.concatenate([draw.integers(0, 50, (32, 4)) + 10_000 * g for g in range(8)]).astype(float)
-    book = vector_codes.Codebook(entries)
     looked_at = []
-    squares = vector_codes.Codebook._squares
-    monkeypatch.setattr(vector_codes.Codebook, "_squares", staticmethod(lambda a, b: looked_at.append(len(a)) or squares(a, b)))
-    parts = entries + 1
-    book.nearest(parts)
-    assert sum(looked_at) < 0.6 * len(parts) * len(entries)
+    einsum = np.einsum
+    monkeypatch.setattr(np, "einsum", lambda *given: looked_at.append(given[2].shape) or einsum(*given))
+    vector_codes.Codebook(entries).nearest(entries[:32] + 1)
+    assert sum(n * s for n, s, _ in looked_at) <= 32 * len(entries) / 2
 
 
 LONG = "".join(random.Random(3).choice("abehilnorst") for _ in range(60_000))
@@ -213,6 +211,9 @@ def test_tokens_of_hard_texts_equal_the_library(spark, library):
     found = {r.doc_id: (r.ids, r.decoded) for r in bpe.encode_documents(given).collect()}
     assert [found[i] for i in range(len(TEXTS))] == expected_tokens(library, TEXTS)
     assert bpe.encode_documents(given.filter("false")).count() == 0
+    again = bpe.encode_documents(given).select("decoded", bpe.decoded(F.col("ids")).alias("again"))
+    assert again.filter("decoded <> again").count() == 0
+    assert spark.sql("SELECT CAST(NULL AS array<int>) AS ids").select(bpe.decoded(F.col("ids"))).first()[0] is None
     assert bpe.digests(bpe.encode_documents(given.limit(1))).columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
 
 
@@ -231,7 +232,7 @@ def test_tokens_stay_right_when_kept_results_are_dropped(library, monkeypatch):
     voc = bpe.Vocabulary(bpe.vocabulary_path())
     text = "one two three one four five two six seven eight nine ten eleven one"
     assert voc.encode(text) == library.encode(text, add_special_tokens=False).ids
-    assert max(map(len, (voc._runs, voc._pieces))) <= 3
+    assert max(map(len, (voc._runs, voc._runs.older, voc._pieces, voc._pieces.older))) <= 3
 
 
 def test_digests_of_all_documents_equal_the_library(spark, sf_dir, library):
