@@ -38,7 +38,7 @@ SCALE = 1024
 PARTS, ENTRIES, ROUNDS = 4, 256, 4
 
 # Places of a neighbour list that are looked at in one go, and parts searched side by side.
-STEP, TOGETHER = 16, 4096
+STEP, TOGETHER = 32, 1024
 
 _SUMS = "cell int, parts long, sums array<decimal(38,0)>"
 _CODES = "vec_id long, label string, code string, error long"
@@ -49,19 +49,12 @@ class Codebook:
 
     def __init__(self, entries: np.ndarray) -> None:
         self.entries = entries
-        n = len(entries)
-        between = np.array([self._squares(entry, entries) for entry in entries]).reshape(n, n)
+        self.largest = np.abs(entries).max(initial=0.0)
+        exact = exactly(entries, 2 * self.largest)
+        between = np.array([((exact - entry) ** 2).sum(axis=1) for entry in exact])
         self.order = np.argsort(between, axis=1, kind="stable")
         self.between = np.take_along_axis(between, self.order, axis=1)
 
-    @staticmethod
-    def _squares(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Squared distances of rows, exactly."""
-        bound = a.shape[-1] * (np.abs(a).max(initial=0.0) + np.abs(b).max(initial=0.0)) ** 2
-        if bound * 4 >= EXACT_DOUBLE:
-            a, b = whole(a), whole(b)
-        return ((a - b) ** 2).sum(axis=-1)
-
     def nearest(self, parts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Index and squared distance of each part's nearest entry."""
         found = [self._search(parts[i : i + TOGETHER]) for i in range(0, len(parts), TOGETHER)]
@@ -69,8 +62,11 @@ class Codebook:
 
     def _search(self, parts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         n, size = len(parts), len(self.entries)
+        largest = np.abs(parts).max(initial=0.0) + self.largest
+        parts, entries = exactly(parts, largest), exactly(self.entries, largest)
+        own, other = (parts**2).sum(axis=1), (entries**2).sum(axis=1)
         best = np.zeros(n, np.int64)
-        distance = self._squares(parts, self.entries[best])
+        distance = ((parts - entries[0]) ** 2).sum(axis=1)
         place = np.zeros(n, np.int64)  # how far down the best entry's list
         seen = np.zeros((n, size), bool)
         seen[:, 0] = True
@@ -78,33 +74,34 @@ class Codebook:
         while len(searching):
             at = place[searching, None] + np.arange(STEP)
             beyond = at >= size
-            at = np.minimum(at, size - 1)
-            lists = best[searching, None]
-            entry = self.order[lists, at]
+            lists = best[searching, None] * size + np.minimum(at, size - 1)
+            entry = self.order.ravel()[lists]
             # Squared, twice the distance is four times.
-            beyond |= self.between[lists, at] > 4 * distance[searching, None]
-            i, j = np.nonzero(~beyond & ~seen[searching[:, None], entry])
-            who, candidate = searching[i], entry[i, j]
-            seen[who, candidate] = True
-            squares = self._squares(parts[who], self.entries[candidate])
-            # The best candidate of each part: the first after sorting, lower index first.
-            ordered = np.lexsort((candidate, squares, who)) if squares.dtype != object else np.array(
-                sorted(range(len(who)), key=lambda x: (who[x], squares[x], candidate[x])), np.int64
-            )
-            who, candidate, squares = who[ordered], candidate[ordered], squares[ordered]
-            first = np.flatnonzero(np.diff(who, prepend=-1))
-            who, candidate, squares = who[first], candidate[first], squares[first]
-            closer = (squares < distance[who]) | (squares == distance[who]) & (candidate < best[who])
-            closer = closer.astype(bool)
-            moved = who[closer]
-            if distance.dtype != squares.dtype:
-                distance = distance.astype(object)
-            best[moved], distance[moved], place[moved] = candidate[closer], squares[closer], -STEP
+            now, held = distance[searching], best[searching]
+            beyond |= (self.between.ravel()[lists] > 4 * now[:, None]).astype(bool)
+            marks = searching[:, None] * size + entry
+            left_out = beyond | seen.ravel()[marks]
+            seen.ravel()[marks[~left_out]] = True
+            products = np.einsum("nw,nsw->ns", parts[searching], entries[entry])
+            found = own[searching, None] - 2 * products + other[entry]
+            found[left_out] = np.inf
+            least = found.min(axis=1)
+            candidate = np.where(found == least[:, None], entry, size).min(axis=1)
+            closer = ((least < now) | (least == now) & (candidate < held)).astype(bool)
+            moved = searching[closer]
+            best[moved], distance[moved] = candidate[closer], least[closer]
             place[searching] += STEP
-            searching = searching[(place[searching] == 0) | ~beyond[:, -1]]
+            place[moved] = 0
+            searching = searching[closer | ~beyond[:, -1]]
         return best, distance
 
 
+def exactly(rows: np.ndarray, largest: float) -> np.ndarray:
+    """Whole-number rows in a type that holds squared distances of up to twice the length
+    of a row whose numbers are as large as ``largest``."""
+    return rows if 4 * rows.shape[-1] * largest**2 < EXACT_DOUBLE else whole(rows)
+
+
 def cut(vectors: pa.Array, parts: int, width: int) -> list[np.ndarray]:
     """The whole-number vectors cut into ``parts`` matrices of ``width`` columns."""
     return np.split(matrix(vectors, SCALE, parts * width), parts, axis=1)
