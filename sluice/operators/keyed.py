@@ -18,32 +18,35 @@ from pyspark.sql import functions as F
 
 
 def first_per_key(
-    df: DataFrame, key: str, order: Sequence[str], nullable: bool = True
+    df: DataFrame, key: str | Sequence[str], order: Sequence[str], nullable: bool = True
 ) -> DataFrame:
     """The smallest row per key by ``order``, then by all remaining columns."""
     return _pick(df, key, order, F.min, nullable)
 
 
 def latest_per_key(
-    df: DataFrame, key: str, order: Sequence[str], nullable: bool = True
+    df: DataFrame, key: str | Sequence[str], order: Sequence[str], nullable: bool = True
 ) -> DataFrame:
     """The largest row per key by ``order``, then by all remaining columns."""
     return _pick(df, key, order, F.max, nullable)
 
 
-def _pick(df: DataFrame, key: str, order: Sequence[str], choose, nullable: bool) -> DataFrame:
-    rest = [name for name in df.columns if name != key and name not in order]
+def _pick(
+    df: DataFrame, key: str | Sequence[str], order: Sequence[str], choose, nullable: bool
+) -> DataFrame:
+    keys = [key] if isinstance(key, str) else list(key)
+    rest = [name for name in df.columns if name not in keys and name not in order]
     row: Column = F.struct(*order, *rest)
-    groups = [key]
+    columns, groups = df.columns, keys
     if nullable:
         # A number of its own for each row without a key, which also spreads such rows.
-        own = F.when(F.col(key).isNull(), F.monotonically_increasing_id())
-        df, groups = df.withColumn("_own", own), [key, "_own"]
-    columns = [name for name in df.columns if name != "_own"]
+        missing = F.array_contains(F.array(*[F.col(name).isNull() for name in keys]), True)
+        df = df.withColumn("_own", F.when(missing, F.monotonically_increasing_id()))
+        groups = [*keys, "_own"]
     return (
         df.groupBy(*groups)
         .agg(choose(row).alias("_row"))
-        .select(key, "_row.*")
+        .select(*keys, "_row.*")
         .select(*columns)
     )
 

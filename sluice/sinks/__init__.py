@@ -3,8 +3,9 @@
 from .buckets import BucketTable
 from .database import DatabaseTable, upsert_statement
 from .jdbc import append_jdbc
-from .parquet import AppendTable, Quarantine, StateTable, export_tables, restore_tables
+from .parquet import AppendTable, Quarantine, export_tables, restore_tables
 from .stats import StatsLog
+from .upsert import StateTable, UpsertTable
 
 __all__ = [
     "AppendTable",
@@ -13,6 +14,7 @@ __all__ = [
     "Quarantine",
     "StateTable",
     "StatsLog",
+    "UpsertTable",
     "append_jdbc",
     "export_tables",
     "restore_tables",

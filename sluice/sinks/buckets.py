@@ -14,43 +14,33 @@ from pyspark.sql import functions as F
 
 from ..operators.keyed import first_per_key, require_key
 from ..specs import DatasetSpec
-from .parquet import POSITION, Generations, _files, _read
+from .parquet import POSITION, _read
 
 # Buckets of a new table. Pick it for the size expected: a bucket is read by one task.
 BUCKETS = 64
 
 
-class BucketTable(Generations):
+class BucketTable:
     """Insert-if-absent: the first row of a key stays, whenever a copy comes back.
 
     Unlike ``AppendTable`` without ``probe_days``, an insert moves the batch only: its
     rows go to the task that reads the key column of their bucket. The table is not cut
     by date; reports on a span of time skip row groups by their statistics.
 
-    A write adds at most one file per bucket. Once ``compact_every`` writes are stored,
-    or when ``compact`` is called, the table is rewritten with one file per bucket as the
-    next generation, a sibling folder that counts once its ``_SUCCESS`` marker is there.
-
-    There is one writer and any number of readers. Rows without a key fail the write.
-    ``buckets`` must stay the same for the life of the folder.
+    A write adds at most one file per bucket. There is one writer and any number of
+    readers. Rows without a key fail the write. ``buckets`` must stay the same for the life
+    of the folder.
     """
 
     def __init__(
-        self,
-        spark: SparkSession,
-        path: str,
-        spec: DatasetSpec,
-        buckets: int = BUCKETS,
-        compact_every: int | None = None,
+        self, spark: SparkSession, path: str, spec: DatasetSpec, buckets: int = BUCKETS
     ) -> None:
-        super().__init__(spark, path)
-        self.spec, self.buckets, self.compact_every = spec, buckets, compact_every
+        self.spark, self.path, self.spec, self.buckets = spark, path, spec, buckets
 
     def read(self) -> DataFrame | None:
         """The table, or None before the first write."""
-        folder = self._folder(self._current())
-        stored = _read(self.spark, folder)
-        return None if stored is None else self.spark.table(self._declare(folder, stored))
+        stored = _read(self.spark, self.path)
+        return None if stored is None else self.spark.table(self._declare(stored))
 
     def write(self, batch: DataFrame) -> None:
         """Add the first row of each key the table does not hold yet."""
@@ -58,14 +48,15 @@ class BucketTable(Generations):
         position = [name for name in POSITION if name in batch.columns]
         order = [self.spec.event_time, *position]
         rows = first_per_key(require_key(batch, key), key, order, nullable=False).drop(*position)
-        folder = self._folder(self._current())
-        self._insert(self.absent(rows), folder)
-        if self.compact_every and self._files_per_bucket(folder) >= self.compact_every:
-            self.compact()
+        new = self.absent(rows)
+        stored = _read(self.spark, self.path)
+        name = self._declare(new if stored is None else stored)
+        new.select(*self.spark.table(name).columns).write.insertInto(name)
 
     def absent(self, rows: DataFrame) -> DataFrame:
         """The rows, one per key, whose key the table does not hold, spread like its buckets."""
-        key, rows, table = self.spec.key, self._spread(rows), self.read()
+        key, table = self.spec.key, self.read()
+        rows = rows.repartition(self.buckets, key)
         if table is None:
             return rows
         # A merge join leaves the rows where the buckets are, whatever the sizes. An anti
@@ -74,38 +65,11 @@ class BucketTable(Generations):
         joined = rows.join(present, F.col(key) == F.col("_present"), "left")
         return joined.where(F.col("_present").isNull()).drop("_present")
 
-    def _spread(self, rows: DataFrame) -> DataFrame:
-        return rows.repartition(self.buckets, self.spec.key)
-
-    def compact(self) -> int:
-        """Rewrite the table with one file per bucket and return its generation.
-
-        Call it from the writer, between two writes. What a reader has opened lasts until
-        the compaction after next.
-        """
-        current = self._current()
-        # As plain files: of the declared table Spark would leave the exchange out, as it
-        # is spread already, and then not read it by bucket.
-        rows = _read(self.spark, self._folder(current))
-        if rows is None:
-            return current
-        folder = self._folder(current + 1)
-        hadoop, files = _files(self.spark, self.path)
-        files.delete(hadoop.Path(folder), True)  # what an interrupted compaction left
-        self._insert(self._spread(rows), folder)
-        self._remove_before(current)
-        return current + 1
-
-    def _insert(self, rows: DataFrame, folder: str) -> None:
-        stored = _read(self.spark, folder)
-        name = self._declare(folder, rows if stored is None else stored)
-        rows.select(*self.spark.table(name).columns).write.insertInto(name)
-
-    def _declare(self, folder: str, like: DataFrame) -> str:
+    def _declare(self, like: DataFrame) -> str:
         """The folder as a bucketed table of the session's catalog; gives its name."""
-        name = "sluice_" + hashlib.md5(f"{folder} {self.buckets}".encode()).hexdigest()
+        name = "sluice_" + hashlib.md5(f"{self.path} {self.buckets}".encode()).hexdigest()
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in like.schema)
-        key, place = f"`{self.spec.key}`", folder.replace("\\", "\\\\").replace("'", "\\'")
+        key, place = f"`{self.spec.key}`", self.path.replace("\\", "\\\\").replace("'", "\\'")
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet"
             f" CLUSTERED BY ({key}) SORTED BY ({key}) INTO {self.buckets} BUCKETS"
@@ -113,7 +77,3 @@ class BucketTable(Generations):
         )
         self.spark.catalog.refreshTable(name)
         return name
-
-    def _files_per_bucket(self, folder: str) -> float:
-        hadoop, files = _files(self.spark, self.path)
-        return len(files.globStatus(hadoop.Path(f"{folder}/part-*")) or []) / self.buckets

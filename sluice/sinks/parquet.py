@@ -1,23 +1,19 @@
-"""Keyed tables as plain Parquet folders.
+"""Append tables, rejected messages and exports as plain Parquet folders.
 
-``AppendTable`` keeps the first row of each key, ``StateTable`` the latest. Both have
-one writer (a stream or a batch job) and any number of readers, and both give the same
-table when a batch is written again.
+An ``AppendTable`` has one writer (a stream or a batch job) and any number of readers, and is
+the same table when a batch is written again.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterable, Mapping
 from contextlib import contextmanager
-from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import moment
-from ..operators.keyed import first_per_key, latest_per_key, require_key
+from ..operators.keyed import first_per_key, require_key
 from ..specs import DatasetSpec
 
 DATE = "event_date"
@@ -170,99 +166,6 @@ class AppendTable:
         return [row[0] for row in dates.collect()]
 
 
-class Generations:
-    """A folder of generations ``gen=n``, each a full table; the newest complete one counts."""
-
-    def __init__(self, spark: SparkSession, path: str) -> None:
-        self.spark, self.path = spark, path
-
-    def _folder(self, generation: int) -> str:
-        return f"{self.path}/gen={generation:06d}"
-
-    def _current(self) -> int:
-        """The newest generation whose write was completed; 0 before the first."""
-        hadoop, files = _files(self.spark, self.path)
-        done = files.globStatus(hadoop.Path(f"{self.path}/gen=*/_SUCCESS")) or []
-        return max((int(f.getPath().getParent().getName()[4:]) for f in done), default=0)
-
-    def _remove_before(self, generation: int) -> None:
-        hadoop, files = _files(self.spark, self.path)
-        for found in files.globStatus(hadoop.Path(f"{self.path}/gen=*")) or []:
-            if int(found.getPath().getName()[4:]) < generation:
-                files.delete(found.getPath(), True)
-
-
-class StateTable(Generations):
-    """Update-latest: one row per key, the one with the latest event time.
-
-    A write only adds the batch's latest row per key, so its cost is that of the batch;
-    ``read`` picks the winners, and a row written twice changes nothing. An older row
-    never replaces a newer one, unless ``guard`` is off: then the row written last wins.
-    ``compact`` rewrites the winners into the next generation, a sibling folder that
-    counts once its ``_SUCCESS`` marker is there, and removes those before the one it
-    replaces: what a reader has opened lasts until the compaction after next.
-    ``compact_every`` does so once that many writes are stored beside the last rewrite,
-    by whichever writer, which bounds what readers have to go through.
-    """
-
-    def __init__(
-        self,
-        spark: SparkSession,
-        path: str,
-        spec: DatasetSpec,
-        guard: bool = True,
-        compact_every: int | None = None,
-    ) -> None:
-        super().__init__(spark, path)
-        self.spec, self.guard, self.compact_every = spec, guard, compact_every
-
-    def read(self) -> DataFrame | None:
-        """One row per key, or None before the first write."""
-        rows = self._winners()
-        return None if rows is None else rows.drop("_written_at", *POSITION)
-
-    def write(self, batch: DataFrame, written_at: datetime | None = None) -> None:
-        """Add the latest row of each key in ``batch``."""
-        key = self.spec.key
-        written = written_at or datetime.now(timezone.utc).replace(tzinfo=None)
-        rows = require_key(batch, key)
-        for name, type_ in zip(POSITION, ("long", "int")):
-            if name not in rows.columns:
-                rows = rows.withColumn(name, F.lit(None).cast(type_))
-        latest = latest_per_key(rows, key, [self.spec.event_time, *POSITION], nullable=False)
-        folder = self._folder(self._current())
-        latest.withColumn("_written_at", moment(written)).write.parquet(
-            f"{folder}/write={uuid.uuid4().hex}"
-        )
-        if self.compact_every:
-            hadoop, files = _files(self.spark, self.path)
-            stored = files.globStatus(hadoop.Path(f"{folder}/write=*/_SUCCESS")) or []
-            if len(stored) >= self.compact_every:
-                self.compact()
-
-    def compact(self) -> int:
-        """Write the winners as a new generation and return its number.
-
-        Call it from the writer, between two writes. Readers of the previous
-        generation are not disturbed.
-        """
-        current = self._current()
-        rows = self._winners()
-        if rows is None:
-            return current
-        rows.write.mode("overwrite").parquet(self._folder(current + 1))
-        self._remove_before(current)
-        return current + 1
-
-    def _winners(self) -> DataFrame | None:
-        # The last rewrite lies in the folder itself, later writes in folders of their own.
-        rows = _read(self.spark, self._folder(self._current()), recursiveFileLookup=True)
-        if rows is None:
-            return None
-        order = [self.spec.event_time, *POSITION]
-        order = order if self.guard else ["_written_at", *order]
-        return latest_per_key(rows, self.spec.key, order, nullable=False)
-
 class Quarantine:
     """Rejected messages with the rules they break, in one folder per query and batch.
 

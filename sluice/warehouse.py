@@ -7,8 +7,9 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 
 from .sinks.buckets import BucketTable
-from .sinks.parquet import AppendTable, Quarantine, StateTable
+from .sinks.parquet import AppendTable, Quarantine
 from .sinks.stats import StatsLog
+from .sinks.upsert import BUCKETS, StateTable
 from .specs import DatasetSpec, all_specs
 from .streaming.ingest import IngestJob
 
@@ -18,7 +19,8 @@ class Warehouse:
 
     With ``buckets``, tables that keep the first row of a key are bucketed by it, which
     suits keys looked up in very large tables; else they are cut by date, and ``settings``
-    go to them (``probe_days``, ``grain``, ``null_key``).
+    go to them (``probe_days``, ``grain``, ``null_key``). Tables that keep the latest row are
+    in buckets either way.
     """
 
     def __init__(
@@ -32,9 +34,9 @@ class Warehouse:
     def table(self, spec: DatasetSpec) -> AppendTable | BucketTable | StateTable:
         path = f"{self.root}/tables/{spec.table}"
         if spec.policy == "update":
-            return StateTable(self.spark, path, spec, compact_every=100)
+            return StateTable(self.spark, path, spec, buckets=self.buckets or BUCKETS)
         if self.buckets:
-            return BucketTable(self.spark, path, spec, self.buckets, compact_every=100)
+            return BucketTable(self.spark, path, spec, self.buckets)
         return AppendTable(self.spark, path, spec, **self.settings)
 
     def quarantine(self, spec: DatasetSpec) -> Quarantine:

@@ -14,10 +14,12 @@ from sluice.sinks import (
     Quarantine,
     StateTable,
     StatsLog,
+    UpsertTable,
     export_tables,
     restore_tables,
     upsert_statement,
 )
+from sluice.sinks.upsert import BUCKET, BUCKETS, REDO
 from sluice.specs import LOGISTICS, ORDERS, USER_EVENTS
 from sluice_checks import testdata
 
@@ -151,7 +153,7 @@ def test_a_batch_is_moved_to_the_buckets_and_the_table_is_not(spark, events, tmp
     table = BucketTable(spark, str(tmp_path / "t"), USER_EVENTS, 4)
     half, rest = parts(events, "message_id", 2, 7)
     table.write(half)
-    assert len(list((tmp_path / "t").glob("gen=*/part-*"))) == 4
+    assert len(list((tmp_path / "t").glob("part-*"))) == 4
     first = keyed.first_per_key(rest, "message_id", ["event_timestamp"], nullable=False)
     plan = table.absent(first)._jdf.queryExecution().executedPlan().toString()
     join, stored = plan[: plan.index("InMemoryRelation")], plan[plan.rindex("Sort [_present") :]
@@ -160,23 +162,7 @@ def test_a_batch_is_moved_to_the_buckets_and_the_table_is_not(spark, events, tmp
     assert "Exchange" not in stored and "Bucketed: true" in stored
     assert "ReadSchema: struct<message_id:string>" in stored
     table.write(rest)
-    assert len(list((tmp_path / "t").glob("gen=*/part-*"))) == 8
-
-
-def test_compacted_buckets(spark, events, tmp_path):
-    path = tmp_path / "t"
-    for i, batch in enumerate(parts(events, "message_id", 5, 3)):
-        if i == 1:  # what an interrupted compaction leaves does not count
-            (path / "gen=000001").mkdir()
-            (path / "gen=000001" / "part-0.parquet").write_bytes(b"cut short")
-        BucketTable(spark, str(path), USER_EVENTS, 4, compact_every=2).write(batch)
-    table = BucketTable(spark, str(path), USER_EVENTS, 4)
-    assert rows_of(table.read()) == rows_of(events)
-    current = table._current()
-    assert current >= 2 and {f.name for f in path.iterdir()} == {f"gen={n:06d}" for n in (current - 1, current)}
-    assert table.compact() == current + 1
-    assert len(list((path / f"gen={current + 1:06d}").glob("part-*"))) == 4
-    assert rows_of(table.read()) == rows_of(events)
+    assert len(list((tmp_path / "t").glob("part-*"))) == 8
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
@@ -190,37 +176,83 @@ def test_latest_state_does_not_depend_on_order_of_batches(spark, shipments, tmp_
         table.write(batch)
         if i == 1:
             table.write(batch)
-            assert table.compact() == 1
     assert rows_of(table.read()) == expected
-    assert table.compact() == 2
     table.write(batches[0])
     assert rows_of(table.read()) == expected
 
 
-def test_regular_compaction(spark, shipments, tmp_path):
-    for batch in parts(shipments, "shipment_id", 4, 9):
-        # A new writer each time, as after a restart.
-        table = StateTable(spark, str(tmp_path / "s"), LOGISTICS, compact_every=2)
-        table.write(batch)
-    assert table._current() == 2
-    expected = keyed.latest_per_key(shipments, "shipment_id", ["last_update"])
-    assert rows_of(table.read()) == rows_of(expected)
-    stored = spark.read.parquet(str(tmp_path / "s" / "gen=000002"))
-    assert stored.count() == expected.count()
-    # The generation before the current one is left for readers, older ones are gone.
-    assert sorted(f.name for f in (tmp_path / "s").iterdir()) == ["gen=000001", "gen=000002"]
+def stored_files(path):
+    """(bucket, file, time of writing) of every file of an update-latest table."""
+    return {(f.parent.name, f.name, f.stat().st_mtime_ns) for f in path.glob(f"{BUCKET}=*/part-*")}
 
 
-def test_unfinished_compaction_is_ignored(spark, shipments, tmp_path):
+def test_a_write_replaces_the_buckets_of_its_keys_alone(spark, shipments, tmp_path):
+    path = tmp_path / "s"
+    table = StateTable(spark, str(path), LOGISTICS)
+    table.write(shipments)
+    before = stored_files(path)
+    assert len({bucket for bucket, *_ in before}) == BUCKETS == len(before)  # a file each
+    held = spark.read.parquet(str(path)).where(F.col(BUCKET).isin(3, 40)).select("shipment_id")
+    update = shipments.join(held, "shipment_id").withColumn("shipment_status", F.lit("lost")).withColumn(
+        "last_update", F.col("last_update") + F.expr("INTERVAL 90000 DAYS")
+    )
+    # A new writer, as after a restart.
+    StateTable(spark, str(path), LOGISTICS).write(update)
+    after = stored_files(path)
+    assert {bucket for bucket, *_ in before - after} == {f"{BUCKET}=3", f"{BUCKET}=40"}
+    assert len(before & after) == BUCKETS - 2 and len(after) == BUCKETS
+    once = rows_of(table.read())
+    expected = shipments.unionByName(update)
+    assert once == rows_of(keyed.latest_per_key(expected, "shipment_id", ["last_update"]))
+    table.write(update)
+    assert rows_of(table.read()) == once
+    assert not (path / REDO).exists()
+
+
+def test_a_write_reads_the_buckets_of_its_keys_alone_and_moves_them_once(spark, shipments, tmp_path):
     table = StateTable(spark, str(tmp_path / "s"), LOGISTICS)
     table.write(shipments)
-    before = rows_of(table.read())
-    unfinished = tmp_path / "s" / "gen=000001"
-    unfinished.mkdir()
-    (unfinished / "part-00000.parquet").write_bytes(b"cut short")
-    assert rows_of(table.read()) == before
-    assert table.compact() == 1
-    assert rows_of(table.read()) == before
+    rows = spark.read.parquet(str(tmp_path / "s")).where(F.col(BUCKET) == 5)
+    merged = table.merged(rows, [5])
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert f"PartitionFilters: [isnotnull({BUCKET}" in plan
+
+
+@pytest.mark.parametrize("lost", ["bucket", "nothing"])
+def test_an_interrupted_overwrite_is_finished_by_the_next_write(spark, shipments, tmp_path, lost):
+    path = tmp_path / "s"
+    half, rest = parts(shipments, "shipment_id", 2, 4)
+
+    class Interrupted(StateTable):
+        def _put_in_place(self):
+            raise RuntimeError("writer lost")
+
+    StateTable(spark, str(path), LOGISTICS).write(half)
+    with pytest.raises(RuntimeError, match="writer lost"):
+        Interrupted(spark, str(path), LOGISTICS).write(rest)
+    if lost == "bucket":  # as if the writer died between removing a bucket and replacing it
+        for file in (path / f"{BUCKET}=7").iterdir():
+            file.unlink()
+    table = StateTable(spark, str(path), LOGISTICS)
+    table.write(half.limit(0))  # even a batch without rows
+    expected = rows_of(keyed.latest_per_key(shipments, "shipment_id", ["last_update"]))
+    assert rows_of(table.read()) == expected
+    # What was cut short before it was complete does not count.
+    (path / REDO).mkdir()
+    (path / REDO / "part-0.parquet").write_bytes(b"cut short")
+    table.write(rest)
+    assert rows_of(table.read()) == expected
+
+
+def test_keys_of_several_columns_some_null(spark, tmp_path):
+    table = UpsertTable(spark, str(tmp_path / "t"), ["a", "b"], ["at"], buckets=3)
+    given = "a string, b int, at int, v string"
+    table.write(spark.createDataFrame([("x", 1, 1, "old"), (None, 1, 1, "n"), ("x", None, 2, "y")], given))
+    table.write(spark.createDataFrame([("x", 1, 2, "new"), (None, 1, 0, "older"), ("z", 9, 1, "z")], given))
+    assert rows_of(table.read().select("a", "b", "v")) == sorted(
+        [("x", 1, "new"), (None, 1, "n"), ("x", None, "y"), ("z", 9, "z")], key=repr
+    )
 
 
 def _shipment(status, minute, offset=None):
