@@ -24,6 +24,9 @@ NO_DATE = "__HIVE_DEFAULT_PARTITION__"
 # key counted with this much beside its text.
 BROADCAST_BYTES = 32 << 20
 ROW_BYTES = 40
+# Bits per key of the Bloom filter for larger batches (2 % of other keys pass), and the size
+# it never exceeds (64 MB, good for 67 million keys; beyond that more keys pass).
+FILTER_BITS, MOST_FILTER_BITS = 8, 1 << 29
 # Up to this many date folders are opened one by one; for more the table is listed.
 LISTED_DATES = 366
 
@@ -38,6 +41,38 @@ def kept(df: DataFrame):
         cached.unpersist()
 
 
+@contextmanager
+def _settings(spark: SparkSession, values: dict[str, object]):
+    """The session with these settings for a while."""
+    before = {name: spark.conf.get(name, None) for name in values}
+    try:
+        for name, value in values.items():
+            spark.conf.set(name, str(value))
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def _bloom_filter(keys: int) -> dict[str, object]:
+    """Settings under which Spark filters a scan by the keys it is joined with by shuffling."""
+    bits = min(max(keys, 1) * FILTER_BITS, MOST_FILTER_BITS)
+    runtime = {
+        "enabled": "true",
+        "applicationSideScanSizeThreshold": 0,
+        "creationSideThreshold": 1 << 40,  # the filter is small, however many keys make it
+        "expectedNumItems": keys,
+        "maxNumItems": keys,
+        "numBits": bits,
+        "maxNumBits": bits,
+    }
+    return {
+        # The keys were measured: they are not to be broadcast on an estimate.
+        "spark.sql.autoBroadcastJoinThreshold": -1,
+        **{f"spark.sql.optimizer.runtime.bloomFilter.{name}": v for name, v in runtime.items()},
+    }
+
+
 def _read(spark: SparkSession, path: str, **options) -> DataFrame | None:
     try:
         return spark.read.options(**options).parquet(path)
@@ -68,6 +103,10 @@ class AppendTable:
     and ``n`` days around them, and rows without a time if the batch has any: 0 finds
     all redelivered messages, since a copy carries the same event time.
 
+    The keys of a batch are sent to that scan, up to ``broadcast_bytes`` of them. A larger
+    batch is joined by shuffling, and its keys go to the scan as a Bloom filter of bounded
+    size, so that of the table only the keys that may be in the batch are shuffled.
+
     ``null_key`` says what to do with rows without a key: ``"reject"`` fails the
     write, ``"append"`` adds them each time, as a nullable unique column would.
     """
@@ -109,8 +148,7 @@ class AppendTable:
         else:
             batch = require_key(batch, key)
         rows = first_per_key(batch, key, order, nullable=False).withColumn(DATE, self._date)
-        with kept(rows) as rows:
-            new = self._absent(rows)
+        with kept(rows) as rows, self._looking_up(rows) as new:
             if self.null_key == "append":
                 new = new.unionByName(without.withColumn(DATE, self._date))
             # Rebalancing gathers each date into few files and splits a large date.
@@ -118,17 +156,28 @@ class AppendTable:
                 DATE
             ).parquet(self.path)
 
-    def _absent(self, rows: DataFrame) -> DataFrame:
-        """The rows whose key the table does not hold."""
-        present = self._keys_near(rows)
-        if present is None:
-            return rows
+    @contextmanager
+    def _looking_up(self, rows: DataFrame):
+        """The rows whose key the table does not hold, to be used inside the block."""
         key = self.spec.key
+        present = self._keys_near(rows)
         length = F.octet_length(F.col(key).cast("string")) + ROW_BYTES
-        if (rows.agg(F.sum(length)).first()[0] or 0) <= self.broadcast_bytes:
+        size, n, least, most = rows.agg(
+            F.sum(length), F.count(key), F.min(key), F.max(key)
+        ).first()
+        if present is None or not n:
+            yield rows
+        elif size <= self.broadcast_bytes:
             # Few keys: send them to the table's scan instead of shuffling the table.
             present = present.join(F.broadcast(rows.select(key)), key, "left_semi")
-        return rows.join(present, key, "left_anti")
+            yield rows.join(present, key, "left_anti")
+        else:
+            # All keys lie between their bounds. The bounds skip row groups where keys ascend,
+            # and being a filter they make Spark build a Bloom filter for the other side.
+            keys = rows.select(key).where(F.col(key).between(least, most))
+            present = present.join(keys, key, "left_semi")
+            with _settings(rows.sparkSession, _bloom_filter(n)):
+                yield rows.join(present, key, "left_anti")
 
     def _keys_near(self, rows: DataFrame) -> DataFrame | None:
         """The table's keys, as far as they are looked up, or None if there are none."""

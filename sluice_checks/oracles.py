@@ -463,6 +463,7 @@ def oracle_sql() -> dict[str, str]:
         FROM wire_weather WHERE {_errors("weather")} = '')"""
     sql["stream_insert_if_absent"] = _with("wire_weather") + valid_weather
     sql["stream_insert_bucketed"] = sql["stream_insert_if_absent"]
+    sql["stream_insert_filtered"] = sql["stream_insert_if_absent"]
     sql["stream_update_latest"] = _with("logistics_shipments") + (
         f"SELECT * EXCLUDE (ingested_at) FROM ({LATEST_ARRIVED})"
     )

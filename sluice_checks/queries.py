@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import datetime
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -561,6 +561,17 @@ def stream_insert_bucketed(spark, sf_dir):
     return job.table.read().drop("ingested_at")
 
 
+@query
+def stream_insert_filtered(spark, sf_dir):
+    """The same, looking keys up as for batches whose keys are too many to be sent around."""
+    folder = _new_folder(spark)
+    sink = partial(AppendTable, grain="month", broadcast_bytes=0)
+    job = _stream_job(spark, sf_dir, "weather", folder, damaged=True, sink=sink)
+    _run(job)
+    _run(replace(job, checkpoint=f"{folder}/checkpoint-lost"))
+    return job.table.read().drop("event_date", "ingested_at")
+
+
 @query
 def stream_update_latest(spark, sf_dir):
     job = _stream_job(spark, sf_dir, "logistics", _new_folder(spark))

@@ -68,6 +68,46 @@ def test_insert_if_absent(spark, events, tmp_path, probe_days, grain, broadcast_
     assert rows_of(table.read().drop("event_date")) == first
 
 
+def plan_nodes(plan):
+    yield plan
+    if plan.nodeName().startswith("AdaptiveSparkPlan"):
+        yield from plan_nodes(plan.executedPlan())
+    elif "QueryStage" in plan.nodeName():
+        yield from plan_nodes(plan.plan())
+    for i in range(plan.children().size()):
+        yield from plan_nodes(plan.children().apply(i))
+
+
+def shuffled_rows(df):
+    """(plan as text, rows written) of each shuffle of ``df``, which is run."""
+    df.collect()
+    exchanges = [n for n in plan_nodes(df._jdf.queryExecution().executedPlan()) if n.nodeName() == "Exchange"]
+    return [(n.toString(), n.metrics().get("shuffleRecordsWritten").get().value()) for n in exchanges]
+
+
+def test_a_large_batch_filters_the_scan_of_the_table_by_its_keys(spark, events, tmp_path):
+    many = events.crossJoin(spark.range(40)).withColumn(
+        "message_id", F.concat("message_id", F.lit("-"), F.col("id").cast("string"))
+    ).drop("id").cache()
+    table = AppendTable(spark, str(tmp_path / "t"), USER_EVENTS, grain="year", broadcast_bytes=100)
+    table.write(many)
+    batch = events.limit(200).withColumn("message_id", F.concat("message_id", F.lit("-7")))
+    new = events.limit(100).withColumn("message_id", F.concat("message_id", F.lit("-new")))
+    rows = batch.unionByName(new).withColumn("event_date", F.lit("2024-01-01").cast("date")).cache()
+    settings = spark.conf.getAll if isinstance(spark.conf.getAll, dict) else dict(spark.conf.getAll())
+    with table._looking_up(rows) as absent:
+        plan = absent._jdf.queryExecution().executedPlan().toString()
+        moved = [n for text, n in shuffled_rows(absent) if "might_contain" in text]
+        found = {r["message_id"] for r in absent.collect()}
+    assert "might_contain" in plan and "bloom_filter_agg" in plan
+    assert len(moved) == 1 and 200 <= moved[0] <= many.count() / 10
+    assert found == {r["message_id"] for r in new.collect()}
+    after = spark.conf.getAll if isinstance(spark.conf.getAll, dict) else dict(spark.conf.getAll())
+    assert after == settings
+    table.write(batch.unionByName(new))
+    assert table.read().count() == many.count() + 100
+
+
 def test_probe_scope(spark, events, tmp_path):
     moved = events.withColumn("event_timestamp", F.col("event_timestamp") + F.expr("INTERVAL 40 DAYS"))
     n = events.count()
