@@ -17,14 +17,16 @@ def _union(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
+def counts_per_hour(df: DataFrame, time: str = "recorded_at") -> DataFrame:
+    """Rows per hour, of all hours that have any."""
+    return df.groupBy(F.date_trunc("hour", time).cast("timestamp_ntz").alias("hour")).agg(
+        F.count(F.lit(1)).alias("message_count")
+    )
+
+
 def hourly_counts(df: DataFrame, time: str = "recorded_at", newest: int = 24) -> DataFrame:
     """Rows per hour, the ``newest`` hours that have any."""
-    return (
-        df.groupBy(F.date_trunc("hour", time).cast("timestamp_ntz").alias("hour"))
-        .agg(F.count(F.lit(1)).alias("message_count"))
-        .orderBy(F.desc("hour"))
-        .limit(newest)
-    )
+    return counts_per_hour(df, time).orderBy(F.desc("hour")).limit(newest)
 
 
 def volume_trend(

@@ -1,16 +1,26 @@
-"""Streaming ingest of the datasets, watermarked reports, and progress of running queries."""
+"""Streaming ingest of the datasets, reports in event time or kept up to date, and progress."""
 
 from .ingest import IngestJob, ingest_batch, run_all, start_ingest
-from .progress import checkpointed_batches, progress, source_lag
+from .late import LateRows, keep_late
+from .progress import ProgressLog, checkpointed_batches, progress, source_lag
+from .rollup import Rollup, keep_report
+from .running import running_stock_stream, running_totals
 from .windows import dedup_stream, windowed_counts
 
 __all__ = [
     "IngestJob",
+    "LateRows",
+    "ProgressLog",
+    "Rollup",
     "checkpointed_batches",
     "dedup_stream",
     "ingest_batch",
+    "keep_late",
+    "keep_report",
     "progress",
     "run_all",
+    "running_stock_stream",
+    "running_totals",
     "source_lag",
     "start_ingest",
     "windowed_counts",

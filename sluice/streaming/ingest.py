@@ -108,9 +108,16 @@ def start_ingest(job: IngestJob, trigger: dict[str, Any] | None = None) -> Strea
     spark = configure(job.messages.sparkSession)
     # Streams of one application share the cluster fairly.
     spark.sparkContext.setLocalProperty("spark.scheduler.pool", job.spec.name)
+    valid = F.size("errors") == 0
+    # Counted in the batch's own pass, for listeners; recomputed parts count again.
+    counted = flagged_messages(job).observe(
+        "messages",
+        F.count(F.lit(1)).alias("read"),
+        F.count_if(valid).alias("valid"),
+        F.count_if(~valid).alias("rejected"),
+    )
     writer = (
-        flagged_messages(job)
-        .writeStream.queryName(job.spec.name)
+        counted.writeStream.queryName(job.spec.name)
         .foreachBatch(batch_writer(job))
         .option("checkpointLocation", job.checkpoint)
     )

@@ -11,14 +11,15 @@ from ..plans.reports import events_tumbling
 DELAY = "24 hours"
 
 
-def _watermarked(df: DataFrame, time: str, delay: str) -> DataFrame:
+def watermarked(df: DataFrame, time: str, delay: str) -> DataFrame:
+    """``df`` with a watermark on ``time``."""
     # Event time without a zone means UTC; watermarks need a zoned timestamp.
     return df.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, delay)
 
 
 def windowed_counts(events: DataFrame, width: str = "1 hour", delay: str = DELAY) -> DataFrame:
     """User events per type and window; in append mode a window appears once it is closed."""
-    return events_tumbling(_watermarked(events, "event_timestamp", delay), width)
+    return events_tumbling(watermarked(events, "event_timestamp", delay), width)
 
 
 def dedup_stream(rows: DataFrame, key: str, time: str, delay: str = DELAY) -> DataFrame:
@@ -28,6 +29,6 @@ def dedup_stream(rows: DataFrame, key: str, time: str, delay: str = DELAY) -> Da
     table's own key check stays in charge. Rows without a key all stay.
     """
     own = F.when(F.col(key).isNull(), F.expr("uuid()"))
-    marked = _watermarked(rows, time, delay).withColumn("_own", own)
+    marked = watermarked(rows, time, delay).withColumn("_own", own)
     kept = marked.dropDuplicatesWithinWatermark([key, "_own"]).drop("_own")
     return kept.withColumn(time, F.col(time).cast("timestamp_ntz"))

@@ -6,6 +6,8 @@ the expected rows.
 
 from __future__ import annotations
 
+# Messages that come in late come in these parts.
+PARTS = 3
 UUID = "'00000000-0000-4000-8000-' || lpad(CAST({} AS VARCHAR), 12, '0')"
 ARRIVAL = "make_timestamp((epoch_us({ts}) // 1000 + {n} % 30 * 1000 + 250) * 1000)"
 PAGES = "['home', 'products', 'checkout', 'profile', 'search', 'wishlist']"
@@ -219,6 +221,20 @@ LATEST_ARRIVED = """SELECT * EXCLUDE (place, pos_offset, n) FROM (
     FROM (SELECT {columns}, arrival AS ingested_at, pos_offset, n FROM wire_logistics))
     WHERE place = 1""".format(columns=INGEST["logistics"])
 
+def _come_in(kind: str) -> str:
+    """A WITH clause whose last relation holds the messages with the part they come in and
+    its mark: a day before the newest message of all earlier parts, none in the first."""
+    return _with(f"wire_{kind}") + f""", placed AS (
+        SELECT w.*, least({PARTS} * ("timestamp" - first + CASE WHEN n % 7 = 1 THEN 259200000
+            WHEN n % 5 = 0 THEN 72000000 ELSE 0 END) // (last - first + 1), {PARTS - 1}) AS part
+        FROM wire_{kind} w, (
+            SELECT min("timestamp") AS first, max("timestamp") AS last FROM wire_{kind})),
+        newest AS (SELECT part, max("timestamp") AS newest FROM placed GROUP BY part),
+        come_in AS (SELECT p.*, (SELECT max(newest) FROM newest n WHERE n.part < p.part)
+            - 86400000 AS mark FROM placed p)
+    """
+
+
 RUNNING_STOCK = """SELECT * EXCLUDE (current_stock), CAST(sum(quantity_delta) OVER (
         PARTITION BY item_sku, warehouse_id ORDER BY changed_at, message_id
         ROWS UNBOUNDED PRECEDING) AS BIGINT) AS current_stock
@@ -477,4 +493,26 @@ def oracle_sql() -> dict[str, str]:
         WHERE window_end <= (SELECT date_trunc('millisecond', max(ts)) FROM events)
             - INTERVAL 24 HOUR"""
     sql["stream_dedup"] = sql["user_events_dedup"]
+    sql["stream_running_stock"] = _come_in("inventory") + f"""
+        SELECT * EXCLUDE ("timestamp") FROM (
+            SELECT {INGEST["inventory"]}, "timestamp",
+                   CAST(sum(quantity_delta) OVER (PARTITION BY item_sku, warehouse_id
+                       ORDER BY "timestamp", message_id ROWS UNBOUNDED PRECEDING) AS BIGINT)
+                       AS current_stock
+            FROM come_in WHERE mark IS NULL OR "timestamp" > mark)
+        WHERE "timestamp" <= (SELECT max("timestamp") FROM come_in) - 86400000"""
+    sql["stream_late_events"] = _come_in("user_events") + f"""
+        SELECT {INGEST["user_events"]}, arrival AS ingested_at, CAST(part AS INTEGER) AS batch_id
+        FROM come_in WHERE "timestamp" <= mark"""
+    sql["stream_stock_by_sku"] = sql["stock_by_sku"]
+    sql["stream_events_by_user_action"] = sql["events_by_user_action"]
+    sql["stream_hourly_counts"] = _with("weather_data") + """
+        SELECT CAST(date_trunc('hour', recorded_at) AS TIMESTAMP) AS hour,
+               count(*) AS message_count
+        FROM weather_data GROUP BY 1"""
+    sql["stream_progress_log"] = _come_in("weather") + f"""
+        SELECT 'weather' AS query, CAST(part AS BIGINT) AS batch_id, count(*) AS input_rows,
+               count(*) AS read, count(*) FILTER ({_errors("weather")} = '') AS valid,
+               count(*) FILTER ({_errors("weather")} <> '') AS rejected
+        FROM come_in GROUP BY part"""
     return sql

@@ -8,6 +8,7 @@ from dataclasses import replace
 from datetime import datetime
 from functools import partial, reduce
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType
@@ -40,9 +41,15 @@ from sluice.specs import (
 )
 from sluice.streaming import (
     IngestJob,
+    LateRows,
+    ProgressLog,
+    Rollup,
     checkpointed_batches,
     dedup_stream,
+    keep_late,
+    keep_report,
     progress,
+    running_stock_stream,
     start_ingest,
     windowed_counts,
 )
@@ -628,3 +635,132 @@ def stream_dedup(spark, sf_dir):
     return _append_stream(
         dedup_stream(twice, USER_EVENTS.key, USER_EVENTS.event_time), _new_folder(spark)
     )
+
+
+# --- streams whose messages come in three parts, some of them late ---------------------------
+
+
+ONCE = {"availableNow": True}
+
+
+def _in_parts(spark, sf_dir, kind, folder, start, damaged=False):
+    """Run ``start(messages)`` until its input is used up, after each part that comes in."""
+    messages = testdata.in_parts(spark, sf_dir, kind, damaged)
+    schema = messages.drop("part").schema
+    for part in range(testdata.PARTS):
+        come = messages.where(F.col("part") == part).drop("part")
+        come.write.mode("append").parquet(f"{folder}/in")
+        start(spark.readStream.schema(schema).parquet(f"{folder}/in")).awaitTermination()
+
+
+def _landed_stream(messages, kind):
+    """The stream's messages as rows of their table."""
+    spec = get_spec(kind)
+    landed = transform.ingest(messages, spec, F.col("source_timestamp"), ["timestamp"])
+    return transform.conform(landed, spec).drop("source_timestamp")
+
+
+@query
+def stream_running_stock(spark, sf_dir):
+    """Stock after each change that the watermark has passed, but for changes behind it."""
+    folder = _new_folder(spark)
+
+    def start(messages):
+        stock = running_stock_stream(_landed_stream(messages, "inventory"))
+        return (
+            stock.writeStream.format("parquet")
+            .option("checkpointLocation", f"{folder}/checkpoint")
+            .trigger(**ONCE)
+            .start(f"{folder}/out")
+        )
+
+    _in_parts(spark, sf_dir, "inventory", folder, start)
+    return spark.read.parquet(f"{folder}/out").drop("ingested_at")
+
+
+@query
+def stream_late_events(spark, sf_dir):
+    """The user events that come in more than a day behind the newest one before."""
+    folder = _new_folder(spark)
+    late = LateRows(f"{folder}/late", USER_EVENTS.event_time)
+
+    def start(messages):
+        rows = _landed_stream(messages, "user_events")
+        return keep_late(rows, late, f"{folder}/checkpoint", ONCE)
+
+    _in_parts(spark, sf_dir, "user_events", folder, start)
+    return late.read(spark)
+
+
+class _FailsOnce:
+    """A report's table whose second write is reported as failed after it was done."""
+
+    def __init__(self, rollup: Rollup) -> None:
+        self.rollup, self.writes = rollup, 0
+
+    def write(self, totals, batch_id):
+        self.rollup.write(totals, batch_id)
+        self.writes += 1
+        if self.writes == 2:
+            raise RuntimeError("lost contact after writing")
+
+
+def _kept_report(spark, sf_dir, kind, report, keys):
+    """A report kept by a stream over three parts, of which the second is written twice."""
+    folder = _new_folder(spark)
+    rollup = Rollup(spark, f"{folder}/report", keys, buckets=8)
+    sink = _FailsOnce(rollup)
+
+    def start(messages):
+        kept_up = report(_landed_stream(messages, kind))
+        running = keep_report(kept_up, sink, f"{folder}/checkpoint", ONCE)
+        try:
+            running.awaitTermination()
+        except StreamingQueryException:
+            running = keep_report(kept_up, sink, f"{folder}/checkpoint", ONCE)
+        return running
+
+    _in_parts(spark, sf_dir, kind, folder, start)
+    return rollup.read()
+
+
+@query
+def stream_stock_by_sku(spark, sf_dir):
+    return _kept_report(
+        spark, sf_dir, "inventory", reports.stock_by_sku, ["item_sku", "warehouse_id"]
+    )
+
+
+@query
+def stream_events_by_user_action(spark, sf_dir):
+    return _kept_report(
+        spark, sf_dir, "user_events", reports.events_by_user_action, ["user_id", "event_type"]
+    )
+
+
+@query
+def stream_hourly_counts(spark, sf_dir):
+    return _kept_report(spark, sf_dir, "weather", monitoring.counts_per_hour, ["hour"])
+
+
+@query
+def stream_progress_log(spark, sf_dir):
+    """What each batch of an ingest stream reported: all rows, and those of each outcome."""
+    folder = _new_folder(spark)
+    log = ProgressLog(spark, f"{folder}/log")
+    table = AppendTable(spark, f"{folder}/table", WEATHER, grain="month")
+
+    def start(messages):
+        job = IngestJob(WEATHER, messages, table, f"{folder}/checkpoint", max_age_ms=None)
+        return start_ingest(job, ONCE)
+
+    spark.streams.addListener(log)
+    try:
+        _in_parts(spark, sf_dir, "weather", folder, start, damaged=True)
+        log.close()
+    finally:
+        spark.streams.removeListener(log)
+    return log.progress().where("input_rows > 0").select(
+        "query", "batch_id", "input_rows",
+        *[F.col("counts")[name].alias(name) for name in ("read", "valid", "rejected")],
+    )
