@@ -94,7 +94,7 @@ def test_a_large_batch_filters_the_scan_of_the_table_by_its_keys(spark, events,
     batch = events.limit(200).withColumn("message_id", F.concat("message_id", F.lit("-7")))
     new = events.limit(100).withColumn("message_id", F.concat("message_id", F.lit("-new")))
     rows = batch.unionByName(new).withColumn("event_date", F.lit("2024-01-01").cast("date")).cache()
-    settings = spark.conf.getAll if isinstance(spark.conf.getAll, dict) else dict(spark.conf.getAll())
+    settings = dict(spark.conf.getAll)
     with table._looking_up(rows) as absent:
         plan = absent._jdf.queryExecution().executedPlan().toString()
         moved = [n for text, n in shuffled_rows(absent) if "might_contain" in text]
@@ -102,8 +102,7 @@ def test_a_large_batch_filters_the_scan_of_the_table_by_its_keys(spark, events,
     assert "might_contain" in plan and "bloom_filter_agg" in plan
     assert len(moved) == 1 and 200 <= moved[0] <= many.count() / 10
     assert found == {r["message_id"] for r in new.collect()}
-    after = spark.conf.getAll if isinstance(spark.conf.getAll, dict) else dict(spark.conf.getAll())
-    assert after == settings
+    assert dict(spark.conf.getAll) == settings
     table.write(batch.unionByName(new))
     assert table.read().count() == many.count() + 100
 

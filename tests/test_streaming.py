@@ -14,11 +14,15 @@ from sluice.sources import stream_text
 from sluice.specs import ORDERS, USER_EVENTS, all_specs, get_spec
 from sluice.streaming import (
     IngestJob,
+    LateRows,
+    ProgressLog,
+    Rollup,
     checkpointed_batches,
     dedup_stream,
     ingest_batch,
     progress,
     run_all,
+    running_totals,
     source_lag,
     start_ingest,
     windowed_counts,
@@ -261,3 +265,110 @@ def test_partition_lags():
         ("q", "t", 0, 5, 9, 4), ("q", "t", 1, 7, 7, 0), ("q", "t", 2, 0, 4, 4),
     ]
     assert partition_lags("q", {"endOffset": {"logOffset": 1}, "latestOffset": None}) == []
+
+
+CHANGES = "at timestamp_ntz, id string, sku string, wh string, delta int, total string"
+
+
+def change(minute, id_, delta, sku="a", wh="x"):
+    return datetime(2024, 1, 1, minute // 60, minute % 60), id_, sku, wh, delta, "theirs"
+
+
+def test_running_totals_follow_event_time_whatever_order_batches_have(spark, tmp_path):
+    batches = [
+        [change(90, "k", 5), change(60, "j", None), change(60, "i", 7), change(70, "n", 1, None, "x")],
+        # Earlier than what came before, though not behind the watermark (minute 30).
+        [change(75, "m", -3), change(40, "b", 2), change(60, "c", 1), change(200, "z", 9), change(90, "k", 5)],
+        # Behind the watermark (minute 140), as are rows at it; a key without any value; no time.
+        [change(130, "late", 100), change(140, "late2", 100), change(190, "y", 1), change(150, "w", None, "b"),
+         (None, "q", "a", "x", 50, "theirs"), change(400, "end", 0, "c")],
+    ]
+    schema = spark.createDataFrame([], CHANGES).schema
+    for batch in batches:
+        spark.createDataFrame(batch, CHANGES).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+        totals = running_totals(stream, ["sku", "wh"], "at", "id", "delta", "total", "1 hour")
+        # A new query each time, as after a restart.
+        totals.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "c")).trigger(
+            **ONCE
+        ).start(str(tmp_path / "out")).awaitTermination()
+    found = spark.read.parquet(str(tmp_path / "out"))
+    assert found.columns == ["at", "id", "sku", "wh", "delta", "total"]
+    by_key = {}
+    for r in sorted(found.collect(), key=lambda r: (r["at"], r["id"])):
+        by_key.setdefault((r["sku"], r["wh"]), []).append((r["id"], r["total"]))
+    expected = [("b", 2), ("c", 3), ("i", 10), ("j", 10), ("m", 7), ("k", 12), ("k", 17), ("y", 18), ("z", 27)]
+    assert sorted(by_key[("a", "x")]) == sorted(expected)
+    assert by_key[(None, "x")] == [("n", 1)] and by_key[("b", "x")] == [("w", None)]
+    assert set(by_key) == {("a", "x"), (None, "x"), ("b", "x")}  # "end" is not passed yet
+
+
+def test_late_rows_of_a_repeated_batch_are_the_same(spark, tmp_path):
+    late = LateRows(str(tmp_path / "late"), "at", "1 hour")
+    assert late.read(spark) is None
+    batches = [
+        [change(90, "a", 1), change(10, "b", 1)],
+        [change(300, "c", 1), change(29, "d", 1), change(30, "e", 1), change(31, "f", 1), (None, "g", "a", "x", 1, "t")],
+        [change(239, "h", 1), change(241, "i", 1)],
+    ]
+    frames = [spark.createDataFrame(rows, CHANGES) for rows in batches]
+    for i in (0, 0, 1, 1, 2):
+        late.write(frames[i], i)
+    late.write(frames[1], 1)  # repeated although a later one was written
+    late.write(frames[0].limit(0), 3)
+    late.write(frames[2], 4)
+    found = {(r["batch_id"], r["id"]) for r in late.read(spark).collect()}
+    assert found == {(1, "d"), (1, "e"), (2, "h"), (4, "h")}
+
+
+def test_a_kept_report_holds_the_totals_of_the_last_batch(spark, tmp_path):
+    rollup = Rollup(spark, str(tmp_path / "r"), ["sku", "wh"], buckets=4)
+    assert rollup.read() is None
+    given = "sku string, wh string, n long"
+    batches = [[("a", "x", 1), (None, "x", 2)], [("a", "x", 4)], [("b", "y", 1)]]
+    for i in (0, 1, 1, 0, 2):  # the first batch again must not bring back its totals
+        rollup.write(spark.createDataFrame(batches[i], given), i)
+    found = {tuple(r) for r in rollup.read().select("sku", "wh", "n").collect()}
+    assert found == {("a", "x", 4), (None, "x", 2), ("b", "y", 1)}
+
+
+def test_log_of_progress_and_lag(spark, tmp_path):
+    log = ProgressLog(spark, str(tmp_path / "log"), every=2)
+    assert log.progress() is None and log.lag() is None
+    report = {
+        "id": "i", "runId": "r", "name": "q", "timestamp": "2024-03-05T23:59:59.500Z", "batchId": 7,
+        "numInputRows": 10, "durationMs": {"triggerExecution": 12},
+        "stateOperators": [{"numRowsDroppedByWatermark": 3}, {}],
+        "observedMetrics": {"messages": {"read": 10, "valid": None}},
+        "sources": [{"endOffset": {"t": {"0": 5}}, "latestOffset": {"t": {"0": 9}}}, {"endOffset": "file"}],
+    }
+    log.record(report)
+    assert log.progress() is None  # gathered, not yet appended
+    log.record(report | {"batchId": 8, "name": None, "sources": []})
+    rows = {r["batch_id"]: r for r in log.progress().collect()}
+    assert set(rows) == {7, 8} and rows[7]["dropped_late"] == 3 and rows[7]["counts"] == {"read": 10}
+    assert rows[7]["recorded_at"] == datetime(2024, 3, 5, 23, 59, 59, 500000)
+    assert [(r["topic"], r["partition"], r["lag"], r["batch_id"]) for r in log.lag().collect()] == [("t", 0, 4, 7)]
+    log.close()
+    assert log.progress().count() == 2
+
+
+def test_rows_dropped_by_windows_are_logged(spark, tmp_path):
+    log = ProgressLog(spark, str(tmp_path / "log"))
+    spark.streams.addListener(log)
+    schema = spark.createDataFrame([], CHANGES).schema
+    try:
+        for rows in ([change(1400, "a", 1)], [change(60, "b", 1), change(61, "c", 1)]):
+            spark.createDataFrame(rows, CHANGES).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+            events = spark.readStream.schema(schema).parquet(str(tmp_path / "in")).selectExpr(
+                "at AS event_timestamp", "id AS event_type"
+            )
+            windowed_counts(events, delay="2 hours").writeStream.format("noop").queryName("logged_windows").option(
+                "checkpointLocation", str(tmp_path / "c")
+            ).trigger(**ONCE).start().awaitTermination()
+        log.close()
+    finally:
+        spark.streams.removeListener(log)
+    rows = log.progress().collect()
+    assert sum(r["input_rows"] for r in rows) == 3 and sum(r["dropped_late"] for r in rows) == 2
+    assert {r["query"] for r in rows} == {"logged_windows"} and len({r["run_id"] for r in rows}) == 2
