@@ -10,15 +10,22 @@ For each item length, windows of that length at every word of a text are looked
 2. The CGK embedding walks over a window's words; at each step a random function of step
    and word decides whether the walk moves on, so texts a few edits apart soon walk in
    step again and edit distance becomes Hamming distance.
-3. Bit-sampling LSH reads a few sampled steps of the walk as a key. ``WALKS`` random walks
-   with ``TABLES`` samples each reach the recall asked for; windows shift by single words,
-   so a passage is also met in neighbouring windows.
+3. Bit-sampling LSH reads a few sampled steps of the walk as a key, ``TABLES`` samples a
+   walk. A walk covers ``REACH`` words, as walks over texts a fifth of which is edited stay
+   in step no longer; in longer windows walks start at places spread over the window. How
+   many walks an item length needs for the ``recall`` asked for is found by simulation:
+   items of that length with as many edits as may be, substitutions alone and all kinds.
+   Windows shift by single words, so a passage is also met in neighbouring windows.
 4. Windows that share a key with an item are verified exactly, by the edit distance
-   between the item and the best passage around the window. Of items under ``SHORT`` words
-   that may have an edit, all windows of step 1 are: a walk over so few words is too short.
+   between the item and the best passage around the window. Of items that may have an edit
+   and for whose length no number of walks up to ``MOST_WALKS`` is enough, as of those under
+   ``SHORT`` words, all windows of step 1 are verified.
 
-The benchmark is gone through in blocks of at most ``BLOCK_BYTES``, measured first; each
-block's index is broadcast and every document is read once per block. Nothing is shuffled.
+The benchmark is gone through in blocks of at most ``BLOCK_BYTES``, measured first. One
+block's index at a time is built and broadcast, and every document is read once per block.
+With a single block nothing is shuffled. With more, each block's matches are written and
+its index is given up before the next is built; matches follow from the text alone, so at
+the end they are joined with the documents by the text's digest.
 
 Defined results: null and empty texts match nothing; items that are null or
 without words are not used, all others are, and those under five words have to be met word
@@ -31,6 +38,7 @@ from __future__ import annotations
 
 import string
 from collections import Counter, defaultdict
+from functools import lru_cache, reduce
 from itertools import repeat
 
 import numpy as np
@@ -39,9 +47,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
+from .common import broadcast_if_small, written
+
 SHORT = 8  # words
 MAX_EDIT_SHARE = 0.2
-WALKS = 6
+RECALL = 0.95  # of passages with as many edits as may be
+REACH = 24  # words a walk covers
+LEAST_WALKS, MOST_WALKS = 4, 24
+SIMULATED = 120  # passages for each item length and kind of edits
 TABLES = 5  # for each walk
 SAMPLED = 3  # steps read by a table
 STRETCH = 3  # steps of a walk for each word
@@ -72,6 +85,97 @@ def passage_edits(item: np.ndarray, words: np.ndarray) -> int:
     return int(row.min())
 
 
+class Walks:
+    """The random walks over windows, and the keys read off them.
+
+    The random functions are a bit for each walk, step and word; they are the same in every
+    process. The largest word id stands for the place after the end of a walk's words.
+    """
+
+    def __init__(self, n_words: int, end: int) -> None:
+        self.end = end
+        shape = (MOST_WALKS, STRETCH * REACH // 64 + 1, n_words)
+        random = np.random.default_rng(11)
+        self.moves = random.integers(0, 1 << 64, shape, np.uint64, endpoint=False)
+
+    def embed(self, rows: np.ndarray, n_walks: int) -> np.ndarray:
+        """CGK embeddings of rows of word ids of one length: by walk, row and step."""
+        n, length = rows.shape
+        reach = min(length, REACH)
+        # The first walk starts at the window's first word, the last one ends at its last.
+        first = np.round(np.linspace(0, length - reach, n_walks)).astype(np.int64)[:, None]
+        limit = first + reach
+        padded = np.concatenate([rows, np.full((n, 1), self.end)], axis=1)
+        # Walks mostly end at two thirds of three steps a word; what follows is padding.
+        out = np.empty((n_walks, n, 2 * reach), np.int64)
+        at, row = np.broadcast_to(first, (n_walks, n)), np.arange(n)
+        walk = np.arange(n_walks)[:, None]
+        for step in range(2 * reach):
+            out[:, :, step] = word = np.where(at == limit, self.end, padded[row, at])
+            moves = self.moves[walk, step >> 6, word] >> np.uint64(step & 63)
+            at = np.minimum(at + (moves & np.uint64(1)).astype(np.int64), limit)
+        return out
+
+    def keys(self, rows: np.ndarray, n_walks: int) -> np.ndarray:
+        """LSH keys of each row, a column for each table of each walk."""
+        n, length = rows.shape
+        steps = 2 * min(length, REACH)
+        random = np.random.default_rng(length)
+        sampled = min(SAMPLED, steps)
+        chosen = [
+            [random.choice(steps, sampled, replace=False) for _ in range(TABLES)]
+            for _ in range(n_walks)
+        ]
+        read = self.embed(rows, n_walks)[np.arange(n_walks)[:, None, None], :, np.array(chosen)]
+        read = read.transpose(3, 0, 1, 2).reshape(n, n_walks * TABLES, sampled)
+        key = np.broadcast_to(np.arange(n_walks * TABLES, dtype=np.uint64), (n, n_walks * TABLES))
+        for k in range(sampled):
+            key = (key + read[:, :, k].astype(np.uint64)) * _MIX
+            key = key ^ key >> np.uint64(29)
+        return key
+
+
+def edited(random: np.random.Generator, item: np.ndarray, edits: int, all_kinds: bool) -> np.ndarray:
+    """The item with so many words replaced by foreign ones, taken out or put in."""
+    out = list(item)
+    for place in sorted(random.choice(len(item), edits, replace=False), reverse=True):
+        kind = random.integers(3) if all_kinds else 0
+        out[place : place + (kind != 2)] = [] if kind == 1 else [0]
+    return np.array(out)
+
+
+@lru_cache(maxsize=1024)
+def walks_needed(length: int, recall: float) -> int | None:
+    """Walks that find at least ``recall`` of passages of this length with as many edits as
+    may be; None if ``MOST_WALKS`` are too few, or the length is too short for walks."""
+    edits = max_edits(length)
+    if edits == 0:
+        return LEAST_WALKS
+    if length < SHORT:
+        return None
+    # Each item has words of its own, and with them random functions of its own.
+    random = np.random.default_rng(length)
+    items = np.arange(1, SIMULATED * length + 1).reshape(SIMULATED, length)
+    walks = Walks(items.size + 2, items.size + 1)
+    own, pad = walks.keys(items, MOST_WALKS), np.zeros(length, np.int64)
+    found = []
+    for all_kinds in (False, True):
+        windows, of = [], []
+        for i, item in enumerate(items):
+            text = np.concatenate([pad, edited(random, item, edits, all_kinds), pad])
+            around = np.lib.stride_tricks.sliding_window_view(text, length)
+            windows.append(around[(around > 0).sum(axis=1) >= length - edits])
+            of += [i] * len(windows[-1])
+        met = walks.keys(np.concatenate(windows), MOST_WALKS) == own[of]
+        hit = np.zeros((SIMULATED, MOST_WALKS), bool)
+        np.logical_or.at(hit, of, met.reshape(len(of), MOST_WALKS, TABLES).any(axis=2))
+        # By how many walks each passage is found: these lie closer to each other than fewer
+        # walks would, so fewer find no less.
+        found.append(np.maximum.accumulate(hit, axis=1).mean(axis=0))
+    enough = np.minimum(*found)[LEAST_WALKS - 1 :] >= recall
+    return LEAST_WALKS + int(np.argmax(enough)) if enough.any() else None
+
+
 class Index:
     """The items of one block, with their rare words and their LSH keys by length.
 
@@ -79,7 +183,7 @@ class Index:
     place after the end of a text.
     """
 
-    def __init__(self, items: list[tuple[int, str]]):
+    def __init__(self, items: list[tuple[int, str]], recall: float = RECALL):
         texts = [(i, w) for i, w in ((i, words_of(t)) for i, t in items) if w]
         among = Counter(w for _, ws in texts for w in set(ws))
         self.vocabulary = {w: k for k, w in enumerate(sorted(among), 1)}
@@ -94,51 +198,22 @@ class Index:
         self.first = np.searchsorted([w for w, _ in owners], np.arange(self.end + 2))
         self.needed = np.array([rare[ids].sum() - max_edits(len(ids)) for _, ids in self.items], np.int64)
 
-        longest = max((len(ids) for _, ids in self.items), default=0)
-        shape = (WALKS, STRETCH * longest // 64 + 1, self.end + 1)
-        # The random functions: a bit for each walk, step and word.
-        self.moves = np.random.default_rng(11).integers(0, 1 << 64, shape, np.uint64, endpoint=False)
+        self.walks = Walks(self.end + 1, self.end)
         by_length = defaultdict(list)
         for place, (_, ids) in enumerate(self.items):
             by_length[len(ids)].append(place)
+        # Walks, keys in order and the items of each key, for lengths that walks suit.
         self.tables = {}
         for length, places in by_length.items():
+            n = walks_needed(length, recall)
+            if n is None:
+                continue
             by_key = defaultdict(list)
-            for place, row in zip(places, self.keys(np.stack([self.items[p][1] for p in places]))):
+            rows = np.stack([self.items[p][1] for p in places])
+            for place, row in zip(places, self.walks.keys(rows, n)):
                 for key in row.tolist():
                     by_key[key].append(place)
-            self.tables[length] = (np.array(sorted(by_key), np.uint64), dict(by_key))
-
-    def embed(self, rows: np.ndarray) -> np.ndarray:
-        """CGK embeddings of rows of word ids of one length: by walk, row and step."""
-        n, length = rows.shape
-        padded = np.concatenate([rows, np.full((n, 1), self.end)], axis=1)
-        out = np.empty((WALKS, n, STRETCH * length), np.int64)
-        at, row = np.zeros((WALKS, n), np.int64), np.arange(n)
-        walk = np.arange(WALKS)[:, None]
-        for step in range(STRETCH * length):
-            out[:, :, step] = word = padded[row, at]
-            moves = self.moves[walk, step >> 6, word] >> np.uint64(step & 63)
-            at = np.minimum(at + (moves & np.uint64(1)).astype(np.int64), length)
-        return out
-
-    def keys(self, rows: np.ndarray) -> np.ndarray:
-        """LSH keys of each row, a column for each table of each walk."""
-        n, length = rows.shape
-        random = np.random.default_rng(length)
-        # Walks mostly end at two thirds of their steps; what follows is padding.
-        sampled = min(SAMPLED, 2 * length)
-        steps = [
-            [random.choice(2 * length, sampled, replace=False) for _ in range(TABLES)]
-            for _ in range(WALKS)
-        ]
-        read = self.embed(rows)[np.arange(WALKS)[:, None, None], :, np.array(steps)]
-        read = read.transpose(3, 0, 1, 2).reshape(n, WALKS * TABLES, sampled)
-        key = np.broadcast_to(np.arange(WALKS * TABLES, dtype=np.uint64), (n, WALKS * TABLES))
-        for k in range(sampled):
-            key = (key + read[:, :, k].astype(np.uint64)) * _MIX
-            key = key ^ key >> np.uint64(29)
-        return key
+            self.tables[length] = (n, np.array(sorted(by_key), np.uint64), dict(by_key))
 
     def _starts(self, ids: np.ndarray) -> list[tuple[int, np.ndarray]]:
         """Items and the starts of windows of their length that hold enough of their rare
@@ -169,17 +244,17 @@ class Index:
         by_length = defaultdict(list)
         for place, starts in self._starts(ids):
             length = len(self.items[place][1])
-            if length < SHORT and max_edits(length):
+            if length not in self.tables:
                 candidates[place] = starts.tolist()
             else:
                 by_length[length].append(starts)
         for length, parts in by_length.items():
             starts = np.unique(np.concatenate(parts))
             padded = np.concatenate([ids, np.full(length, self.end)])
-            known, by_key = self.tables[length]
+            n_walks, known, by_key = self.tables[length]
             for at in range(0, len(starts), 1024):
                 some = starts[at : at + 1024]
-                found = self.keys(padded[some[:, None] + np.arange(length)])
+                found = self.walks.keys(padded[some[:, None] + np.arange(length)], n_walks)
                 for row, table in zip(*np.nonzero(np.isin(found, known))):
                     for place in by_key[int(found[row, table])]:
                         candidates[place].append(int(some[row]))
@@ -223,20 +298,46 @@ def matches(text: Column, index) -> Column:
     return F.arrow_udf(find, ArrayType(MATCH))(text.cast("string"))
 
 
-def all_matches(text: Column, benchmark: DataFrame) -> Column:
-    """The matches of every block of the benchmark, which has ``item_id`` and ``text``."""
+def _with_matches(docs: DataFrame, text: str, benchmark: DataFrame, recall: float) -> DataFrame:
+    """``docs`` as the struct ``doc``, and ``matches`` with all blocks of the benchmark."""
     items = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string"))
     sc = benchmark.sparkSession.sparkContext
-    indices = [sc.broadcast(Index([tuple(r) for r in b.collect()])) for b in _blocks(items)]
-    return F.concat(*[matches(text, index) for index in indices])
-
-
-def find_items(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    whole = F.col(f"doc.`{text}`").cast("string")
+    blocks = _blocks(items)
+
+    def index(block: DataFrame):
+        return sc.broadcast(Index([tuple(r) for r in block.collect()], recall))
+
+    if len(blocks) == 1:
+        return rows.withColumn("matches", matches(whole, index(blocks[0])))
+    found = []
+    for block in blocks:
+        shared = index(block)
+        hits = rows.select(F.sha2(whole, 256).alias("digest"), matches(whole, shared).alias("m"))
+        # A row for each text that matches.
+        found.append(written(hits.filter(F.size("m") > 0).dropDuplicates(["digest"])))
+        shared.destroy()
+    # As many rows for a text as there are blocks, at most.
+    all_found = reduce(DataFrame.unionByName, found).groupBy("digest").agg(
+        F.sort_array(F.flatten(F.collect_list("m"))).alias("matches")
+    )
+    none = F.array().cast(ArrayType(MATCH))
+    joined = rows.withColumn("digest", F.sha2(whole, 256)).join(
+        broadcast_if_small(written(all_found)), "digest", "left"
+    )
+    return joined.select("doc", F.coalesce("matches", none).alias("matches"))
+
+
+def find_items(docs: DataFrame, benchmark: DataFrame, recall: float = RECALL) -> DataFrame:
     """One row per document: ``doc_id``, ``contaminated`` and the matches."""
-    rows = docs.select("doc_id", all_matches(F.col("text"), benchmark).alias("matches"))
-    return rows.select("doc_id", (F.size("matches") > 0).alias("contaminated"), "matches")
+    rows = _with_matches(docs.select("doc_id", "text"), "text", benchmark, recall)
+    return rows.select("doc.doc_id", (F.size("matches") > 0).alias("contaminated"), "matches")
 
 
-def remove_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
+def remove_contaminated(
+    docs: DataFrame, benchmark: DataFrame, text: str = "text", recall: float = RECALL
+) -> DataFrame:
     """The documents in which no item is found, same columns."""
-    return docs.filter(F.size(all_matches(F.col(text), benchmark)) == 0)
+    rows = _with_matches(docs, text, benchmark, recall).filter(F.size("matches") == 0)
+    return rows.select(*[F.col(f"doc.`{c}`") for c in docs.columns])

@@ -202,25 +202,85 @@ def test_counted_tokens_are_those_of_the_text(spark):
     assert sum(abs(a - b) for a, b in zip(got, expected)) <= 2 * text.count("🙂") + 2
 
 
-def test_edited_passages_are_found_and_others_left(spark):
+def made_up(random, n):
+    return ["".join(random.choice(list("abcdefgh"), 6)) for _ in range(n)]
+
+
+def brute_matches(items, text):
+    """Items with a passage of the text within their edits, by going through the whole text."""
+    found = set()
+    for i, item in enumerate(items):
+        ids = {w: k for k, w in enumerate(item, 1)}
+        words = np.array([ids.get(w, 0) for w in decontaminate.words_of(text)] or [0])
+        edits = decontaminate.passage_edits(np.array([ids[w] for w in item]), words)
+        found |= {i} if edits <= decontaminate.max_edits(len(item)) else set()
+    return found
+
+
+@pytest.mark.parametrize("length", [6, 20, 37, 55, 80, 150, 400])
+@pytest.mark.parametrize("all_kinds", [False, True])
+def test_passages_with_as_many_edits_as_may_be_are_found(length, all_kinds):
     random = np.random.default_rng(3)
-    word = lambda: "".join(random.choice(list("abcdefgh"), 6))
-    items = [[word() for _ in range(n)] for n in (9, 20, 37, 55) for _ in range(15)]
-    index = decontaminate.Index([(i, " ".join(w)) for i, w in enumerate(items)])
+    items = [[w.encode() for w in made_up(random, length)] for _ in range(30)]
+    index = decontaminate.Index([(i, b" ".join(w).decode()) for i, w in enumerate(items)])
     found = false = 0
-    for i, item in enumerate(items):
-        edited = list(item)
-        for _ in range(len(item) // 10):
-            edited[random.integers(len(edited))] = word()
-        text = " ".join([word() for _ in range(40)] + edited + [word() for _ in range(30)])
+    for i in range(len(items)):
+        places = decontaminate.edited(
+            random, np.arange(1, length + 1), decontaminate.max_edits(length), all_kinds
+        )
+        passage = [items[i][p - 1].decode() if p else made_up(random, 1)[0] for p in places]
+        text = " ".join(made_up(random, 40) + passage + made_up(random, 30))
         matched = {m["item_id"] for m in index.matches(text.upper() + ".")}
+        if length <= 55:
+            assert matched <= brute_matches(items, text)
         found, false = found + (i in matched), false + len(matched - {i})
-        clean = " ".join(random.permutation([w for w in item] + [word() for _ in item]))
-        false += len(index.matches(clean))
+        mixed = " ".join(random.permutation([w.decode() for w in items[i]] + made_up(random, length)))
+        false += len(index.matches(mixed))
     assert found >= 0.9 * len(items) and false == 0
+
+
+def test_walks_follow_from_the_recall_asked_for(monkeypatch):
+    asked = [decontaminate.walks_needed(30, recall) for recall in (0.3, 0.9, 0.99)]
+    assert asked[0] == decontaminate.LEAST_WALKS and asked == sorted(asked, key=lambda n: n or 99)
+    # Lengths for which no number of walks is enough are found all the same.
+    random = np.random.default_rng(4)
+    item, passage = made_up(random, 30), made_up(random, 6)
+    index = decontaminate.Index([(0, " ".join(item))], recall=1.1)
+    assert index.tables == {} and [m["edits"] for m in index.matches(" ".join(passage + item[6:]))] == [6]
+
+
+def test_distance_of_passages():
     assert decontaminate.passage_edits(np.array([1, 2, 3, 4]), np.array([9, 1, 2, 7, 4, 9])) == 1
 
 
+def test_one_block_of_the_benchmark_is_held_at_a_time(spark, monkeypatch):
+    random = np.random.default_rng(5)
+    items = [" ".join(made_up(random, 12)) for _ in range(40)]
+    given = benchmark(spark, [*enumerate(items), (99, None)])
+    rows = [(i, f"before {items[i % 40]} after {items[(i * 7) % 40]}", "en", "a") for i in range(60)]
+    docs = frame(spark, rows + [(-1, None, "en", "a"), (-2, "nothing of it at all", "en", "a")] + rows[:3])
+    whole = sorted((r.doc_id, r.contaminated, sorted(m.item_id for m in r.matches)) for r in decontaminate.find_items(docs, given).collect())
+    held, most = set(), []
+    real = spark.sparkContext.broadcast
+
+    def broadcast(value):
+        shared = real(value)
+        held.add(shared)
+        most.append(len(held))
+        destroy = shared.destroy
+        monkeypatch.setattr(shared, "destroy", lambda *a: (held.discard(shared), destroy(*a)))
+        return shared
+
+    monkeypatch.setattr(spark.sparkContext, "broadcast", broadcast)
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 800)
+    found = decontaminate.find_items(docs, given)
+    assert len(most) >= 8 and max(most) == 1 and not held
+    assert sorted((r.doc_id, r.contaminated, sorted(m.item_id for m in r.matches)) for r in found.collect()) == whole
+    assert sum(len(m) for _, _, m in whole) > 100
+    left = decontaminate.remove_contaminated(docs, given)
+    assert sorted(r.doc_id for r in left.collect()) == [-2, -1] and left.columns == docs.columns
+
+
 def test_short_items_are_found():
     texts = ["zebra", "blue whale", "name the red planet", "what is the capital of France?", "how many legs has one common house spider"]
     index = decontaminate.Index([*enumerate(texts), (8, "..."), (9, None)])
