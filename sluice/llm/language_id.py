@@ -120,16 +120,22 @@ class Model:
 
 
 def _sample(docs: DataFrame, sample: int) -> DataFrame:
-    """At most ``sample`` rows of each language, those with the smallest hash of the id."""
-    totals = docs.groupBy("lang").agg(F.count("lang").alias("total"))
-    mixed = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    place = F.pmod(mixed, F.lit(1 << 30)) / float(1 << 30)
+    """At most ``sample`` rows of each language, those with the smallest hash of id and text.
+
+    Rows that share an id are told apart by their texts, so no id holds a language's
+    sample, and rows of equal id and text count once, however many there are.
+    """
+    key = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "text")
+    docs = docs.withColumn("key", key)
+    totals = docs.groupBy("lang").agg(F.approx_count_distinct("key").alias("total"))
+    place = F.pmod(F.col("key"), F.lit(1 << 30)) / float(1 << 30)
     # One row per language, counted first: the texts are not shuffled for the shares.
     totals = broadcast_if_small(checkpointed(totals))
     near = docs.join(totals, "lang").withColumn("place", place)
     # Twice as many as needed on average; the window then only ranks these.
     near = near.filter(F.col("place") * F.col("total") <= 2 * sample + 20)
-    order = Window.partitionBy("lang").orderBy("place", "doc_id", F.xxhash64("text"))
+    near = near.groupBy("lang", "place", "key").agg(F.min("text").alias("text"))
+    order = Window.partitionBy("lang").orderBy("place", "key")
     return near.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= sample)
 
 

@@ -318,6 +318,32 @@ def test_held_out_languages(spark, sf_dir):
     assert right > 0.97
 
 
+WORDS = {"aa": "la rana salta sobre el agua clara", "bb": "the quick brown fox jumps high", "cc": "ein kleiner hund lief davon"}
+
+
+@pytest.mark.parametrize("ids", ["one for a language", "none", "copies"])
+def test_languages_are_learnt_whatever_ids_rows_have(spark, ids):
+    numbers = spark.range(6000)
+    frames = []
+    for lang, words in WORDS.items():
+        rows = numbers.select(
+            F.when(F.lit(ids == "none"), F.lit(None)).when(F.lit(ids != "copies" and lang == "aa"), 77)
+            .otherwise(F.col("id")).cast("long").alias("doc_id"),
+            F.concat_ws(" ", F.lit(words), F.col("id").cast("string"), F.lit(words)).alias("text"),
+            F.lit(lang).alias("lang"),
+        )
+        if ids == "copies" and lang == "aa":  # most rows are one
+            first = F.lit(f"{words} and {words}")
+            rows = rows.withColumns({"text": F.when(F.col("doc_id") > 300, first).otherwise(F.col("text")),
+                                     "doc_id": F.when(F.col("doc_id") > 300, 5).otherwise(F.col("doc_id"))})
+        frames.append(rows)
+    docs = frames[0].unionByName(frames[1]).unionByName(frames[2])
+    taken = {r.lang: r["count"] for r in language_id._sample(docs, 200).groupBy("lang").count().collect()}
+    assert taken == dict.fromkeys(WORDS, 200)
+    model = language_id.fit(docs, sample=200)
+    assert [lang for lang, _, _ in model.predict([w + " again" for w in WORDS.values()])] == list(WORDS)
+
+
 UNSEEN = [
     "Tämä on suomenkielinen lause, jossa kerrotaan päivän säästä ja kaupungin elämästä.",
     "Это предложение на русском языке о погоде и городе.",
