@@ -2,7 +2,15 @@
 
 from .ingest import IngestJob, ingest_batch, run_all, start_ingest
 from .late import LateRows, keep_late
-from .progress import ProgressLog, checkpointed_batches, progress, source_lag
+from .progress import (
+    ProgressLog,
+    checkpointed_batches,
+    open_groups,
+    open_windows,
+    progress,
+    source_lag,
+    state_operators,
+)
 from .rollup import Rollup, keep_report
 from .running import running_stock_stream, running_totals
 from .windows import dedup_stream, windowed_counts
@@ -17,11 +25,14 @@ __all__ = [
     "ingest_batch",
     "keep_late",
     "keep_report",
+    "open_groups",
+    "open_windows",
     "progress",
     "run_all",
     "running_stock_stream",
     "running_totals",
     "source_lag",
     "start_ingest",
+    "state_operators",
     "windowed_counts",
 ]

@@ -175,3 +175,30 @@ def checkpointed_batches(spark: SparkSession, checkpoints: Mapping[str, str]) ->
     for frame in frames[1:]:
         listed = listed.unionByName(frame)
     return listed.groupBy("job").agg(F.max("batch_id").alias("latest_batch"))
+
+
+def open_groups(spark: SparkSession, checkpoint: str, operator: int = 0) -> DataFrame:
+    """What a stream's aggregate holds and has not given out, one row per group.
+
+    Reads the state a checkpoint was last committed with, whether or not its stream is
+    running. ``operator`` counts the stateful operators of the stream.
+    """
+    state = spark.read.format("statestore").option("operatorId", operator).load(checkpoint)
+    return state.select("key.*", "value.*")
+
+
+def open_windows(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The windows of ``windowed_counts`` that the watermark has not closed yet."""
+    return open_groups(spark, checkpoint).select(
+        F.col("window.start").cast("timestamp_ntz").alias("window_start"),
+        F.col("window.end").cast("timestamp_ntz").alias("window_end"),
+        "event_type",
+        F.col("count").alias("event_count"),
+    )
+
+
+def state_operators(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The stateful operators of a checkpoint: id, name, stores, partitions, batches."""
+    return spark.read.format("state-metadata").load(checkpoint).select(
+        "operatorId", "operatorName", "stateStoreName", "numPartitions", "minBatchId", "maxBatchId"
+    )

@@ -315,6 +315,18 @@ def oracle_sql() -> dict[str, str]:
                'clientid=' || clientid || ',topic=' || topic || ',qos=1' AS headers
         FROM device_messages WHERE {EXACT}"""
 
+    sql["route_by_table"] = """
+        WITH messages AS (
+            SELECT event_id, user_id, event_type, event_id % 10 = 0 AS deep,
+                   'devices/' || user_id || '/' || event_type
+                       || CASE WHEN event_id % 10 = 0 THEN '/raw' ELSE '' END AS topic
+            FROM events)
+        SELECT topic, event_id, 'user-' || user_id AS destination
+        FROM messages WHERE NOT deep AND user_id % 3 = 0
+        UNION ALL SELECT topic, event_id, 'buyer-' || user_id
+        FROM messages WHERE NOT deep AND user_id % 5 = 0 AND event_type = 'purchase'
+        UNION ALL SELECT topic, event_id, 'type-' || event_type FROM messages WHERE NOT deep
+        UNION ALL SELECT topic, event_id, 'raw' FROM messages WHERE deep"""
     sql["epoch_ms_to_ts"] = """
         SELECT '00000000-0000-4000-8000-' || lpad(CAST(event_id AS VARCHAR), 12, '0') AS message_id,
                epoch_us(ts) // 1000 AS "timestamp", date_trunc('millisecond', ts) AS recorded_at
@@ -492,6 +504,9 @@ def oracle_sql() -> dict[str, str]:
     sql["stream_events_tumbling"] = f"""SELECT * FROM ({sql["events_tumbling"]})
         WHERE window_end <= (SELECT date_trunc('millisecond', max(ts)) FROM events)
             - INTERVAL 24 HOUR"""
+    sql["stream_open_windows"] = f"""SELECT * FROM ({sql["events_tumbling"]})
+        WHERE window_end > (SELECT date_trunc('millisecond', max(ts)) FROM events)
+            - INTERVAL 24 HOUR"""
     sql["stream_dedup"] = sql["user_events_dedup"]
     sql["stream_running_stock"] = _come_in("inventory") + f"""
         SELECT * EXCLUDE ("timestamp") FROM (

@@ -48,6 +48,7 @@ from sluice.streaming import (
     dedup_stream,
     keep_late,
     keep_report,
+    open_windows,
     progress,
     running_stock_stream,
     start_ingest,
@@ -122,6 +123,13 @@ def route_wildcard(spark, sf_dir):
     return routing.forwarded(routing.route(testdata.device_messages(spark, sf_dir), routes))
 
 
+@query
+def route_by_table(spark, sf_dir):
+    return routing.route_by_table(
+        testdata.tenant_messages(spark, sf_dir), testdata.tenant_rules(spark, sf_dir)
+    )
+
+
 @query
 def route_envelope(spark, sf_dir):
     routes = routing.exact_routes(all_specs())
@@ -628,6 +636,14 @@ def stream_events_tumbling(spark, sf_dir):
     return _append_stream(counts, _new_folder(spark))
 
 
+@query
+def stream_open_windows(spark, sf_dir):
+    """The windows that are not closed once all events are in, from the stream's state."""
+    folder = _new_folder(spark)
+    _append_stream(windowed_counts(_event_stream(spark, sf_dir)), folder)
+    return open_windows(spark, f"{folder}/checkpoint")
+
+
 @query
 def stream_dedup(spark, sf_dir):
     events = _event_stream(spark, sf_dir)

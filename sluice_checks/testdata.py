@@ -302,6 +302,32 @@ def device_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def tenant_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages of many users' devices, published as devices/<user>/<event type>, and some
+    one level deeper."""
+    n = F.col("event_id")
+    topic = F.concat_ws("/", F.lit("devices"), F.col("user_id").cast("string"), "event_type")
+    return table(spark, sf_dir, "events").select(
+        F.when(n % 10 == 0, F.concat(topic, F.lit("/raw"))).otherwise(topic).alias("topic"), "event_id"
+    )
+
+
+def tenant_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A rule or two for each user with events, and one for each type."""
+    events = table(spark, sf_dir, "events")
+    user, kind = F.col("user_id").cast("string"), F.col("event_type")
+    users, kinds = events.select("user_id").distinct(), events.select("event_type").distinct()
+    per_user = users.where("user_id % 3 = 0").select(
+        F.concat(F.lit("devices/"), user, F.lit("/+")), F.concat(F.lit("user-"), user)
+    )
+    purchases = users.where("user_id % 5 = 0").select(
+        F.concat(F.lit("+/"), user, F.lit("/purchase")), F.concat(F.lit("buyer-"), user)
+    )
+    per_kind = kinds.select(F.concat(F.lit("+/+/"), kind), F.concat(F.lit("type-"), kind))
+    raw = kinds.select(F.concat(F.lit("devices/+/"), kind, F.lit("/raw")), F.lit("raw"))
+    return per_user.union(purchases).union(per_kind).union(raw).toDF("topic_filter", "destination")
+
+
 def machine_messages(spark: SparkSession, sf_dir: str, spec: DatasetSpec) -> DataFrame:
     """Messages of a sixth kind: the load of five machines."""
     n = F.col("event_id")

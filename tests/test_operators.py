@@ -1,4 +1,5 @@
 import json
+import random
 from datetime import datetime
 
 import pytest
@@ -154,6 +155,39 @@ def test_message_matching_two_rules_goes_to_both(spark):
     assert [r["destination"] for r in routing.route(df, routes).collect()] == ["all", "weather"]
 
 
+def test_ten_thousand_rules_are_met_by_equal_keys(spark):
+    draw = random.Random(4)
+    words = [f"w{i}" for i in range(12)]
+
+    def filters(n):
+        levels = [draw.choice(words) for _ in range(n)]
+        return "/".join("+" if draw.random() < 0.4 else level for level in levels)
+
+    rules = [(filters(draw.randint(1, 5)), f"d{i}") for i in range(10_000)]
+    rules += [(rules[0][0], "again"), (None, "none"), ("", "empty"), ("+", "one"), ("a//b", "gap"), ("a/+/b", "any")]
+    topics = ["/".join(draw.choice(words) for _ in range(draw.randint(1, 6))) for _ in range(60)]
+    topics += ["a//b", "a/x/b", "/", "", "w1/", "+", "a/+/b", None]
+    messages = spark.createDataFrame([(t, i, "old") for i, t in enumerate(topics)], "topic string, n int, destination string")
+    table = spark.createDataFrame(rules, "topic_filter string, destination string")
+    routed = routing.route_by_table(messages, table)
+    assert routed.columns == ["topic", "n", "destination"]
+    plan = routed._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+    def matches(rule, topic):
+        if rule is None or topic is None:
+            return False
+        a, b = rule.split("/"), topic.split("/")
+        return len(a) == len(b) and all(x == y and x != "+" or x == "+" and y for x, y in zip(a, b))
+
+    expected = sorted((n, d) for n, t in enumerate(topics) for rule, d in rules if matches(rule, t))
+    assert sorted((r["n"], r["destination"]) for r in routed.collect()) == expected and len(expected) > 5000
+    assert routing.route_by_table(messages, table.limit(0)).count() == 0
+    few = routing.routes_table(spark, [routing.Route("a/+/b", "x")])
+    found = {topics[r["n"]] for r in routing.route_by_table(messages, few).collect()}
+    assert found == {"a/x/b", "a/+/b"}
+
+
 def test_routing_rules_cover_the_datasets():
     pairs = {tuple(r) for r in routing.wildcard_routes(all_specs()) if r.destination.startswith("iot-")}
     assert pairs == {
