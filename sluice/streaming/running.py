@@ -52,7 +52,8 @@ class _Totals(StatefulProcessor):
         due = sorted((c for c in waiting if c[self.time] <= passed), key=self._place)
         if not due:
             return
-        total = self.total.get()[0] if self.total.exists() else None
+        held = self.total.get()
+        total = held[0] if held else None
         for change in due:
             if change[self.value] is not None:
                 total = change[self.value] + (total or 0)

@@ -484,6 +484,13 @@ def oracle_sql() -> dict[str, str]:
                CAST(event_id % 1001 AS INTEGER) AS disk_io,
                date_trunc('millisecond', ts) AS recorded_at
         FROM events WHERE value BETWEEN 0 AND 100 AND event_id % 103 <= 100"""
+    sql["ingest_open_fields"] = _with("wire_weather") + f"""
+        SELECT CASE WHEN n % 97 <> 4 THEN message_id END AS message_id, device_id,
+               TRY_CAST(temperature AS DECIMAL(5,2)) AS temperature, {TIME} AS recorded_at,
+               CASE n % 97 WHEN 4 THEN '{{"other":"' || message_id || '"}}'
+                   WHEN 5 THEN '{{"extra":1}}' END AS extra_fields,
+               CASE WHEN n % 97 = 5 THEN 1 END AS extra
+        FROM wire_weather WHERE n % 97 > 2"""
     sql["stream_progress"] = """
         SELECT 'weather' AS query, count(*) AS input_rows, CAST(0 AS BIGINT) AS latest_batch
         FROM events"""

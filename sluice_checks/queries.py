@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType
 
 from sluice import functions
-from sluice.operators import keyed, quality, routing, transform
+from sluice.operators import keyed, open_fields, quality, routing, transform
 from sluice.plans import monitoring, reports
 from sluice.session import shared_dir
 from sluice.sinks import (
@@ -515,6 +515,20 @@ def ingest_new_kind(spark, sf_dir):
     return landed.drop("ingested_at")
 
 
+@query
+def ingest_open_fields(spark, sf_dir):
+    """Weather messages, some with a field or a key of another name, landed with what is new."""
+    messages = testdata.messages(spark, sf_dir, "weather", damaged=True)
+    parsed = open_fields.parse_open(messages, WEATHER)
+    rows = transform.conform(transform.project(parsed, WEATHER, keep=[open_fields.EXTRA]), WEATHER)
+    table = AppendTable(spark, _new_folder(spark), WEATHER, grain="month", null_key="append")
+    table.write(rows.where(F.col("device_id").isNotNull()))
+    return table.read().select(
+        "message_id", "device_id", "temperature", "recorded_at", open_fields.EXTRA,
+        open_fields.extra_field("extra", "int").alias("extra"),
+    )
+
+
 # --- streams ---------------------------------------------------------------------
 # Each takes the whole table as a stream until all of it is processed, and gives what
 # the sink then holds. Tables and checkpoints go to a new part of the shared folder.

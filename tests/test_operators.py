@@ -9,7 +9,7 @@ from pyspark.sql.types import StringType
 
 from sluice import DatasetSpec, TableColumn, get_spec, register, specs, wire
 from sluice.functions import seconds_between, topic_matches
-from sluice.operators import keyed, quality, routing
+from sluice.operators import keyed, open_fields, quality, routing
 from sluice.operators.running import running_total
 from sluice.operators.transform import conform, ingest, parse
 from sluice.plans import monitoring, reports
@@ -188,6 +188,28 @@ def test_ten_thousand_rules_are_met_by_equal_keys(spark):
     assert found == {"a/x/b", "a/+/b"}
 
 
+def test_unknown_fields_are_kept_and_can_be_asked_for(spark):
+    spec = get_spec("weather")
+    texts = [
+        '{"message_id":"m","temperature":1.5,"timestamp":"1000","battery":{"volts":[3.1,3.3]},"note":null}',
+        '{"message_id":5,"humidity":"wet"}', "[1]", '"text"', "null", "not json", None, "{}",
+    ]
+    messages = spark.createDataFrame([(t, i) for i, t in enumerate(texts)], "value string, offset int")
+    parsed = open_fields.parse_open(messages, spec, ["offset"])
+    assert parsed.columns == [*spec.wire_schema.names, "extra_fields", "source_offset"]
+    plan = parsed._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("parse_json") <= 2  # once in the plan's tree, once in its details
+    found = {
+        r["source_offset"]: r
+        for r in parsed.withColumn("volts", open_fields.extra_field("battery.volts[1]", "double")).collect()
+    }
+    assert (found[0]["message_id"], found[0]["temperature"], found[0]["timestamp"]) == ("m", 1.5, 1000)
+    assert json.loads(found[0]["extra_fields"]) == {"battery": {"volts": [3.1, 3.3]}, "note": None}
+    assert found[0]["volts"] == 3.3 and found[1]["volts"] is None
+    assert found[1]["message_id"] == "5" and found[1]["humidity"] is None is found[1]["extra_fields"]
+    assert all(set(found[i].asDict().values()) == {None, i} for i in range(2, len(texts)))
+
+
 def test_routing_rules_cover_the_datasets():
     pairs = {tuple(r) for r in routing.wildcard_routes(all_specs()) if r.destination.startswith("iot-")}
     assert pairs == {
