@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from ..functions import topic_matches
 from ..specs import DatasetSpec
 
+# Masks of rules are broadcast up to this many bytes, which are measured.
+MASK_BYTES = 32 << 20
+
 
 class Route(NamedTuple):
     """Messages whose topic matches ``topic_filter`` go to ``destination``."""
@@ -70,6 +73,9 @@ def route_by_table(messages: DataFrame, rules: DataFrame) -> DataFrame:
     )
     # No more masks than there are ways to mark that many levels.
     masks = keyed.groupBy("_levels").agg(F.collect_set("_mask").alias("_masks"))
+    size = F.sum((F.col("_levels") + 16) * F.size("_masks"))
+    if (masks.agg(size).first()[0] or 0) <= MASK_BYTES:
+        masks = F.broadcast(masks)  # else messages would be shuffled by a handful of numbers
     levels = F.split("topic", "/")
     marked = messages.drop("destination").withColumn("_levels", F.size(levels)).join(masks, "_levels")
     signs = F.split("_mask", "")
