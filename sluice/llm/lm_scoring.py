@@ -10,10 +10,12 @@ counts, with one slot for new words, so probabilities of all tokens add up to on
 The first is the log-bilinear model: each earlier unit's vector is mapped by the matrix of
 its distance, and the sum is compared with all units. Every task trains on its own
 documents in numpy with noise shared by a batch, and parameters are averaged over tasks,
-weighted by tokens, first by groups of tasks. Each token is trained on once, half of the
-documents in each of the rounds. As two units before are the whole context, batched matrix
-products give the normalised probabilities of all contexts once per worker, and scoring
-looks them up.
+weighted by tokens, first by groups of tasks. A round trains on one of ``PARTS`` parts of the
+texts. Rounds go over all parts at least once, and go on while the log probability of
+texts held back from training (one in ``HELD_BACK``) gains ``GAIN`` a token by a round, so
+that a small table is gone over several times. As two units before are the whole context,
+batched matrix products give the normalised probabilities of all contexts once per worker,
+and scoring looks them up.
 
 Counts of the most frequent words, at most ``FREQUENT``, are sent to all tasks;
 the rest of the tokens are joined with the counts by shuffling, so no hot word is ever
@@ -48,9 +50,12 @@ FREQUENT = 200_000
 
 SIZE = 16  # of the vectors
 NOISE = 32  # samples for a batch
-BATCH = 4096
+BATCH = 256
 RATE = 0.1
-ROUNDS = 2
+PARTS = 2  # of the training texts, one for each round
+MAX_ROUNDS = 24
+GAIN = 0.01  # log10 a token
+HELD_BACK = 32  # one in so many training texts tells when to stop
 GROUPS = 64  # of tasks whose parameters are averaged first
 _TOKENS = "doc_id long, row long, n_tokens long, n_known long, base double, score double, rare array<string>"
 
@@ -132,6 +137,15 @@ def units_of(text: bytes, counts: Counts) -> tuple[np.ndarray, np.ndarray, list[
     return units, places[places >= 0], others
 
 
+def after_ends(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The units of texts in one row, two ends before each, and the places of the units."""
+    sizes = np.array([len(t) for t in texts], np.int64)
+    places = np.arange(sizes.sum()) + np.repeat(2 * np.arange(1, len(texts) + 1), sizes)
+    ids = np.zeros(sizes.sum() + 2 * len(texts), np.int64)
+    ids[places] = np.concatenate([*texts, np.zeros(0, np.int64)])
+    return ids, places
+
+
 class LogBilinear:
     """Parameters as one vector of floats, and what is computed with them."""
 
@@ -162,15 +176,16 @@ class LogBilinear:
             table[i] = (scores - total) / np.log(10)
         return table
 
-    def train(self, units: np.ndarray, noise: np.ndarray, seed: int) -> None:
-        """One pass of noise-contrastive steps over a row of units; texts are apart by ends."""
+    def train(self, texts: list[np.ndarray], noise: np.ndarray, seed: int) -> None:
+        """One pass of noise-contrastive steps over the units of texts, each after two ends."""
         random = np.random.default_rng(seed)
         log_noise = np.log(NOISE * noise)
         heat = [np.full(s, 1e-2, np.float32) for s in self.shapes]
-        ids = np.concatenate([[0, 0], units])
+        ids, places = after_ends(texts)
         cumulated = np.cumsum(noise)
-        for at in range(0, len(units), BATCH):
-            far, near, word = (ids[at + k : at + k + BATCH][: len(units) - at] for k in range(3))
+        for start in range(0, len(places), BATCH):
+            at = places[start : start + BATCH]
+            far, near, word = ids[at - 2], ids[at - 1], ids[at]
             n = len(word)
             r_near, r_far = self.context[near], self.context[far]
             q = r_near @ self.near + r_far @ self.far
@@ -205,50 +220,74 @@ def _sums(ids: np.ndarray, rows: np.ndarray) -> np.ndarray:
 def train(units: DataFrame, counts: Counts) -> LogBilinear:
     """Rounds of training over the written ``units`` (``part`` and ``units`` of each text)."""
     noise = (counts.unit_n + 1) / (counts.unit_n + 1).sum()
-    model = LogBilinear.start(noise)
-    sc = units.sparkSession.sparkContext
-    for turn in range(ROUNDS):
-        flat = sc.broadcast(model.flat)
-
-        def learn(batches, flat=flat, turn=turn):
-            own, tokens, rest = LogBilinear(flat.value.copy()), 0, []
-            from pyspark import TaskContext
-
-            task = TaskContext.get().partitionId()
-            for batch in batches:
-                rest += [np.frombuffer(u.as_py(), np.uint8) for u in batch["units"]]
-                if rest:
-                    row = np.concatenate(rest).astype(np.int64)
-                    own.train(row, noise, 1000 * turn + task % 997 + tokens % 991)
-                    tokens, rest = tokens + len(row), []
-            if tokens:
-                raw = (own.flat.astype(np.float64) * tokens).tobytes()
-                kinds = [("slot", pa.int32()), ("tokens", pa.int64()), ("flat", pa.binary())]
-                values = {"slot": task % GROUPS, "tokens": tokens, "flat": raw}
-                yield pa.RecordBatch.from_pylist([values], schema=pa.schema(kinds))
-
-        def add(group: pd.DataFrame) -> pd.DataFrame:
-            total = sum(np.frombuffer(f, np.float64) for f in group["flat"])
-            tokens = int(group["tokens"].sum())
-            return pd.DataFrame({"tokens": [tokens], "flat": [total.tobytes()]})
-
-        part = units.filter(F.col("part") == turn).select("units")
-        learnt = part.mapInArrow(learn, "slot int, tokens long, flat binary")
-        sums = learnt.groupBy("slot").applyInPandas(add, "tokens long, flat binary").collect()
-        if sums:
-            tokens = sum(s.tokens for s in sums)
-            model = LogBilinear(sum(np.frombuffer(s.flat, np.float64) for s in sums) / tokens)
-        flat.unpersist()
+    model, before = LogBilinear.start(noise), -np.inf
+    for turn in range(MAX_ROUNDS):
+        model = _round(units.filter(F.col("part") == turn % PARTS), model, noise, turn)
+        if turn + 1 >= PARTS - 1:
+            now = mean_log10(units.filter(F.col("part") == PARTS), model)
+            # Without texts to tell, each part is trained on once.
+            if turn + 1 >= PARTS and (now is None or now - before < GAIN):
+                break
+            before = now
     return model
 
 
+def _round(units: DataFrame, model: LogBilinear, noise: np.ndarray, turn: int) -> LogBilinear:
+    """The model trained on ``units`` once in each task, averaged; as it is without any."""
+    flat = units.sparkSession.sparkContext.broadcast(model.flat)
+
+    def learn(batches):
+        from pyspark import TaskContext
+
+        own, tokens, task = LogBilinear(flat.value.copy()), 0, TaskContext.get().partitionId()
+        for batch in batches:
+            texts = [np.frombuffer(u.as_py(), np.uint8) for u in batch["units"]]
+            own.train(texts, noise, 1000 * turn + task % 997 + tokens % 991)
+            tokens += sum(map(len, texts))
+        if tokens:
+            raw = (own.flat.astype(np.float64) * tokens).tobytes()
+            kinds = [("slot", pa.int32()), ("tokens", pa.int64()), ("flat", pa.binary())]
+            values = {"slot": task % GROUPS, "tokens": tokens, "flat": raw}
+            yield pa.RecordBatch.from_pylist([values], schema=pa.schema(kinds))
+
+    def add(group: pd.DataFrame) -> pd.DataFrame:
+        total = sum(np.frombuffer(f, np.float64) for f in group["flat"])
+        tokens = int(group["tokens"].sum())
+        return pd.DataFrame({"tokens": [tokens], "flat": [total.tobytes()]})
+
+    learnt = units.select("units").mapInArrow(learn, "slot int, tokens long, flat binary")
+    sums = learnt.groupBy("slot").applyInPandas(add, "tokens long, flat binary").collect()
+    flat.unpersist()
+    tokens = sum(s.tokens for s in sums)
+    return LogBilinear(sum(np.frombuffer(s.flat, np.float64) for s in sums) / tokens) if sums else model
+
+
+def mean_log10(units: DataFrame, model: LogBilinear) -> float | None:
+    """The model's mean log10 probability of a unit of the written ``units``."""
+    flat = units.sparkSession.sparkContext.broadcast(model.flat)
+
+    def measure(batches):
+        tokens, total, table = 0, 0.0, _table(flat.value)
+        for batch in batches:
+            ids, at = after_ends([np.frombuffer(u.as_py(), np.uint8) for u in batch["units"]])
+            total += float(table[ids[at - 2], ids[at - 1], ids[at]].sum(dtype=np.float64))
+            tokens += len(at)
+        yield pa.RecordBatch.from_pydict({"tokens": pa.array([tokens], pa.int64()), "total": pa.array([total], pa.float64())})
+
+    found = units.select("units").mapInArrow(measure, "tokens long, total double")
+    sums = found.agg(F.sum("tokens").alias("tokens"), F.sum("total").alias("total")).first()
+    flat.unpersist()
+    return sums.total / sums.tokens if sums.tokens else None
+
+
 def _unit_rows(docs: DataFrame, counts) -> DataFrame:
     def encode(texts: pa.Array) -> pa.Array:
         raw = texts.cast(pa.binary())
         rows = [units_of(t.as_py() or b"", counts.value)[0] for t in raw]
         return pa.array([u.astype(np.uint8).tobytes() for u in rows], pa.binary())
 
-    part = F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(ROUNDS)).alias("part")
+    lot = F.pmod(F.xxhash64("doc_id", "text"), F.lit(PARTS * HELD_BACK))
+    part = F.when(lot < PARTS, PARTS).otherwise(lot % PARTS).alias("part")
     return docs.select(part, F.arrow_udf(encode, "binary")(F.col("text").cast("string")).alias("units"))
 
 

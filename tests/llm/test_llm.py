@@ -305,6 +305,34 @@ def test_language_model_probabilities_add_up(spark):
         assert row == lm_scoring.bucket(word.encode())
 
 
+def test_language_model_beats_counted_pairs_of_units(spark, sf_dir):
+    """The trained units against bigrams of the same units, smoothed, on held-out texts."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    held = lm_scoring.fold(F.col("doc_id"), lm_scoring.FOLDS) == lm_scoring.HELD_OUT
+    counts = lm_scoring.gather_counts(lm_scoring.corpus_counts(docs.filter(~held)))
+    rows = lm_scoring._unit_rows(docs.withColumn("text", F.coalesce("text", F.lit(""))), spark.sparkContext.broadcast(counts))
+    training, held_out = (lm_scoring.written(rows.filter(f)) for f in (~held, held))
+    model = lm_scoring.train(training, counts)
+    table = 10.0 ** model.log10_table().astype(float)
+    assert abs(table.sum(axis=2) - 1).max() < 1e-3
+    unigram = (counts.unit_n + 1) / (counts.unit_n + 1).sum()
+    pairs = np.zeros((lm_scoring.UNITS, lm_scoring.UNITS))
+
+    def read(frame):
+        return lm_scoring.after_ends([np.frombuffer(r.units, np.uint8) for r in frame.collect()])
+
+    ids, at = read(training)
+    np.add.at(pairs, (ids[at - 1], ids[at]), 1)
+    pairs = (pairs + 20 * unigram) / (pairs.sum(axis=1, keepdims=True) + 20)
+    ids, at = read(held_out)
+    counted = np.log10(pairs[ids[at - 1], ids[at]]).mean()
+    plain = np.log10(table[ids[at - 2], ids[at - 1], ids[at]]).mean()
+    print("counted", counted, "model", plain)
+    assert plain > counted
+    # The distributed measure and a text by text look-up say the same.
+    assert abs(lm_scoring.mean_log10(held_out, model) - plain) < 1e-4
+
+
 def test_language_model_beats_the_base_on_held_out_texts(spark, sf_dir):
     held = queries.queries()["op1_lm_scoring"](spark, sf_dir).filter("held_out")
     sums = held.agg(F.sum("score").alias("score"), F.sum("base_score").alias("base")).first()
