@@ -1,12 +1,18 @@
 """Mixing sources to target weights by Pareto order sampling.
 
-Each source has a target number of words. A source whose target is r times its size is
-taken floor(r) times whole, which is certain; the rest of the target is a sample without
-replacement: documents are ranked by their random odds divided by the odds of the
-inclusion probability r - floor(r) and taken in that order until the words that are left
-to take are reached, to the nearest document. Probabilities differ between sources.
+Each source has a target number of words, and each document expects a number of copies
+of its own: documents with more words expect more, in proportion to the digits of their
+size in base two, up to ``MAX_COPIES``, so that a source's expected words are its target.
+The whole part of what a document expects is taken for certain; the rest is its inclusion
+probability in a sample without replacement: documents of a source are ranked by their
+random odds divided by the odds of that probability and taken in that order until the
+words that are left to take are reached, to the nearest document. So a source misses its
+target by up to half of the document at which its words run out, which is several percent
+of a source of few, long documents.
 
-No source is ever sorted or gathered as a whole. Ranks fall into bins, words are summed
+Documents of a source with as many digits expect the same, so expectations come from sums
+over at most 64 classes of size per source. No source is ever sorted or gathered as a
+whole. Ranks fall into bins, words are summed
 by (source, bin) before the shuffle, a window over at most ``BINS`` rows a source finds
 the bin in which a source's words run out, and only the documents of that one bin are
 ranked one by one. The result is a cut per source, and the choice of a document is a
@@ -103,17 +109,58 @@ def source_targets(sizes: DataFrame) -> DataFrame:
     return sums.select("source", "source_size", target.alias("target"))
 
 
-def _plans(targets: DataFrame) -> DataFrame:
-    """Per source: whole copies, the probability and the words of the sampled copy."""
-    ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    copies = F.floor(ratio).cast("long")
-    return targets.select(
+def digits_of(size: Column) -> Column:
+    """Digits of a size in base two; 0 has none."""
+    return F.when(size > 0, F.length(F.bin(size))).otherwise(0).cast("int")
+
+
+def expectations(classes: DataFrame) -> DataFrame:
+    """Copies that a document expects, ``expected``, per ``source`` and ``digits``.
+
+    ``classes`` has the ``words`` of each, and its source's ``source_size`` and ``target``.
+    Expectations are level * digits, but ``MAX_COPIES`` at most, and the expected words of a
+    source are its target. The classes with the most digits are at the limit first, so
+    running sums give the level at once, over at most 64 rows a source.
+    """
+    larger = Window.partitionBy("source").orderBy(F.desc("digits")).rowsBetween(Window.unboundedPreceding, -1)
+    own = Window.partitionBy("source")
+    weight = F.col("digits") * F.col("words")
+    summed = classes.select(
+        "*",
+        F.coalesce(F.sum("words").over(larger), F.lit(0)).alias("words_before"),
+        (F.sum(weight).over(own) - F.coalesce(F.sum(weight).over(larger), F.lit(0))).alias("weight_left"),
+    )
+    left = F.col("target") - F.col("words_before") * MAX_COPIES
+    # At the limit: the level, were this the largest class below it, would lift it there.
+    full = left * F.col("digits") >= F.col("weight_left") * MAX_COPIES
+    marked = summed.withColumn("full", full & (F.col("digits") > 0))
+    sums = marked.select(
+        "*",
+        F.sum(F.when(F.col("full"), F.col("words")).otherwise(0)).over(own).alias("full_words"),
+        F.sum(F.when(F.col("full"), 0).otherwise(weight)).over(own).alias("open"),
+    )
+    level = (F.col("target") - F.col("full_words") * MAX_COPIES) / F.col("open")
+    expected = (
+        F.when(F.col("full"), F.lit(float(MAX_COPIES)))
+        .when(F.col("digits") == 0, F.lit(0.0))
+        .otherwise(F.greatest(F.least(level * F.col("digits"), F.lit(float(MAX_COPIES))), F.lit(0.0)))
+    )
+    return sums.select("source", "digits", "words", "source_size", "target", expected.alias("expected"))
+
+
+def _plans(expected: DataFrame) -> DataFrame:
+    """Per source and digits: whole copies, the probability of one more, and the words that
+    the sample of the whole source takes."""
+    copies = F.floor("expected").cast("long")
+    certain = F.sum(copies * F.col("words")).over(Window.partitionBy("source"))
+    return expected.select(
         "source",
+        "digits",
         "source_size",
         "target",
         copies.alias("copies"),
-        (ratio - copies).alias("probability"),
-        (F.col("target") - copies * F.col("source_size")).alias("to_take"),
+        (F.col("expected") - copies).alias("probability"),
+        (F.col("target") - certain).alias("to_take"),
     )
 
 
@@ -121,17 +168,25 @@ def _same_source(left: str, right: str) -> Column:
     return F.col(f"{left}.source").eqNullSafe(F.col(f"{right}.source"))
 
 
+def _same_class(left: str, right: str) -> Column:
+    return _same_source(left, right) & (F.col(f"{left}.digits") == F.col(f"{right}.digits"))
+
+
 def cuts(units: DataFrame) -> DataFrame:
-    """One row per source: sizes, target, whole copies and the last rank that is taken.
+    """One row per source and class of size (``digits``): sizes, target, whole copies, the
+    probability of one more and the source's last rank that is taken.
 
-    ``units`` has source, doc_id and size. Ranks are compared as (rank, doc_id).
+    ``units`` has source, doc_id, size and digits. Ranks are compared as (rank, doc_id).
     """
     units = checkpointed(units.withColumn("u", draw(F.col("doc_id"))))
-    sizes = units.groupBy("source").agg(F.sum("size").alias("source_size"))
-    plans = checkpointed(_plans(source_targets(sizes)))
+    classes = checkpointed(units.groupBy("source", "digits").agg(F.sum("size").alias("words")))
+    targets = source_targets(classes.groupBy("source").agg(F.sum("words").alias("source_size")))
+    classes = classes.alias("c").join(targets.alias("t"), _same_source("c", "t"))
+    classes = classes.select("c.*", "t.source_size", "t.target")
+    plans = checkpointed(_plans(expectations(classes)))
     ranked = (
         units.alias("d")
-        .join(broadcast_if_small(plans).alias("p"), _same_source("d", "p"))
+        .join(broadcast_if_small(plans).alias("p"), _same_class("d", "p"))
         .filter("probability > 0")
         .select(
             "d.source",
@@ -180,9 +235,9 @@ def mix(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str
         F.col(source).cast("string").alias("source"),
         F.col(doc_id).alias("doc_id"),
         n_words(F.col(text)).alias("size"),
-    )
+    ).withColumn("digits", digits_of(F.col("size")))
     cut = broadcast_if_small(checkpointed(cuts(rows.drop("doc"))))
-    chosen = rows.alias("d").join(cut.alias("p"), _same_source("d", "p"), "left")
+    chosen = rows.alias("d").join(cut.alias("p"), _same_class("d", "p"), "left")
     rank = rank_of(draw(F.col("d.doc_id")), F.col("probability"))
     at = F.struct(rank.alias("rank"), F.col("d.doc_id").alias("doc_id"))
     # Bins before the crossing are taken, bins after it are not; a source that never

@@ -108,8 +108,11 @@ FROM gathered
 
 MIX = f"""
 WITH sized AS (
-    SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^{SPACE}]+'))::BIGINT AS size
-    FROM documents
+    SELECT *, CASE WHEN size > 0 THEN length(bin(size)) ELSE 0 END AS digits
+    FROM (
+        SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^{SPACE}]+'))::BIGINT AS size
+        FROM documents
+    )
 ),
 sources AS (
     SELECT source, sum(size)::BIGINT AS source_size,
@@ -137,19 +140,40 @@ targets AS (
         / (sum(CASE WHEN capped THEN 0 ELSE weight END) OVER ())::DOUBLE * weight END AS target
     FROM marked
 ),
-plans AS (
-    SELECT *, floor(ratio)::BIGINT AS copies, ratio - floor(ratio) AS p,
-        target - floor(ratio) * source_size AS to_take
-    FROM (
-        SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0 END AS ratio
-        FROM targets
+classes AS (
+    SELECT d.source, digits, sum(size)::BIGINT AS words, (digits * sum(size))::BIGINT AS weight,
+        any_value(source_size) AS source_size, any_value(target) AS target
+    FROM sized d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source GROUP BY d.source, digits
+),
+larger AS (
+    SELECT *, target - coalesce(sum(words) OVER before, 0)::BIGINT * {mixing.MAX_COPIES} AS still,
+        sum(weight) OVER (PARTITION BY source) - coalesce(sum(weight) OVER before, 0) AS weight_left
+    FROM classes
+    WINDOW before AS (
+        PARTITION BY source ORDER BY digits DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING
     )
 ),
+limited AS (
+    SELECT *, digits > 0 AND still * digits >= (weight_left * {mixing.MAX_COPIES})::DOUBLE AS at_limit FROM larger
+),
+expecting AS (
+    SELECT *, CASE WHEN at_limit THEN {mixing.MAX_COPIES}::DOUBLE WHEN digits = 0 THEN 0::DOUBLE ELSE
+        greatest(least((target - coalesce(sum(words) FILTER (at_limit) OVER own, 0)::BIGINT * {mixing.MAX_COPIES})
+            / (sum(weight) FILTER (NOT at_limit) OVER own)::DOUBLE * digits, {mixing.MAX_COPIES}::DOUBLE), 0::DOUBLE)
+        END AS expected
+    FROM limited WINDOW own AS (PARTITION BY source)
+),
+plans AS (
+    SELECT source, digits, source_size, target, floor(expected)::BIGINT AS copies,
+        expected - floor(expected) AS p,
+        target - (sum(floor(expected)::BIGINT * words) OVER (PARTITION BY source))::DOUBLE AS to_take
+    FROM expecting
+),
 drawn AS (
-    SELECT d.*, source_size, target, copies, p, to_take,
+    SELECT d.doc_id, d.source, d.size, source_size, target, copies, p, to_take,
         (('0x' || substr(md5('{mixing.SEED}:' || coalesce(doc_id::VARCHAR, 'null')),
             1, {mixing.DIGITS}))::BIGINT + 0.5) / {float(16**mixing.DIGITS)} AS u
-    FROM sized d JOIN plans s ON d.source IS NOT DISTINCT FROM s.source
+    FROM sized d JOIN plans s ON d.source IS NOT DISTINCT FROM s.source AND d.digits = s.digits
 ),
 ranked AS (
     SELECT *, CASE WHEN p > 0 THEN (u / (1 - u)) / (p / (1 - p)) END AS rank FROM drawn

@@ -1,5 +1,6 @@
 """The operators of ``sluice.llm`` on hard rows, against brute force, and on held-out rows."""
 
+import math
 from itertools import combinations
 
 import numpy as np
@@ -455,3 +456,35 @@ def test_mixed_sources_come_near_their_targets(spark, sf_dir):
         assert abs(r.taken - r.target) <= r.largest / 2 + 1
 
 
+def test_documents_are_taken_as_often_as_they_expect(spark):
+    """Two sources of 20,000 documents of four sizes each, and a small one that gains words."""
+    sizes = F.get(F.array(*map(F.lit, (3, 20, 100, 500))), (F.col("id") % 4).cast("int"))
+    source = F.when(F.col("id") < 20_000, "a").when(F.col("id") < 40_000, "b").otherwise("c")
+    docs = spark.range(42_000).select(
+        F.col("id").alias("doc_id"), source.alias("source"), F.repeat(F.lit("w "), sizes).alias("text")
+    )
+    found = mixing.mix(docs).select("doc.source", "size", "source_size", "target", "copies", "taken")
+    rows = found.groupBy("source", "size", "source_size", "target").agg(
+        F.avg("copies").alias("copies"), F.min("copies").alias("least"), F.max("copies").alias("most"),
+        F.sum("taken").alias("taken"), F.count("size").alias("n"),
+    ).collect()
+    assert len(rows) == 12
+    for source in "abc":
+        own = [r for r in rows if r.source == source]
+        assert abs(sum(r.taken for r in own) - own[0].target) <= 250
+
+        def expected(level, r):
+            return min(3, level * r.size.bit_length())
+
+        low, high = 0.0, 3.0
+        for _ in range(60):  # the level by bisection
+            level = (low + high) / 2
+            words = sum(r.n * r.size * expected(level, r) for r in own)
+            low, high = (level, high) if words < own[0].target else (low, level)
+        for r in own:
+            share = expected(level, r)
+            part = share - math.floor(share + 1e-9)
+            assert abs(r.copies - share) < 0.01 + 4 * math.sqrt(part * (1 - part) / r.n)
+            assert r.least >= math.floor(share - 1e-9) and r.most <= min(3, math.floor(share + 1e-9) + 1)
+    copies = {(r.source, r.size): r.copies for r in rows}
+    assert copies["b", 3] < copies["b", 20] < copies["b", 100] < copies["b", 500]
