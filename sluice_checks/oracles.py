@@ -423,6 +423,10 @@ def oracle_sql() -> dict[str, str]:
     sql["max_ingested"] = _with("weather_data") + """
         SELECT max(ingested_at) AS max_ingested_at FROM weather_data"""
     sql["count_rows"] = "SELECT count(*) AS row_count FROM events"
+    # The same results, whether columns or footers are read.
+    sql["footer_freshness"] = sql["data_freshness"]
+    sql["footer_table_counts"] = sql["table_counts_long"]
+    sql["footer_max_ingested"] = sql["max_ingested"]
     sql["offsets_by_partition"] = """
         SELECT 'iot-weather-data' AS topic, CAST(event_id % 2 AS INTEGER) AS "partition",
                min(event_id // 2) AS first_offset, max(event_id // 2) + 1 AS next_offset,

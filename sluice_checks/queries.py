@@ -15,7 +15,7 @@ from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType
 
 from sluice import functions
 from sluice.operators import keyed, open_fields, quality, routing, transform
-from sluice.plans import monitoring, reports
+from sluice.plans import footers, monitoring, reports
 from sluice.session import shared_dir
 from sluice.sinks import (
     AppendTable,
@@ -377,6 +377,31 @@ def count_rows(spark, sf_dir):
     return monitoring.count_rows(_landed(spark, sf_dir, "weather"))
 
 
+def _opened(spark, sf_dir, kinds=KINDS):
+    """The landed tables as files, opened for reports from their footers."""
+    folder = _new_folder(spark)
+    landed = {get_spec(kind).table: _landed(spark, sf_dir, kind) for kind in kinds}
+    export_tables(landed, folder)
+    return footers.open_tables(spark, {name: f"{folder}/{name}" for name in landed})
+
+
+@query
+def footer_table_counts(spark, sf_dir):
+    """Row counts from the footers of the tables' files."""
+    return monitoring.table_counts_long(_opened(spark, sf_dir))
+
+
+@query
+def footer_freshness(spark, sf_dir):
+    """Newest rows from the footers of the tables' files."""
+    return monitoring.data_freshness(footers.newest(_opened(spark, sf_dir)), CHECKED)
+
+
+@query
+def footer_max_ingested(spark, sf_dir):
+    return footers.max_ingested(_opened(spark, sf_dir, ["weather"])[WEATHER.table])
+
+
 @query
 def offsets_by_partition(spark, sf_dir):
     return monitoring.offsets_by_partition(

@@ -12,7 +12,7 @@ from sluice.functions import seconds_between, topic_matches
 from sluice.operators import keyed, open_fields, quality, routing
 from sluice.operators.running import running_total
 from sluice.operators.transform import conform, ingest, parse
-from sluice.plans import monitoring, reports
+from sluice.plans import footers, monitoring, reports
 from sluice.session import configure, shared_dir
 from sluice.sinks import append_jdbc
 from sluice.sources import (
@@ -394,3 +394,32 @@ def test_a_spec_must_be_consistent():
 
 def test_strings_as_messages(spark):
     assert strings(spark, ["a", None]).collect() == [("a",), (None,)]
+
+
+def test_footers_answer_counts_and_newest_without_columns(spark, tmp_path):
+    rows = spark.sql(
+        "SELECT id, timestamp_ntz'2024-05-01 00:00:00.5' + make_interval(0, 0, 0, 0, 0, 0, id) AS ingested_at, "
+        "CAST(id % 3 AS INT) AS event_date FROM range(1000)"
+    )
+    rows.write.partitionBy("event_date").parquet(f"{tmp_path}/full")
+    rows.filter("id < 0").write.parquet(f"{tmp_path}/empty")
+    some = F.when(F.col("id") == 1, F.col("ingested_at"))
+    rows.filter("id < 3").coalesce(1).withColumn("ingested_at", some).write.parquet(f"{tmp_path}/nulls")
+    tables = footers.open_tables(spark, {n: f"{tmp_path}/{n}" for n in ("full", "empty", "nulls")})
+    counts = monitoring.table_counts_long(tables)
+    assert [(r.table_name, r.row_count) for r in counts.collect()] == [("empty", 0), ("full", 1000), ("nulls", 3)]
+    newest = {name: footers.max_ingested(df) for name, df in tables.items()}
+    expected = datetime(2024, 5, 1, 0, 16, 39, 500000)
+    assert {n: df.first()[0] for n, df in newest.items()} == {
+        "full": expected, "empty": None, "nulls": datetime(2024, 5, 1, 0, 0, 1, 500000)
+    }
+    fresh = monitoring.data_freshness(footers.newest(tables), datetime(2024, 5, 1, 0, 16, 49, 500000))
+    assert sorted((r.table_name, r.lag_seconds) for r in fresh.collect()) == [("full", 10.0), ("nulls", 1008.0)]
+    for report, pushed in ((monitoring.count_rows(tables["full"]), "COUNT(*)"), (newest["full"], "MAX(ingested_at)")):
+        plan = report._jdf.queryExecution().toString()
+        assert f"PushedAggregation: [{pushed}]" in plan
+    # The caller's session reads as before.
+    assert "PushedAggregation" not in spark.read.parquet(f"{tmp_path}/full").groupBy().count()._jdf.queryExecution().toString()
+    spark.range(2).select("id", F.array("id").alias("items")).write.parquet(f"{tmp_path}/nested")
+    with pytest.raises(ValueError, match="nested"):
+        footers.open_tables(spark, {"nested": f"{tmp_path}/nested"})
