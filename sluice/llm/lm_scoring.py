@@ -179,7 +179,7 @@ class LogBilinear:
     def train(self, texts: list[np.ndarray], noise: np.ndarray, seed: int) -> None:
         """One pass of noise-contrastive steps over the units of texts, each after two ends."""
         random = np.random.default_rng(seed)
-        log_noise = np.log(NOISE * noise)
+        log_noise = np.log(NOISE * noise).astype(np.float32)
         heat = [np.full(s, 1e-2, np.float32) for s in self.shapes]
         ids, places = after_ends(texts)
         cumulated = np.cumsum(noise)
@@ -212,9 +212,9 @@ class LogBilinear:
 
 def _sums(ids: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """Rows added up by id."""
-    one_hot = np.zeros((UNITS, len(ids)), np.float32)
-    one_hot[ids, np.arange(len(ids))] = 1
-    return one_hot @ rows
+    width = rows.shape[1]
+    cells = (ids[:, None] * width + np.arange(width)).ravel()
+    return np.bincount(cells, rows.ravel(), UNITS * width).reshape(UNITS, width).astype(np.float32)
 
 
 def train(units: DataFrame, counts: Counts) -> LogBilinear:
