@@ -192,17 +192,20 @@ class LogBilinear:
             drawn = np.searchsorted(cumulated, random.random(NOISE) * cumulated[-1])
             drawn = np.minimum(drawn, UNITS - 1)
             t = self.target[word]
-            real = (q * t).sum(axis=1) + self.bias[word] - log_noise[word]
-            false = q @ self.target[drawn].T + self.bias[drawn] - log_noise[drawn]
+            odds = self.bias - log_noise
+            real = (q * t).sum(axis=1) + odds[word]
+            false = q @ self.target[drawn].T + odds[drawn]
             # Gradients of the log-likelihood of telling real from noise, averaged.
-            g_real = (1 / (1 + np.exp(np.clip(real, -30, 30))) / n).astype(np.float32)
-            g_false = (-1 / (1 + np.exp(-np.clip(false, -30, 30))) / n).astype(np.float32)
+            with np.errstate(over="ignore"):
+                g_real = 1 / (n + n * np.exp(real))
+                g_false = -1 / (n + n * np.exp(-false))
             g_q = g_real[:, None] * t + g_false @ self.target[drawn]
             g_target = _sums(word, g_real[:, None] * q)
             np.add.at(g_target, drawn, g_false.T @ q)
             g_bias = np.bincount(word, g_real, UNITS)
             np.add.at(g_bias, drawn, g_false.sum(axis=0))
-            g_context = _sums(near, g_q @ self.near.T) + _sums(far, g_q @ self.far.T)
+            g_both = np.concatenate([g_q @ self.near.T, g_q @ self.far.T])
+            g_context = _sums(np.concatenate([near, far]), g_both)
             grads = (g_context, g_target, r_near.T @ g_q, r_far.T @ g_q, g_bias)
             own = (self.context, self.target, self.near, self.far, self.bias)
             for value, seen, g in zip(own, heat, grads):
@@ -210,11 +213,12 @@ class LogBilinear:
                 value += RATE * g / np.sqrt(seen)
 
 
+_CELLS = np.arange(UNITS * SIZE).reshape(UNITS, SIZE)
+
+
 def _sums(ids: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Rows added up by id."""
-    width = rows.shape[1]
-    cells = (ids[:, None] * width + np.arange(width)).ravel()
-    return np.bincount(cells, rows.ravel(), UNITS * width).reshape(UNITS, width).astype(np.float32)
+    """Rows of vectors added up by id."""
+    return np.bincount(_CELLS[ids].ravel(), rows.ravel(), UNITS * SIZE).reshape(UNITS, SIZE).astype(np.float32)
 
 
 def train(units: DataFrame, counts: Counts) -> LogBilinear:
