@@ -50,14 +50,19 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame
     """``df`` with a broadcast hint if its measured rows fit ``limit`` bytes, else as it is.
 
     Counts ``df``, so it should be cheap to evaluate twice (a checkpoint, a written
-    table). Without the hint Spark shuffles both sides and splits skewed partitions.
+    table). Arrays, structs and maps count as their JSON. Without the hint Spark shuffles
+    both sides and splits skewed partitions.
     """
-    sizes = [F.lit(16)] + [
-        F.coalesce(F.octet_length(F.col(f"`{name}`").cast("string")), F.lit(0)) + 16
-        if kind == "string"
-        else F.lit(16)
-        for name, kind in df.dtypes
-    ]
+
+    def size(name: str, kind: str) -> Column:
+        value = F.col(f"`{name}`")
+        if kind.startswith(("array", "struct", "map")):
+            value = F.to_json(value)
+        elif kind not in ("string", "binary"):
+            return F.lit(16)
+        return F.coalesce(F.octet_length(value).cast("long"), F.lit(0)) + 16
+
+    sizes = [F.lit(16)] + [size(name, kind) for name, kind in df.dtypes]
     total = df.agg(F.sum(sum(sizes[1:], sizes[0]))).first()[0] or 0
     return F.broadcast(df) if total <= limit else df
 

@@ -9,7 +9,10 @@ costs more with each letter.
 
 Equal feature lists are one row: features are counted and scored once per distinct list
 (hosts and path patterns), summed before shuffling, and only verdicts are joined back to
-the pages, so a host with a third of all pages is one entry. Names are split once each.
+the pages, so a host with a third of all pages is one entry. Lists go by a number while
+they are taken apart, so a long one is not repeated for each of its names. Names are split
+once each; a name is read in windows of ``LONGEST`` letters, so one of millions of letters
+takes time and memory in proportion to its length.
 
 All words count, however rare. The pieces that most names have, at most ``SENT`` of them,
 are sent to all tasks with their counts; the other pieces are joined with the counts by
@@ -24,7 +27,8 @@ rows; other columns are ignored.
 from __future__ import annotations
 
 import math
-import re
+from array import array
+from collections.abc import Iterator
 from functools import reduce
 
 import pyarrow as pa
@@ -39,7 +43,7 @@ LONGEST = 24  # letters of a word
 SMOOTHING = 1.0
 ALLOW, BLOCK = "allow", "block"
 _URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
-_TAGS = r"(?s)<(script|style)[^>]*>.*?</(script|style)>|<[^>]*>"
+_TAGS = r"(?is)<(script|style)[^>]*>.*?</(script|style)>|<[^>]*>"
 
 
 def host_of(url: Column) -> Column:
@@ -72,22 +76,27 @@ def word_counts(texts: DataFrame, html: str = "html") -> DataFrame:
     return checkpointed(found.groupBy("word").agg(F.count("word").alias("n")))
 
 
-def segment(name: str, costs: dict[str, float], unknown: tuple[float, float]) -> list[str]:
+def segment(name: str, costs: dict, unknown: tuple[float, float], own: dict | None = None) -> list[str]:
     """The cheapest split of a name into words: the costs are negative log probabilities.
 
-    A piece that is no word costs a fixed sum and one for each letter. Of equally cheap
-    splits the one with the longer last word is taken.
+    A piece that is no word (in neither dictionary, or there without a cost) costs a fixed
+    sum and one for each letter. Of equally cheap splits the one with the longer last word
+    is taken.
     """
-    best, cut = [0.0], [0]
+    own, best, cut = own or {}, array("d", [0.0]), array("q", [0])
     for end in range(1, len(name) + 1):
-        choices = []
+        least, place = math.inf, 0
         for start in range(max(0, end - LONGEST), end):
             piece = name[start:end]
-            cost = costs.get(piece, unknown[0] + unknown[1] * len(piece))
-            choices.append((best[start] + cost, start))
-        cost, start = min(choices)
-        best.append(cost)
-        cut.append(start)
+            cost = costs.get(piece)
+            if cost is None:
+                cost = own.get(piece)
+                if cost is None:
+                    cost = unknown[0] + unknown[1] * (end - start)
+            if best[start] + cost < least:
+                least, place = best[start] + cost, start
+        best.append(least)
+        cut.append(place)
     words, end = [], len(name)
     while end:
         words.append(name[cut[end] : end])
@@ -95,10 +104,18 @@ def segment(name: str, costs: dict[str, float], unknown: tuple[float, float]) ->
     return words[::-1]
 
 
-def pieces_of(name: str) -> set[str]:
-    """What a split of the name can consist of, but for pieces too long to be a word."""
-    ends = range(1, len(name) + 1)
-    return {name[start:end] for end in ends for start in range(max(0, end - LONGEST), end)}
+def pieces_of(name: str) -> Iterator[set[str]]:
+    """What a split of the name can consist of, but for pieces too long to be a word.
+
+    Sets of about ``ROWS`` pieces at most; those of a long name may share some.
+    """
+    found = set()
+    for end in range(1, len(name) + 1):
+        found.update(name[start:end] for start in range(max(0, end - LONGEST), end))
+        if len(found) >= ROWS:
+            yield found
+            found = set()
+    yield found
 
 
 def _pieces(names: DataFrame) -> DataFrame:
@@ -111,12 +128,12 @@ def _pieces(names: DataFrame) -> DataFrame:
         for batch in batches:
             ids, found = [], []
             for own, name in zip(batch["id"].to_pylist(), batch["name"].to_pylist()):
-                pieces = pieces_of(name)
-                ids += [own] * len(pieces)
-                found += pieces
-                if len(ids) >= ROWS:
-                    yield rows(ids, found)
-                    ids, found = [], []
+                for pieces in pieces_of(name):
+                    ids += [own] * len(pieces)
+                    found += pieces
+                    if len(ids) >= ROWS:
+                        yield rows(ids, found)
+                        ids, found = [], []
             yield rows(ids, found)
 
     return names.select("id", "name").mapInArrow(cut, "id long, word string")
@@ -139,14 +156,13 @@ def split_names(names: DataFrame, counts: DataFrame) -> DataFrame:
     words = uses.filter("n IS NOT NULL").select("word", "n", "uses")
     words = checkpointed(words if least is None else words.filter(F.col("uses") < least)).drop("uses")
     others = pieces.join(broadcast_if_small(words), "word")
-    own = others.groupBy("id").agg(F.collect_list(F.struct("word", "n")).alias("own"))
+    own = others.groupBy("id").agg(F.collect_set(F.struct("word", "n")).alias("own"))
 
     def split(names: pa.Array, own: pa.Array) -> pa.Array:
         sent, found = shared.value, []
         for name, rows in zip(names.to_pylist(), own.to_pylist()):
             mine = {r["word"]: -math.log(r["n"] / total) for r in rows or ()}
-            known = {p: c for p in pieces_of(name) if (c := mine.get(p, sent.get(p))) is not None}
-            found.append(segment(name, known, unknown))
+            found.append(segment(name, sent, unknown, mine))
         return pa.array(found, pa.list_(pa.string()))
 
     udf = F.arrow_udf(split, "array<string>")
@@ -175,17 +191,19 @@ def classify(pages: DataFrame, rules: list[tuple[str, str, str]]) -> DataFrame:
     ruled = _names(urls.withColumn("r", rule_for(F.col("host"), F.col("path"), rules)))
     # Distinct lists of names, with how many pages of each class have them.
     lists = checkpointed(
-        ruled.groupBy("names").agg(
+        ruled.groupBy("names")
+        .agg(
             F.count_if(F.col("r.verdict") == ALLOW).alias(ALLOW),
             F.count_if(F.col("r.verdict") == BLOCK).alias(BLOCK),
         )
+        .withColumn("id", F.monotonically_increasing_id())
     )
-    entries = lists.select("names", ALLOW, BLOCK, F.explode_outer("names").alias("e"))
+    entries = lists.select("id", ALLOW, BLOCK, F.explode_outer("names").alias("e"))
     names = entries.filter("e IS NOT NULL").select("e.name").distinct()
     distinct = checkpointed(split_names(names, word_counts(pages)))
     features = checkpointed(
         entries.join(broadcast_if_small(distinct), F.col("e.name") == F.col("name"), "left")
-        .select("names", ALLOW, BLOCK, F.col("e.place").alias("place"), F.explode_outer("words").alias("word"))
+        .select("id", ALLOW, BLOCK, F.col("e.place").alias("place"), F.explode_outer("words").alias("word"))
         .withColumn("feature", F.concat_ws(":", "place", "word"))
     )
     known = features.filter("word IS NOT NULL")
@@ -200,10 +218,11 @@ def classify(pages: DataFrame, rules: list[tuple[str, str, str]]) -> DataFrame:
     weights = sums.select("feature", of_feature.alias("weight"))
     odds = (
         features.join(broadcast_if_small(checkpointed(weights)), "feature", "left")
-        .groupBy("names")
+        .groupBy("id")
         .agg((F.coalesce(F.sum("weight"), F.lit(0.0)) + prior).alias("odds"))
     )
-    judged = ruled.join(broadcast_if_small(checkpointed(odds)), "names", "left")
+    of_list = checkpointed(lists.select("id", "names").join(odds, "id").drop("id"))
+    judged = ruled.join(broadcast_if_small(of_list), "names", "left")
     own = F.when(F.coalesce("odds", F.lit(0.0)) >= 0, ALLOW).otherwise(BLOCK)
     return judged.select(
         "page_id",

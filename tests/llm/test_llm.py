@@ -1,15 +1,18 @@
 """The operators of ``sluice.llm`` on hard rows, against brute force, and on held-out rows."""
 
 import math
+from collections import Counter
 from itertools import combinations
 
 import numpy as np
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from sluice.llm import (
     chat_format,
+    common,
     components,
     decontaminate,
     language_id,
@@ -446,6 +449,100 @@ def test_names_split_into_words_however_rare(spark, monkeypatch):
     assert {r.page_id: r for r in url_filter.classify(pages, queries.URL_RULES).collect()} == found
 
 
+def test_splits_cost_no_more_than_any_other():
+    random = np.random.default_rng(3)
+    unknown = (4.0, 1.5)
+    for _ in range(60):
+        name = "".join(random.choice(list("ab"), random.integers(1, 11)))
+        pieces = sorted({name[a:b] for a, b in combinations(range(len(name) + 1), 2)})
+        costs = {p: float(random.random() * 9) for p in pieces if random.random() < 0.4}
+        sent = {p: None for p in pieces[::3]} | {p: c for p, c in list(costs.items())[::2]}
+
+        def cost(words):
+            return sum(costs.get(w, unknown[0] + unknown[1] * len(w)) for w in words)
+
+        cuts = [c for n in range(len(name)) for c in combinations(range(1, len(name)), n)]
+        splits = [[name[a:b] for a, b in zip((0, *c), (*c, len(name)))] for c in cuts]
+        found = url_filter.segment(name, sent, unknown, costs)
+        assert "".join(found) == name and math.isclose(cost(found), min(map(cost, splits)))
+
+
+def plain_verdicts(pages, rules):
+    """Rules, Viterbi and naive Bayes page by page: host, path, rule, verdict and odds by id."""
+    counts, read = Counter(), {}
+    for p in pages:
+        visible = regex.sub(r"(?is)<(script|style)[^>]*>.*?</(script|style)>|<[^>]*>", " ", p.html or "")
+        counts.update(regex.findall(r"\p{L}+", visible.lower()))
+        rest = (p.url or "").partition("://")[2]
+        own = regex.match(r"(?s)([^/?#]*)([^?#]*)", rest)
+        host, path = own[1].lower(), own[2]
+        fits = [r for r in rules if (host == r[0] or host.endswith("." + r[0])) and path.startswith(r[1])]
+        read[p.page_id] = (host, path, max(fits, key=lambda r: len(r[0] + r[1]), default=None))
+    total = sum(counts.values()) or 1
+    costs = {w: -math.log(n / total) for w, n in counts.items()}
+
+    def features(host, path):
+        for place, text in (("h", host), ("p", path)):
+            for name in regex.findall(r"\p{L}+|[0-9]+", text.lower()):
+                name = "#" if name[0] in "0123456789" else name
+                for word in url_filter.segment(name, costs, (math.log(total), math.log(26))):
+                    yield f"{place}:{word}"
+
+    seen, of = Counter(), {"allow": Counter(), "block": Counter()}
+    everything = set()
+    for host, path, rule in read.values():
+        everything.update(features(host, path))
+        if rule:
+            seen[rule[2]] += 1
+            of[rule[2]].update(features(host, path))
+    size = {k: of[k].total() + len(everything) + 1 for k in of}
+    prior = math.log((seen["allow"] + 1) / (seen["block"] + 1))
+    result = {}
+    for page, (host, path, rule) in read.items():
+        odds = prior + sum(
+            math.log((of["allow"][f] + 1) / size["allow"]) - math.log((of["block"][f] + 1) / size["block"])
+            for f in features(host, path)
+        )
+        named = rule and rule[0] + rule[1]
+        result[page] = (host, path, named, rule[2] if rule else "allow" if odds >= 0 else "block", odds)
+    return result
+
+
+@pytest.mark.parametrize("budget", [url_filter.SENT, 20])
+def test_pages_are_judged_as_by_plain_naive_bayes(spark, sf_dir, monkeypatch, budget):
+    monkeypatch.setattr(url_filter, "SENT", budget)
+    if budget == 20:
+        monkeypatch.setattr(common.broadcast_if_small, "__defaults__", (0,))
+    pages = common.table(spark, sf_dir, "pages")
+    found = url_filter.classify(pages, queries.URL_RULES).collect()
+    expected = plain_verdicts(pages.select("page_id", "url", "html").collect(), queries.URL_RULES)
+    assert len(found) == len(expected)
+    for r in found:
+        *same, odds = expected[r.page_id]
+        assert math.isclose(r.odds, odds, rel_tol=1e-9, abs_tol=1e-9)
+        assert [r.host, r.path, r.rule] == same[:3] and (r.verdict == same[3] or abs(odds) < 1e-9)
+
+
+def test_long_names_and_long_lists_of_names(spark):
+    long = "bluecasino" * 40_000
+    path = "/".join(f"blue{'abcdefgh'[i % 8]}kind" for i in range(20_000))
+    rows = [(1, "http://casino.net/es/", "blue casino kind"), (2, "http://kind.com/", "blue kind <SCRIPT>var x</SCRIPT>"),
+            (3, f"http://a.org/{long}", None), (4, f"http://a.org/{path}", "<Style>y</sTYLE> kind")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r.page_id: r for r in url_filter.classify(pages, queries.URL_RULES).collect()}
+    expected = plain_verdicts(pages.collect(), queries.URL_RULES)
+    for page, (_, _, rule, verdict, odds) in expected.items():
+        assert (found[page].rule, found[page].verdict) == (rule, verdict)
+        assert math.isclose(found[page].odds, odds, rel_tol=1e-9)
+    assert {r.word for r in url_filter.word_counts(pages).collect()} == {"blue", "casino", "kind"}
+
+
+def test_nested_columns_count_as_large_as_they_are(spark):
+    wide = spark.range(100).select(F.array_repeat(F.struct(F.lit("name").alias("n")), 1000).alias("names"))
+    hinted = lambda df: "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
+    assert hinted(common.broadcast_if_small(wide, 2 << 20)) and not hinted(common.broadcast_if_small(wide, 1 << 20))
+
+
 def test_mixed_sources_come_near_their_targets(spark, sf_dir):
     mixed = queries.queries()["op8_mix_sources"](spark, sf_dir)
     assert mixed.filter(F.col("taken") > 3 * F.col("size")).count() == 0
