@@ -112,10 +112,13 @@ def _word_chars(text: Column) -> Column:
     return F.length(without(text, SPACES)).cast("long")
 
 
-def verdict(text: Column) -> Column:
-    """A struct of the base counts, ``base_failed``, ``kept_chars`` and ``kept``."""
+def verdict(text: Column, cleaned: bool = False) -> Column:
+    """A struct of the base counts, ``base_failed``, ``kept_chars`` and ``kept``; with
+    ``cleaned`` also of the surviving text, as ``clean``."""
     text = F.coalesce(text, F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda line: F.length(without(line, SPACES)) > 0)
+    clean = clean_text(text)
+    left = let(clean, lambda c: F.struct(_word_chars(c).alias("chars"), c.alias("text"))) if cleaned else None
     base = F.struct(
         let(
             words(text),
@@ -128,20 +131,22 @@ def verdict(text: Column) -> Column:
         let(lines, lambda a: F.size(a) - F.size(F.array_distinct(a)))
         .cast("long")
         .alias("n_dup_lines"),
-        _word_chars(clean_text(text)).alias("kept_chars"),
+        left.alias("left") if cleaned else _word_chars(clean).alias("kept_chars"),
     )
 
     def judged(b: Column) -> Column:
         n, repeats = b["w"]["n_words"], b["w"]["n_repeat_words"]
         failed = (n < MIN_WORDS) | (repeats * 100 > n * MAX_REPEAT_PERCENT)
-        enough = b["kept_chars"] * 100 >= b["word_chars"] * MIN_KEPT_PERCENT
+        kept_chars = b["left"]["chars"] if cleaned else b["kept_chars"]
+        enough = kept_chars * 100 >= b["word_chars"] * MIN_KEPT_PERCENT
         return F.struct(
             n.alias("n_words"),
             *[b[c].alias(c) for c in ("word_chars", "n_symbols", "n_dup_lines")],
             repeats.alias("n_repeat_words"),
             failed.alias("base_failed"),
-            b["kept_chars"].alias("kept_chars"),
+            kept_chars.alias("kept_chars"),
             (~failed & enough).alias("kept"),
+            *([b["left"]["text"].alias("clean")] if cleaned else []),
         )
 
     return let(base, judged)
@@ -156,9 +161,13 @@ def judge(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFr
 
 def filter_documents(docs: DataFrame, text: str = "text", n_chars: str = "n_chars") -> DataFrame:
     """Kept documents with the failing lines taken out of their text, same columns."""
-    kept = docs.filter(verdict(F.col(text))["kept"])
-    cleaned = clean_text(F.col(text))
-    changes = {text: cleaned}
+    name = "verdict"
+    while name in [c.lower() for c in docs.columns]:
+        name += "_"
+    # A generator's column is computed once: a filter on a plain one would go below it.
+    judged = docs.select("*", F.explode(F.array(verdict(F.col(text), cleaned=True))).alias(name))
+    clean = F.col(name)["clean"]
+    changes = {text: clean}
     if n_chars in docs.columns:
-        changes[n_chars] = F.length(cleaned).cast(docs.schema[n_chars].dataType)
-    return kept.withColumns(changes)
+        changes[n_chars] = F.length(clean).cast(docs.schema[n_chars].dataType)
+    return judged.filter(F.col(name)["kept"]).withColumns(changes).drop(name)

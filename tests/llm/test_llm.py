@@ -449,6 +449,23 @@ def test_names_split_into_words_however_rare(spark, monkeypatch):
     assert {r.page_id: r for r in url_filter.classify(pages, queries.URL_RULES).collect()} == found
 
 
+def test_kept_documents_hold_what_their_verdict_leaves(spark):
+    lines = "A first line that ends here.\nHome | News | About | Help | More\n\nA second one, which has some words.\n"
+    rows = [*TEXTS, (8, lines, "en", "a"), (9, lines * 2 + "no end", "en", "a"), (10, "Home | News\n" * 20, "en", "a")]
+    docs = frame(spark, rows).withColumn("verdict", F.lit("v"))
+    text = F.col("text")
+    plain = docs.filter(quality_rules.verdict(text)["kept"]).withColumns(
+        {"text": quality_rules.clean_text(text), "n_chars": F.length(quality_rules.clean_text(text)).cast("long")}
+    )
+    found = quality_rules.filter_documents(docs)
+    assert found.schema.simpleString() == plain.schema.simpleString()
+    assert sorted(map(repr, found.collect())) == sorted(map(repr, plain.collect()))
+    # Document 9 repeats itself, 10 is nothing but menus.
+    assert sorted(r.doc_id for r in found.filter("verdict = 'v' AND doc_id > 7").collect()) == [8]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("licen") == 1  # the lines are judged once
+
+
 def test_splits_cost_no_more_than_any_other():
     random = np.random.default_rng(3)
     unknown = (4.0, 1.5)
