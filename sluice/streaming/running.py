@@ -2,82 +2,118 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator, Sequence
+from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, Row
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
-from pyspark.sql.types import DataType
 
 from ..specs import INVENTORY
 from .windows import DELAY, watermarked
 
 _TIMES = ("timestamp", "timestamp_ntz")
+_WHOLE, _FLOATS = ("tinyint", "smallint", "int", "bigint"), ("float", "double")
+# Groups of keys that share their state: Python is called per group and batch.
+GROUPS = 1024
+# Rows given out or put back at once.
+CHUNK = 10_000
+
+
+def _number(kind: str):
+    """What turns the text of a value of this type into a number Python can add or order."""
+    return int if kind in _WHOLE else float if kind in _FLOATS else Decimal
 
 
 class _Totals(StatefulProcessor):
-    """Holds a key's changes until the watermark has passed them, then adds them in order.
+    """Holds the changes of a group of keys until the watermark has passed them, then adds them.
 
-    State per key: its total, and the changes of the last ``delay`` of event time. A timer
-    at the earliest of them fires once nothing earlier can come in any more.
+    State per group: the totals of its keys, and its changes of the last ``delay`` of event
+    time, in chunks with the earliest time of each. A timer at the earliest of them fires once
+    nothing earlier can come in any more. Chunks and totals are pickled, as going to the state
+    once per row or key would take longer than the rest.
     """
 
-    def __init__(self, columns: Sequence[str], schema: str, time: int, tie: int, value: int, total: str) -> None:
-        self.columns, self.schema, self.total_type = list(columns), schema, total
-        self.time, self.tie, self.value = time, tie, value
-        self.out = Row(*columns, "_total")
+    def __init__(self, given: Sequence[str], columns: Sequence[str], keys: Sequence[str], time: str,
+                 tie: str, tie_number, number) -> None:
+        self.given, self.columns, self.keys = list(given), list(columns), list(keys)
+        self.time, self.tie, self.tie_number, self.number = time, tie, tie_number, number
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.total = handle.getValueState("total", f"total {self.total_type}")
-        self.waiting = handle.getListState("waiting", self.schema)
+        self.totals = handle.getValueState("totals", "totals binary")
+        self.waiting = handle.getListState("waiting", "earliest long, changes binary")
 
-    def _wake_at(self, changes: Sequence[tuple]) -> None:
-        earliest = min(change[self.time] for change in changes)
-        self.handle.registerTimer(-(-earliest // 1000))
+    def _chunk(self, changes: pd.DataFrame) -> tuple[int, bytes]:
+        return int(changes[self.time].min()), pickle.dumps(changes, pickle.HIGHEST_PROTOCOL)
 
-    def _place(self, change: tuple):
-        tie = change[self.tie]
-        return change[self.time], tie is not None, tie if tie is not None else ""
+    def _wake_at(self, chunks: Sequence[tuple[int, bytes]]) -> None:
+        earliest = min(chunk[0] for chunk in chunks)
+        self.handle.registerTimer(-(-earliest // 1000))
 
-    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        changes = [tuple(row[name] for name in self.columns) for row in rows]
-        self.waiting.appendList(changes)
-        self._wake_at(changes)
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        # Columns come by place: names that start with an underscore are not kept.
+        frames = (frame.set_axis(self.given, axis=1) for frame in rows)
+        chunks = [self._chunk(frame[[*self.columns, "_add"]]) for frame in frames]
+        self.waiting.appendList(chunks)
+        self._wake_at(chunks)
         return iter(())
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+    def _in_order(self, changes: pd.DataFrame) -> pd.DataFrame:
+        ties = changes[self.tie]
+        if self.tie_number is not None:
+            ties = ties.map(self.tie_number, na_action="ignore")
+        return changes.assign(_tie=ties).sort_values([self.time, "_tie"], na_position="first")
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         passed = timerValues.getCurrentWatermarkInMs() * 1000
-        waiting = list(self.waiting.get())
-        due = sorted((c for c in waiting if c[self.time] <= passed), key=self._place)
-        if not due:
+        waiting = [tuple(chunk) for chunk in self.waiting.get()]
+        later = [chunk for chunk in waiting if chunk[0] > passed]
+        if len(later) == len(waiting):
             return
-        held = self.total.get()
-        total = held[0] if held else None
-        for change in due:
-            if change[self.value] is not None:
-                total = change[self.value] + (total or 0)
-            yield self.out(*change, total)
-        if total is not None:
-            self.total.update((total,))
-        later = [c for c in waiting if c[self.time] > passed]
+        met = pd.concat([pickle.loads(c) for at, c in waiting if at <= passed], ignore_index=True)
+        past = met[self.time] <= passed
+        due, rest = self._in_order(met[past]), met[~past]
+        later += [self._chunk(rest[at : at + CHUNK]) for at in range(0, len(rest), CHUNK)]
+        held = self.totals.get()
+        totals = pickle.loads(held[0]) if held else {}
+        ended = []
+        for place, value in zip(zip(*[due[name] for name in self.keys]), due["_add"]):
+            total = totals.get(place)
+            if value is not None:
+                total = totals[place] = self.number(value) + (total or 0)
+            ended.append(None if total is None else str(total))
+        self.totals.update((pickle.dumps(totals, pickle.HIGHEST_PROTOCOL),))
         if later:
             self.waiting.put(later)
             self._wake_at(later)
         else:
             self.waiting.clear()
+        out = due[self.columns].assign(_total=ended)
+        for at in range(0, len(out), CHUNK):
+            yield out[at : at + CHUNK]
 
     def close(self) -> None:
         pass
 
 
 def _plain(name: str, kind: str) -> Column:
-    # Times go through Python as numbers, which no time zone changes.
-    return F.unix_micros(F.col(name).cast("timestamp")).alias(name) if kind in _TIMES else F.col(name)
+    # Times and numbers go through pandas as text, which no time zone and no NULL changes.
+    if kind in _TIMES:
+        return F.unix_micros(F.col(name).cast("timestamp")).cast("string").alias(name)
+    return F.col(name).cast("string").alias(name) if _as_text(kind) else F.col(name)
 
 
 def _restored(name: str, kind: str) -> Column:
-    return F.timestamp_micros(name).cast(kind).alias(name) if kind in _TIMES else F.col(name)
+    if kind in _TIMES:
+        return F.timestamp_micros(F.col(name).cast("long")).cast(kind).alias(name)
+    return F.col(name).cast(kind).alias(name)
+
+
+def _as_text(kind: str) -> bool:
+    return kind in (*_WHOLE, *_FLOATS, "boolean") or kind.startswith("decimal")
 
 
 def running_totals(
@@ -88,6 +124,7 @@ def running_totals(
     value: str,
     name: str,
     delay: str = DELAY,
+    groups: int = GROUPS,
 ) -> DataFrame:
     """Add ``name``, the sum of ``value`` over the key's rows up to and including each one.
 
@@ -97,25 +134,33 @@ def running_totals(
     time; NULL values repeat the total so far, as in the batch report. A batch that is
     repeated starts from the state before it, so its totals are the same.
 
-    What a key's task holds is its changes of one batch and of the delay.
+    Keys are dealt by hash over ``groups``, which must stay the same for the life of a
+    checkpoint. What a group's task holds is its changes of one batch and of the delay, and
+    the totals of its keys; a batch rewrites the totals of the groups it meets. Pick more
+    groups for more than some ten million keys.
     """
     kinds = dict(rows.dtypes)
-    total: DataType = rows.groupBy().agg(F.sum(value)).schema[0].dataType
+    total = rows.groupBy().agg(F.sum(value)).schema[0].dataType.simpleString()
     columns = [c for c in rows.columns if c != "_time"]
     plain = rows.where(F.col(time).isNotNull()).withColumn("_time", F.col(time).cast("timestamp"))
+    at = F.unix_micros(F.col(time).cast("timestamp")).alias(time)
     plain = watermarked(plain, "_time", delay).select(
-        "_time", *[_plain(c, kinds[c]) for c in columns]
+        F.pmod(F.xxhash64(*keys), F.lit(groups)).cast("int").alias("_group"),
+        "_time",
+        *[at if c == time else _plain(c, kinds[c]) for c in columns],
+        F.col(value).cast(total).cast("string").alias("_add"),
     )
-    schema = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in plain.schema[1:])
-    processor = _Totals(
-        columns, schema, *map(columns.index, (time, tie, value)), total.simpleString()
+    schema = ", ".join(
+        f"`{field.name}` {field.dataType.simpleString()}" for field in plain.schema if field.name in columns
     )
+    tie_number = _number(kinds[tie]) if kinds[tie] in _TIMES or _as_text(kinds[tie]) else None
+    processor = _Totals(plain.columns, columns, keys, time, tie, tie_number, _number(total))
     # The totals' column has a name of its own until the input's of that name is gone.
-    out = plain.groupBy(*keys).transformWithState(
-        processor, f"{schema}, _total {total.simpleString()}", "append", "eventTime"
+    out = plain.groupBy("_group").transformWithStateInPandas(
+        processor, f"{schema}, _total string", "append", "eventTime"
     )
     kept = [_restored(c, kinds[c]) for c in columns if c != name]
-    return out.select(*kept, F.col("_total").alias(name))
+    return out.select(*kept, F.col("_total").cast(total).alias(name))
 
 
 def running_stock_stream(inventory: DataFrame, delay: str = DELAY) -> DataFrame:

@@ -303,6 +303,34 @@ def test_running_totals_follow_event_time_whatever_order_batches_have(spark, tmp
     assert set(by_key) == {("a", "x"), (None, "x"), ("b", "x")}  # "end" is not passed yet
 
 
+def test_running_totals_keep_state_per_group_of_keys_and_whole_numbers_exactly(spark, tmp_path):
+    large = (1 << 53) + 1  # not a double
+    given = "at timestamp_ntz, id long, sku int, ratio double, delta bigint"
+    rows = [(datetime(2024, 1, 1, 0, n % 3), 9 + n % 3, n % 500, None if n % 2 else 0.1, large if n % 3 else None)
+            for n in range(1500)]
+    rows += [(datetime(2024, 1, 3), 0, None, None, 1)]
+    spark.createDataFrame(rows, given).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(given).parquet(str(tmp_path / "in"))
+    totals = running_totals(stream, ["sku"], "at", "id", "delta", "total", "1 hour", groups=4)
+    totals.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "c")).trigger(
+        **ONCE
+    ).start(str(tmp_path / "out")).awaitTermination()
+    found, by_key = spark.read.parquet(str(tmp_path / "out")), {}
+    assert found.dtypes == [*stream.dtypes, ("total", "bigint")]
+    for at, id_, sku, ratio, delta, total in sorted(rows_of(found)):
+        by_key.setdefault(sku, []).append((id_, ratio, delta, total))
+    assert set(by_key) == set(range(500))
+    for sku, changes in by_key.items():
+        ratios = [next(r[3] for r in rows if r[1:3] == (id_, sku)) for id_ in (9, 10, 11)]
+        assert changes == [(9, ratios[0], None, None), (10, ratios[1], large, large), (11, ratios[2], large, 2 * large)]
+    state = spark.read.format("statestore").option("stateVarName", "totals").load(str(tmp_path / "c"))
+    assert state.count() == 4
+
+
+def rows_of(df):
+    return [tuple(row) for row in df.collect()]
+
+
 def test_late_rows_of_a_repeated_batch_are_the_same(spark, tmp_path):
     late = LateRows(str(tmp_path / "late"), "at", "1 hour")
     assert late.read(spark) is None
