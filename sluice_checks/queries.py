@@ -702,10 +702,14 @@ def _in_parts(spark, sf_dir, kind, folder, start, damaged=False):
     """Run ``start(messages)`` until its input is used up, after each part that comes in."""
     messages = testdata.in_parts(spark, sf_dir, kind, damaged)
     schema = messages.drop("part").schema
+    before = 0
     for part in range(testdata.PARTS):
         come = messages.where(F.col("part") == part).drop("part")
         come.write.mode("append").parquet(f"{folder}/in")
-        start(spark.readStream.schema(schema).parquet(f"{folder}/in")).awaitTermination()
+        there = spark.read.schema(schema).parquet(f"{folder}/in").count()
+        stream = spark.readStream.schema(schema).parquet(f"{folder}/in")
+        start(testdata.in_tasks(stream, there - before)).awaitTermination()
+        before = there
 
 
 def _landed_stream(messages, kind):

@@ -183,6 +183,18 @@ def _few_splits(scan: DataFrame) -> bool:
     return scan.rdd.getNumPartitions() < _cores(scan)
 
 
+# Messages of one batch that a task parses and keeps: some 70 MB to 250 MB.
+ROWS_PER_TASK = 250_000
+
+
+def in_tasks(stream: DataFrame, rows: int) -> DataFrame:
+    """A stream's batch of ``rows`` over all cores, and over more tasks as it grows.
+
+    Parsed rows take many times the room of their files, and splits do not cut row groups.
+    """
+    return stream.repartition(max(_cores(stream), -(-rows // ROWS_PER_TASK)))
+
+
 def wire_rows(rows: DataFrame, kind: str) -> DataFrame:
     """The wire fields of every message of ``kind``, one per table row, before encoding."""
     return _KINDS[kind][1](rows)
@@ -211,7 +223,7 @@ def stream_messages(
         .option("pathGlobFilter", f"{name}.parquet")
         .parquet(sf_dir)
     )
-    return encoded(rows.repartition(_cores(scan)) if _few_splits(scan) else rows, kind, damaged)
+    return encoded(in_tasks(rows, scan.count()), kind, damaged)
 
 
 PARTS = 3

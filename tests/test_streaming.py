@@ -28,7 +28,7 @@ from sluice.streaming import (
     windowed_counts,
 )
 from sluice.streaming.progress import partition_lags
-from sluice_checks import testdata
+from sluice_checks import queries, testdata
 
 SMALL = "/root/testdata/sf0.001"
 ONCE = {"availableNow": True}
@@ -331,6 +331,37 @@ def rows_of(df):
     return [tuple(row) for row in df.collect()]
 
 
+def test_batches_of_more_rows_take_more_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(testdata, "ROWS_PER_TASK", 50)
+    tasks, most = [], []
+
+    def start(messages):
+        def write(batch, batch_id):
+            tasks.append(batch.rdd.getNumPartitions())
+            sizes = batch.groupBy(F.spark_partition_id()).count()
+            most.append(sizes.agg(F.max("count")).first()[0])
+
+        writer = messages.writeStream.foreachBatch(write).trigger(**ONCE)
+        return writer.option("checkpointLocation", str(tmp_path / f"c{len(tasks)}")).start()
+
+    rows = testdata.source_rows(spark, SMALL, "weather").count()
+    start(testdata.stream_messages(spark, SMALL, "weather")).awaitTermination()
+    assert tasks == [-(-rows // 50)] and most[0] <= 60 and tasks[0] > 8
+    plans = []
+
+    class Done:
+        def awaitTermination(self):
+            pass
+
+    def look(messages):
+        plans.append(messages._jdf.queryExecution().logical().toString())
+        return Done()
+
+    queries._in_parts(spark, SMALL, "weather", str(tmp_path / "parts"), look)
+    found = [int(plan.split("Repartition ")[1].split(",")[0]) for plan in plans]
+    assert len(found) == testdata.PARTS and rows // 50 <= sum(found) <= rows // 50 + 3 + 8 * 3
+
+
 def test_late_rows_of_a_repeated_batch_are_the_same(spark, tmp_path):
     late = LateRows(str(tmp_path / "late"), "at", "1 hour")
     assert late.read(spark) is None
