@@ -1,12 +1,12 @@
 """Byte-pair encoding and decoding with a public vocabulary, by one pass over prefixes.
 
-Every prefix of a piece of text has exactly one encoding, and all encodings of longer
-prefixes that share its border agree on it. So it is enough to store the last token of each
-prefix's encoding: candidates are the tokens that the prefix ends in, which an automaton over
-the vocabulary gives with its suffix links, and the right one is the only one that can stand
-next to the last token of what it leaves. Following the stored tokens back from the end gives
-the encoding. The work is in proportion to the text, whatever it looks like: a piece of a
-million letters is no harder than as many short ones.
+Every prefix of a piece of text has exactly one encoding, and a sequence of tokens is one if
+each two neighbours can stand next to each other. So a piece is read from its start, each time
+taking the longest token that can stand next to the one before; where nothing goes on, the
+last token is given up for a shorter one. As a prefix has one encoding, each is reached once
+at most, and the work is in proportion to the text, whatever it looks like: a piece of a
+million letters is no harder than as many short ones. A trie of the vocabulary tells how far
+the text goes on like a token, and each beginning of a token knows the longest one in it.
 
 Two tokens can stand next to each other if no merge ever crosses their border. Seen from the
 border, each token is a chain of ever smaller pieces, made one after the other; a merge of
@@ -34,6 +34,8 @@ import json
 import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain
+from string import ascii_letters
 
 import ahocorasick
 import numpy as np
@@ -128,6 +130,11 @@ class Vocabulary:
         tried = (text for c in map(chr, range(1, 0x250)) for text in (c, f"a{c}b", f"1{c}{c}'{c}", f"{c}'s"))
         if any(self._cut_latin(text) != self._cut(text) for text in tried):
             self._cut_latin = self._cut
+        # Whether nothing cuts words of plain letters.
+        self._whole_words = all(
+            self._cut(word) == [word.lower()]
+            for a in ascii_letters for word in (a, *(f"{b}{a}" for b in ascii_letters), a + ascii_letters)
+        )
 
     def _cut(self, run: str) -> list[str]:
         """The pieces of a run of text, as symbols for their bytes."""
@@ -140,7 +147,7 @@ class Vocabulary:
         ]
 
     def _find_tokens(self) -> None:
-        """The automaton of all tokens that their own text encodes to."""
+        """All tokens that their own text encodes to, by text and in a trie."""
         symbols, usable = {}, set()
         self._tokens = ahocorasick.Automaton()
         for text, token in sorted(self.ids.items(), key=lambda entry: self.rank[entry[1]]):
@@ -155,8 +162,18 @@ class Vocabulary:
                 if len(symbols[token]) != 1:
                     raise ValueError(f"token {text!r} is neither a symbol nor merged")
             usable.add(token)
-            self._tokens.add_word(symbols[token], (token, len(symbols[token])))
-        self._tokens.make_automaton()
+            self._tokens.add_word(symbols[token], token)
+        known = {symbols[token]: token for token in usable}
+        self._sizes = {token: len(text) for text, token in known.items()}
+        self._longest = max(self._sizes.values())
+        # The longest token that each beginning of a token starts with, and the next shorter
+        # one of each token; -1 if there is none.
+        self._reached, self._shorter = {"": -1}, {}
+        for text in sorted(known, key=len):
+            for size in range(1, len(text)):
+                self._reached.setdefault(text[:size], self._reached[text[: size - 1]])
+            before = self._reached[text[:-1]]
+            self._shorter[known[text]], self._reached[text] = before, known[text]
 
     @staticmethod
     def _ended(piece: str) -> str:
@@ -185,30 +202,46 @@ class Vocabulary:
     def encode_piece(self, piece: str) -> list[int]:
         """The tokens of one piece, given as the symbols that stand for its bytes."""
         text = self._ended(piece)
-        # Per prefix, named by its last position. The empty one is at -1, the end of the list.
-        last = [-1] * len(text) + [_START]
-        length = [0] * len(text)
-        fits = self._fits
+        reached, fits, sizes, most = self._reached, self._fits, self._sizes, self._longest
+        path = self._tokens.longest_prefix
         if len(fits) >= KEPT:
             fits.clear()
-        for end, (token, size) in self._tokens.iter(text):
-            if last[end] < 0:
-                before = last[end - size]
+        found: list[int] = []
+        start = furthest = 0
+        before, end = _START, len(text)
+        ahead = text[:most]
+        token = reached[ahead[: path(ahead)]]
+        while True:
+            # The longest token that can stand next to the one before.
+            while token >= 0:
                 pair = before << _SHIFT | token
                 apart = fits.get(pair)
                 if apart is None:
-                    apart = fits[pair] = before == _START or before >= 0 and self._apart(before, token)
+                    apart = fits[pair] = before == _START or self._apart(before, token)
                 if apart:
-                    last[end], length[end] = token, size
-        found, end = [], len(text) - 1
-        while end >= 0:
-            if last[end] < 0:
-                raise ValueError(f"no token for {piece[end]!r}")
-            found.append(last[end])
-            end -= length[end]
-        return found[::-1]
-
-    def _encode_run(self, run: str) -> list[int]:
+                    break
+                token = self._shorter[token]
+            if token >= 0:
+                found.append(token)
+                before = token
+                start += sizes[token]
+                if start == end:
+                    return found
+                if start > furthest:
+                    furthest = start
+                ahead = text[start : start + most]
+                token = reached[ahead[: path(ahead)]]
+            elif found:
+                # Nothing goes on from here, so the encoding has a shorter token before.
+                last = found.pop()
+                start -= sizes[last]
+                before, token = found[-1] if found else _START, self._shorter[last]
+            else:
+                raise ValueError(f"no token for {piece[furthest]!r}")
+
+    def _encode_run(self, run: str) -> Iterable[int]:
+        if self._whole_words and run.isascii() and run.isalpha():
+            return self._pieces[run.lower()]
         cut = self._cut_latin if _LATIN.fullmatch(run) else self._cut
         return [token for piece in cut(run) for token in self._pieces[piece]]
 
@@ -220,8 +253,7 @@ class Vocabulary:
             if part in self.special:
                 found.append(self.special[part])
             else:
-                for run in _RUN.findall(part):
-                    found += runs[run]
+                found += chain.from_iterable(map(runs.__getitem__, _RUN.findall(part)))
         return found
 
     def decode(self, ids: Iterable[int]) -> str:

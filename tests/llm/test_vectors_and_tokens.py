@@ -251,3 +251,14 @@ def test_other_vocabularies_are_refused(tmp_path):
 
     with pytest.raises(ValueError, match="only plain merges"):
         bpe.Vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def test_plain_words_are_not_cut_and_tokens_are_given_up_where_nothing_goes_on(monkeypatch):
+    from tokenizers import Tokenizer
+
+    voc = bpe.Vocabulary(bpe.vocabulary_path())
+    library = Tokenizer.from_file(bpe.vocabulary_path())
+    monkeypatch.setattr(voc, "_cut_latin", None)  # calling it fails
+    for word in ("ofanreinat", "Thonshti", "whwhst", "ab" * 500, "ana" * 300, "inonlyertion"):
+        assert voc.encode(word) == library.encode(word, add_special_tokens=False).ids
+    assert max(voc._sizes.values()) == voc._longest and len(voc._shorter) == len(voc._sizes)
