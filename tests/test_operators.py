@@ -89,6 +89,31 @@ def test_running_total_equals_a_window(spark, hot):
     assert rows_of(running_total(df, ["k"], ["t", "id"], "v", "total")) == expected
 
 
+@pytest.mark.parametrize("keys", ["k", "null", "one"])
+def test_running_total_splits_the_keys_with_many_rows_alone(spark, keys):
+    # Small keys, one with half of the rows (None, or a value), or no other key than that one.
+    n = F.col("id")
+    many = F.lit(None if keys == "null" else 0).cast("long")
+    df = spark.range(6000).select(
+        F.when((n % 2 == 0) | F.lit(keys == "one"), many).otherwise(n % 50 + 1).alias("k"),
+        F.when(n % 9 != 0, n % 3).alias("t"),
+        F.md5(n.cast("string")).alias("id"),
+        F.when(n % 5 != 0, n % 11 - 5).cast("int").alias("v"),
+    )
+    window = Window.partitionBy("k").orderBy("t", "id").rowsBetween(Window.unboundedPreceding, 0)
+    expected = rows_of(df.withColumn("total", F.sum("v").over(window)))
+    found = running_total(df, ["k"], ["t", "id"], "v", "total", split_over=1000)
+    assert found.columns == ["k", "t", "id", "v", "total"] and rows_of(found) == expected
+    assert "_piece" in plan_of(found)
+
+
+def test_running_total_shuffles_ordinary_keys_once(spark):
+    df = spark.range(6000).selectExpr("id % 500 AS k", "id AS t", "md5(string(id)) AS id", "id AS v")
+    plan = plan_of(running_total(df, ["k"], ["t", "id"], "v", "total"))
+    # No piece is written or joined: rows go from where they come from to their window.
+    assert plan.count("Exchange") == 1 and "Join" not in plan and "ExistingRDD" not in plan
+
+
 def test_a_report_reads_only_the_dates_it_needs(spark, tmp_path):
     path = str(tmp_path / "dated")
     weather = testdata.landed(spark, SMALL, "weather").drop("event_date")
