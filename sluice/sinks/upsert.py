@@ -57,10 +57,14 @@ class UpsertTable:
         stored = _read(self.spark, self.path)
         return None if stored is None else stored.drop(BUCKET)
 
-    def write(self, batch: DataFrame) -> None:
-        """Put the latest row of each key of ``batch`` in place of older ones."""
+    def write(self, batch: DataFrame, unique: bool = False) -> None:
+        """Put the latest row of each key of ``batch`` in place of older ones.
+
+        Callers whose batch has a row per key at most say ``unique=True``, which saves
+        sorting it.
+        """
         self._finish_interrupted()
-        latest = latest_per_key(batch, self.keys, self.order, nullable=False)
+        latest = batch if unique else latest_per_key(batch, self.keys, self.order, nullable=False)
         bucket = F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
         with kept(latest.withColumn(BUCKET, bucket)) as rows:
             touched = [row[0] for row in rows.select(BUCKET).distinct().collect()]

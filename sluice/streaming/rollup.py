@@ -16,10 +16,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..session import configure
+from ..sinks.parquet import _settings
 from ..sinks.upsert import BUCKETS, UpsertTable
 
 # The batch a group's totals are from.
 BATCH = "_batch_id"
+# A batch meets most groups: write its changes down instead of the store's files, and do not
+# look a group up once more to count them.
+_STATE = {
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
+}
 
 
 class Rollup:
@@ -38,7 +45,8 @@ class Rollup:
         self.table = UpsertTable(spark, path, self.keys, [BATCH], buckets)
 
     def write(self, totals: DataFrame, batch_id: int) -> None:
-        self.table.write(totals.withColumn(BATCH, F.lit(batch_id).cast("long")))
+        """Put the batch's ``totals``, a row per group, in place of older ones."""
+        self.table.write(totals.withColumn(BATCH, F.lit(batch_id).cast("long")), unique=True)
 
     def read(self) -> DataFrame | None:
         """The report; None before the first batch."""
@@ -49,11 +57,16 @@ class Rollup:
 def keep_report(
     report: DataFrame, rollup: Rollup, checkpoint: str, trigger: dict[str, Any] | None = None
 ) -> StreamingQuery:
-    """Start a stream that keeps ``report``, an aggregate of a stream, in ``rollup``."""
-    configure(report.sparkSession)
+    """Start a stream that keeps ``report``, an aggregate of a stream by the rollup's keys, in it.
+
+    The stream's metrics do not count the rows of its state.
+    """
+    spark = configure(report.sparkSession)
     writer = (
         report.writeStream.outputMode("update")
         .foreachBatch(rollup.write)
         .option("checkpointLocation", checkpoint)
     )
-    return (writer if trigger is None else writer.trigger(**trigger)).start()
+    # A stream keeps the settings it is started with.
+    with _settings(spark, _STATE):
+        return (writer if trigger is None else writer.trigger(**trigger)).start()

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from sluice.operators import quality
 from sluice.operators.transform import conform, ingest, parse, project
 from sluice.plans import reports
-from sluice.sinks import AppendTable, Quarantine, StateTable, StatsLog
+from sluice.sinks import AppendTable, Quarantine, StateTable, StatsLog, UpsertTable
 from sluice.sources import stream_text
 from sluice.specs import ORDERS, USER_EVENTS, all_specs, get_spec
 from sluice.streaming import (
@@ -391,6 +391,19 @@ def test_a_kept_report_holds_the_totals_of_the_last_batch(spark, tmp_path):
     assert found == {("a", "x", 4), (None, "x", 2), ("b", "y", 1)}
 
 
+def test_totals_of_a_kept_report_are_not_reduced_again(spark, tmp_path, monkeypatch):
+    plans, merged = [], UpsertTable.merged
+
+    def look(table, rows, touched):
+        plans.append(rows._jdf.queryExecution().logical().toString())
+        return merged(table, rows, touched)
+
+    monkeypatch.setattr(UpsertTable, "merged", look)
+    totals = spark.createDataFrame([("a", 1), (None, 2)], "sku string, n long")
+    Rollup(spark, str(tmp_path / "r"), ["sku"], buckets=4).write(totals, 0)
+    assert len(plans) == 1 and "Aggregate" not in plans[0]
+
+
 def test_log_of_progress_and_lag(spark, tmp_path):
     log = ProgressLog(spark, str(tmp_path / "log"), every=2)
     assert log.progress() is None and log.lag() is None
