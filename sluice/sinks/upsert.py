@@ -39,6 +39,9 @@ class UpsertTable:
     the folder.
     """
 
+    # A write goes through its batch once, and through all of it in its first job.
+    one_pass = True
+
     def __init__(
         self,
         spark: SparkSession,
@@ -66,13 +69,21 @@ class UpsertTable:
         self._finish_interrupted()
         latest = batch if unique else latest_per_key(batch, self.keys, self.order, nullable=False)
         bucket = F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
-        with kept(latest.withColumn(BUCKET, bucket)) as rows:
+        latest = latest.withColumn(BUCKET, bucket)
+        if _read(self.spark, self.path) is None:
+            # Nothing to merge with, so no buckets to look up and no row to hold for that.
+            self._replace(latest, [])
+            return
+        with kept(latest) as rows:
             touched = [row[0] for row in rows.select(BUCKET).distinct().collect()]
             if touched:
-                self.merged(rows, touched).write.mode("overwrite").partitionBy(BUCKET).parquet(
-                    f"{self.path}/{REDO}"
-                )
-                self._put_in_place()
+                self._replace(rows, touched)
+
+    def _replace(self, rows: DataFrame, touched: list[int]) -> None:
+        self.merged(rows, touched).write.mode("overwrite").partitionBy(BUCKET).parquet(
+            f"{self.path}/{REDO}"
+        )
+        self._put_in_place()
 
     def merged(self, rows: DataFrame, touched: list[int]) -> DataFrame:
         """The new content of the ``touched`` buckets, spread by bucket."""
@@ -90,9 +101,11 @@ class UpsertTable:
 
     def _put_in_place(self) -> None:
         redo = f"{self.path}/{REDO}"
-        self.spark.read.parquet(redo).write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic"
-        ).partitionBy(BUCKET).parquet(self.path)
+        rows = _read(self.spark, redo)
+        if rows is not None:  # a first batch without rows leaves nothing to put in place
+            rows.write.mode("overwrite").option(
+                "partitionOverwriteMode", "dynamic"
+            ).partitionBy(BUCKET).parquet(self.path)
         hadoop, files = _files(self.spark, redo)
         files.delete(hadoop.Path(redo), True)
 

@@ -2,11 +2,12 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Iterable
+from contextlib import nullcontext
 from dataclasses import dataclass
 from datetime import datetime, timezone
 from typing import Any, Protocol
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -26,6 +27,9 @@ CHECK_SECONDS = 5
 
 
 class TableSink(Protocol):
+    """Where rows go. A sink that goes through its batch once, and through all of it in its
+    first job, says so by an attribute ``one_pass``, which saves holding the batch."""
+
     def write(self, batch: DataFrame) -> None: ...
 
 
@@ -48,35 +52,50 @@ def batch_writer(job: IngestJob, load: str | None = None) -> Callable[[DataFrame
 
     ``load`` names what is written outside a stream, which has an id of its own.
 
-    The batch is evaluated once and feeds the counts, the table and the quarantine.
+    The batch is kept while it feeds the counts, the table and the quarantine, so it is
+    evaluated once. For a sink that goes through it once it is not kept but counted on the
+    way, as parsed rows take many times the room of what such a sink holds; only a batch with
+    rejected rows is then evaluated again, for the quarantine.
     An error is raised on, so the query stops and the batch is repeated on restart.
     """
     spec = job.spec
+    one_pass = getattr(job.table, "one_pass", False)
+    counts = (F.count(F.lit(1)).alias("total"), F.count_if(F.size("errors") == 0).alias("good"))
+
+    def land(rows: DataFrame) -> None:
+        sources = [c for c in rows.columns if c.startswith("source_")]
+        landed = conform(project(quality.valid(rows), spec, keep=sources), spec)
+        missing = quality.missing_columns(landed, spec.must_have)
+        if missing:
+            raise ValueError(f"{spec.name}: missing columns {missing}")
+        job.table.write(landed)
+
+    def landed_counts(rows: DataFrame) -> tuple[int, int]:
+        # A look for a valid row ends at the first one. Without any, nothing would be counted.
+        if not one_pass or quality.valid(rows).isEmpty():
+            total, good = rows.agg(*counts).first()
+            if good:
+                land(rows)
+            return total, good
+        seen = Observation()
+        land(rows.observe(seen, *counts))
+        return seen.get["total"], seen.get["good"]
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         query_id = load or spark.sparkContext.getLocalProperty("sql.streaming.queryId")
-        with kept(batch) as rows:
-            total, good = rows.agg(
-                F.count(F.lit(1)), F.count_if(F.size("errors") == 0)
-            ).first()
+        with nullcontext(batch) if one_pass else kept(batch) as rows:
+            total, good = landed_counts(rows)
             if total == 0:
                 logger.info("%s batch %s: nothing to write", spec.name, batch_id)
                 return
-            if good:
-                sources = [c for c in rows.columns if c.startswith("source_")]
-                landed = conform(project(quality.valid(rows), spec, keep=sources), spec)
-                missing = quality.missing_columns(landed, spec.must_have)
-                if missing:
-                    raise ValueError(f"{spec.name}: missing columns {missing}")
-                job.table.write(landed)
             if job.quarantine is not None and good < total:
                 job.quarantine.write(quality.quarantined(rows), query_id, batch_id)
         if job.stats is not None:
-            counts = {f"{spec.name}.read": total, f"{spec.name}.valid": good,
-                      f"{spec.name}.rejected": total - good}
+            metrics = {f"{spec.name}.read": total, f"{spec.name}.valid": good,
+                       f"{spec.name}.rejected": total - good}
             now = datetime.now(timezone.utc).replace(tzinfo=None)
-            job.stats.write(spark, counts, now, query_id, batch_id)
+            job.stats.write(spark, metrics, now, query_id, batch_id)
         logger.info("%s batch %s: %s of %s rows valid", spec.name, batch_id, good, total)
 
     return write

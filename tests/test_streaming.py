@@ -172,6 +172,47 @@ def test_failure_after_write_stops_the_query_and_is_repeated_harmlessly(spark, t
     assert contents(table.read(), spec) == contents(expected_table(messages, spec), spec)
 
 
+def test_a_batch_for_the_latest_rows_is_counted_on_the_way_and_not_held(spark, tmp_path):
+    def held():
+        return spark.sparkContext._jsc.getPersistentRDDs().size()
+
+    before, while_writing = held(), []
+
+    class Watched(StateTable):
+        def _put_in_place(self):
+            while_writing.append(held() - before)
+            super()._put_in_place()
+
+    spec = get_spec("logistics")
+    body = '{"shipment_id":"00000000-0000-4000-8000-%012d","order_id":"00000000-0000-4000-8000-000000000001",\
+"status":"%s","current_location":{"latitude":40.5,"longitude":-73.5},"origin":"a","destination":"b","timestamp":%d}'
+    loads = {
+        "bad": ["not json"] * 3,
+        "first": [body % (n, "in_transit", 10**12 + n) for n in (1, 1, 2)] + ["not json"],
+        "more": [body % (n, "delivered", 10**12 + n + 1) for n in (2, 3)] + ["{}"] * 2,
+        "none": [],
+    }
+    table = Watched(spark, str(tmp_path / "t"), spec, buckets=2)
+    stats, quarantine = StatsLog(str(tmp_path / "stats")), Quarantine(str(tmp_path / "q"))
+    for load, lines in loads.items():
+        messages = spark.createDataFrame([(line,) for line in lines], "value string")
+        ingest_batch(IngestJob(spec, messages, table, "", quarantine, stats, max_age_ms=None), load)
+        if load == "bad":
+            assert table.read() is None
+    # Rows are held only to be merged with stored ones: a row per key, never the batch.
+    assert while_writing == [0, 1]
+    status = table.read().select(F.right("shipment_id", F.lit(1)), "shipment_status").collect()
+    assert sorted(map(tuple, status)) == [("1", "in_transit"), ("2", "delivered"), ("3", "delivered")]
+    counts = {(r["query_id"], r["metric_name"].split(".")[1]): r["metric_value"] for r in stats.read(spark).collect()}
+    assert counts == {
+        (load, name): n
+        for load, of in {"bad": (3, 0, 3), "first": (4, 3, 1), "more": (4, 2, 2)}.items()
+        for name, n in zip(("read", "valid", "rejected"), of)
+    }
+    rejected = quarantine.read(spark).groupBy("query_id").count().collect()
+    assert dict(map(tuple, rejected)) == {"bad": 3, "first": 1, "more": 2}
+
+
 def test_one_failure_stops_the_others(spark, tmp_path):
     for kind in ("orders", "weather"):
         write_files(spark, kind, str(tmp_path / f"{kind}-in"), files=1)
