@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import threading
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -64,6 +66,30 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+@contextmanager
+def freeing_shuffles(spark: SparkSession, seconds: float = 20):
+    """Have the shuffle files of finished jobs removed while the block runs, and at its end.
+
+    Spark removes them once the driver's garbage collector finds them unused, which may take
+    it until long after the disks are full. ``spark.cleaner.periodicGC.interval`` does the
+    same where the session's settings can be chosen.
+    """
+    collect, ended = spark.sparkContext._jvm.System.gc, threading.Event()
+
+    def repeat() -> None:
+        while not ended.wait(seconds):
+            collect()
+
+    thread = threading.Thread(target=repeat, daemon=True)
+    thread.start()
+    try:
+        yield
+    finally:
+        ended.set()
+        thread.join()
+        collect()
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder once, so later reads all see the same rows."""
     spark = df.sparkSession

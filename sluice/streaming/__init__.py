@@ -12,7 +12,7 @@ from .progress import (
     state_operators,
 )
 from .rollup import Rollup, keep_report
-from .running import running_stock_stream, running_totals
+from .running import keep_totals, running_stock_stream, running_totals
 from .windows import dedup_stream, windowed_counts
 
 __all__ = [
@@ -25,6 +25,7 @@ __all__ = [
     "ingest_batch",
     "keep_late",
     "keep_report",
+    "keep_totals",
     "open_groups",
     "open_windows",
     "progress",

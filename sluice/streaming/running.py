@@ -5,12 +5,17 @@ from __future__ import annotations
 import pickle
 from collections.abc import Iterator, Sequence
 from decimal import Decimal
+from typing import Any
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
+from ..session import configure
+from ..sinks.parquet import _settings
 from ..specs import INVENTORY
 from .windows import DELAY, watermarked
 
@@ -20,6 +25,15 @@ _WHOLE, _FLOATS = ("tinyint", "smallint", "int", "bigint"), ("float", "double")
 GROUPS = 1024
 # Rows given out or put back at once.
 CHUNK = 10_000
+# A batch puts all its changes into the state and the next
+# one takes most of them out: drop them from the store's files at once, and keep no more of the
+# earlier versions of the state in the checkpoint than a restart needs. Stores of many partitions
+# would also take some MB each for files that stay almost empty.
+_STATE = {
+    "spark.sql.streaming.stateStore.rocksdb.compactOnCommit": "true",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+    "spark.sql.streaming.minBatchesToRetain": 2,
+}
 
 
 def _number(kind: str):
@@ -27,19 +41,34 @@ def _number(kind: str):
     return int if kind in _WHOLE else float if kind in _FLOATS else Decimal
 
 
+def _packed(held: object) -> bytes:
+    """What goes to the state, which lies on local disks and in the checkpoint."""
+    plain = pickle.dumps(held, pickle.HIGHEST_PROTOCOL)
+    return len(plain).to_bytes(8) + pa.compress(plain, "zstd", asbytes=True)
+
+
+def _unpacked(data: bytes) -> object:
+    if data[:1] == pickle.PROTO:  # of a checkpoint from before states were compressed
+        return pickle.loads(data)
+    return pickle.loads(pa.decompress(data[8:], int.from_bytes(data[:8]), "zstd", asbytes=True))
+
+
 class _Totals(StatefulProcessor):
     """Holds the changes of a group of keys until the watermark has passed them, then adds them.
 
     State per group: the totals of its keys, and its changes of the last ``delay`` of event
     time, in chunks with the earliest time of each. A timer at the earliest of them fires once
     nothing earlier can come in any more. Chunks and totals are pickled, as going to the state
-    once per row or key would take longer than the rest.
+    once per row or key would take longer than the rest, and compressed, as all changes of a
+    batch wait there for the watermark.
     """
 
     def __init__(self, given: Sequence[str], columns: Sequence[str], keys: Sequence[str], time: str,
-                 tie: str, tie_number, number) -> None:
+                 added: str, tie: str, tie_number, number) -> None:
         self.given, self.columns, self.keys = list(given), list(columns), list(keys)
-        self.time, self.tie, self.tie_number, self.number = time, tie, tie_number, number
+        self.held = list(dict.fromkeys([*columns, added]))
+        self.time, self.added, self.number = time, added, number
+        self.tie, self.tie_number = tie, tie_number
 
     def init(self, handle) -> None:
         self.handle = handle
@@ -47,7 +76,7 @@ class _Totals(StatefulProcessor):
         self.waiting = handle.getListState("waiting", "earliest long, changes binary")
 
     def _chunk(self, changes: pd.DataFrame) -> tuple[int, bytes]:
-        return int(changes[self.time].min()), pickle.dumps(changes, pickle.HIGHEST_PROTOCOL)
+        return int(changes[self.time].min()), _packed(changes)
 
     def _wake_at(self, chunks: Sequence[tuple[int, bytes]]) -> None:
         earliest = min(chunk[0] for chunk in chunks)
@@ -56,7 +85,7 @@ class _Totals(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         # Columns come by place: names that start with an underscore are not kept.
         frames = (frame.set_axis(self.given, axis=1) for frame in rows)
-        chunks = [self._chunk(frame[[*self.columns, "_add"]]) for frame in frames]
+        chunks = [self._chunk(frame[self.held]) for frame in frames]
         self.waiting.appendList(chunks)
         self._wake_at(chunks)
         return iter(())
@@ -73,19 +102,19 @@ class _Totals(StatefulProcessor):
         later = [chunk for chunk in waiting if chunk[0] > passed]
         if len(later) == len(waiting):
             return
-        met = pd.concat([pickle.loads(c) for at, c in waiting if at <= passed], ignore_index=True)
+        met = pd.concat([_unpacked(c) for at, c in waiting if at <= passed], ignore_index=True)
         past = met[self.time] <= passed
         due, rest = self._in_order(met[past]), met[~past]
         later += [self._chunk(rest[at : at + CHUNK]) for at in range(0, len(rest), CHUNK)]
         held = self.totals.get()
-        totals = pickle.loads(held[0]) if held else {}
+        totals = _unpacked(held[0]) if held else {}
         ended = []
-        for place, value in zip(zip(*[due[name] for name in self.keys]), due["_add"]):
+        for place, value in zip(zip(*[due[name] for name in self.keys]), due[self.added]):
             total = totals.get(place)
             if value is not None:
                 total = totals[place] = self.number(value) + (total or 0)
             ended.append(None if total is None else str(total))
-        self.totals.update((pickle.dumps(totals, pickle.HIGHEST_PROTOCOL),))
+        self.totals.update((_packed(totals),))
         if later:
             self.waiting.put(later)
             self._wake_at(later)
@@ -144,17 +173,22 @@ def running_totals(
     columns = [c for c in rows.columns if c != "_time"]
     plain = rows.where(F.col(time).isNotNull()).withColumn("_time", F.col(time).cast("timestamp"))
     at = F.unix_micros(F.col(time).cast("timestamp")).alias(time)
+    # Whole numbers come as the text they are added from.
+    added = value if kinds[value] in _WHOLE and total in _WHOLE else "_add"
+    amount = [F.col(value).cast(total).cast("string").alias(added)] if added == "_add" else []
     plain = watermarked(plain, "_time", delay).select(
         F.pmod(F.xxhash64(*keys), F.lit(groups)).cast("int").alias("_group"),
         "_time",
         *[at if c == time else _plain(c, kinds[c]) for c in columns],
-        F.col(value).cast(total).cast("string").alias("_add"),
+        *amount,
     )
     schema = ", ".join(
         f"`{field.name}` {field.dataType.simpleString()}" for field in plain.schema if field.name in columns
     )
     tie_number = _number(kinds[tie]) if kinds[tie] in _TIMES or _as_text(kinds[tie]) else None
-    processor = _Totals(plain.columns, columns, keys, time, tie, tie_number, _number(total))
+    processor = _Totals(
+        plain.columns, columns, keys, time, added, tie, tie_number, _number(total)
+    )
     # The totals' column has a name of its own until the input's of that name is gone.
     out = plain.groupBy("_group").transformWithStateInPandas(
         processor, f"{schema}, _total string", "append", "eventTime"
@@ -174,3 +208,19 @@ def running_stock_stream(inventory: DataFrame, delay: str = DELAY) -> DataFrame:
         name="current_stock",
         delay=delay,
     )
+
+
+def keep_totals(
+    totals: DataFrame, path: str, checkpoint: str, trigger: dict[str, Any] | None = None
+) -> StreamingQuery:
+    """Start a stream that adds ``totals``, running totals of a stream, to a Parquet folder.
+
+    Its checkpoint can be continued from its last batches, and not from a hundred of them.
+    """
+    spark = configure(totals.sparkSession)
+    writer = totals.writeStream.format("parquet").options(
+        checkpointLocation=checkpoint, compression="zstd"
+    )
+    # A stream keeps the settings it is started with.
+    with _settings(spark, _STATE):
+        return (writer if trigger is None else writer.trigger(**trigger)).start(path)

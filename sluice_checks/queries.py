@@ -16,7 +16,7 @@ from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType
 from sluice import functions
 from sluice.operators import keyed, open_fields, quality, routing, transform
 from sluice.plans import footers, monitoring, reports
-from sluice.session import shared_dir
+from sluice.session import freeing_shuffles, shared_dir
 from sluice.sinks import (
     AppendTable,
     BucketTable,
@@ -48,6 +48,7 @@ from sluice.streaming import (
     dedup_stream,
     keep_late,
     keep_report,
+    keep_totals,
     open_windows,
     progress,
     running_stock_stream,
@@ -698,18 +699,25 @@ def stream_dedup(spark, sf_dir):
 ONCE = {"availableNow": True}
 
 
-def _in_parts(spark, sf_dir, kind, folder, start, damaged=False):
-    """Run ``start(messages)`` until its input is used up, after each part that comes in."""
+def _in_parts(spark, sf_dir, kind, folder, start, damaged=False, held=True):
+    """Run ``start(messages)`` until its input is used up, after each part that comes in.
+
+    A part makes room for the next one, which the stream knows from it by the files' names.
+    Streams of which no task holds its rows (``held`` off) take them as the files have them.
+    """
     messages = testdata.in_parts(spark, sf_dir, kind, damaged)
     schema = messages.drop("part").schema
-    before = 0
     for part in range(testdata.PARTS):
         come = messages.where(F.col("part") == part).drop("part")
-        come.write.mode("append").parquet(f"{folder}/in")
-        there = spark.read.schema(schema).parquet(f"{folder}/in").count()
+        come.write.mode("overwrite").options(
+            compression="zstd", maxRecordsPerFile=testdata.ROWS_PER_TASK
+        ).parquet(f"{folder}/in")
         stream = spark.readStream.schema(schema).parquet(f"{folder}/in")
-        start(testdata.in_tasks(stream, there - before)).awaitTermination()
-        before = there
+        if held:
+            there = spark.read.schema(schema).parquet(f"{folder}/in").count()
+            stream = testdata.in_tasks(stream, there)
+        with freeing_shuffles(spark):
+            start(stream).awaitTermination()
 
 
 def _landed_stream(messages, kind):
@@ -726,14 +734,9 @@ def stream_running_stock(spark, sf_dir):
 
     def start(messages):
         stock = running_stock_stream(_landed_stream(messages, "inventory"))
-        return (
-            stock.writeStream.format("parquet")
-            .option("checkpointLocation", f"{folder}/checkpoint")
-            .trigger(**ONCE)
-            .start(f"{folder}/out")
-        )
+        return keep_totals(stock, f"{folder}/out", f"{folder}/checkpoint", ONCE)
 
-    _in_parts(spark, sf_dir, "inventory", folder, start)
+    _in_parts(spark, sf_dir, "inventory", folder, start, held=False)
     return spark.read.parquet(f"{folder}/out").drop("ingested_at")
 
 

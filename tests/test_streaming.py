@@ -1,7 +1,9 @@
 import os
+import pickle
 from dataclasses import replace
 from datetime import datetime
 
+import pandas as pd
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
@@ -20,6 +22,7 @@ from sluice.streaming import (
     checkpointed_batches,
     dedup_stream,
     ingest_batch,
+    keep_totals,
     progress,
     run_all,
     running_totals,
@@ -27,6 +30,7 @@ from sluice.streaming import (
     start_ingest,
     windowed_counts,
 )
+from sluice.streaming import running
 from sluice.streaming.progress import partition_lags
 from sluice_checks import queries, testdata
 
@@ -372,6 +376,45 @@ def rows_of(df):
     return [tuple(row) for row in df.collect()]
 
 
+def test_waiting_changes_take_little_room(spark, tmp_path):
+    n = 4000
+    changes = spark.range(n).select(
+        F.expr("timestamp_ntz '2024-01-01' + make_interval(0, 0, 0, 0, 0, 0, id % 600)").alias("at"),
+        F.md5(F.col("id").cast("string")).alias("id"),
+        F.concat(F.lit("SKU-"), F.col("id") % 50).alias("sku"),
+        (F.col("id") % 9 - 4).cast("int").alias("delta"),
+    )
+    changes.write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(changes.schema).parquet(str(tmp_path / "in"))
+    totals = running_totals(stream, ["sku"], "at", "id", "delta", "total", "1 hour", groups=1)
+    keep_totals(totals, str(tmp_path / "out"), str(tmp_path / "c"), ONCE).awaitTermination()
+    assert spark.read.schema(totals.schema).parquet(str(tmp_path / "out")).count() == 0
+    waiting = spark.read.format("statestore").option("stateVarName", "waiting").load(str(tmp_path / "c"))
+    held = waiting.agg(F.sum(F.length("list_element.changes"))).first()[0]
+    assert 16 * n < held < 40 * n  # an id alone has 32 characters
+    assert spark.conf.get("spark.sql.streaming.minBatchesToRetain") == "100"
+    # Chunks of checkpoints from before are read as they are.
+    frame = pd.DataFrame({"at": [1, 2], "id": ["a", None]})
+    for data in (running._packed(frame), pickle.dumps(frame, pickle.HIGHEST_PROTOCOL)):
+        pd.testing.assert_frame_equal(running._unpacked(data), frame)
+
+
+def test_a_part_makes_room_for_the_next_one(spark, tmp_path):
+    there = []
+
+    class Done:
+        def awaitTermination(self):
+            pass
+
+    def look(messages):
+        there.append(spark.read.parquet(str(tmp_path / "in")).count())
+        return Done()
+
+    queries._in_parts(spark, SMALL, "weather", str(tmp_path), look)
+    parts = testdata.in_parts(spark, SMALL, "weather").groupBy("part").count().orderBy("part")
+    assert there == [row["count"] for row in parts.collect()]
+
+
 def test_batches_of_more_rows_take_more_tasks(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(testdata, "ROWS_PER_TASK", 50)
     tasks, most = [], []
